@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
-def strip(text: Column) -> Column:
+def strip(text: Column | str) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+# A noncharacter marks where a word restarts; it never occurs in text.
+_RESTART = "\uffff "
+
+
 def title_case(text: Column) -> Column:
     """Upper-case the first letter of every run of cased letters and lower-case the rest.
 
-    ``initcap`` alone restarts only after spaces; here a digit, quote or hyphen restarts too
-    ("t-shirt 3d" -> "T-Shirt 3D").
+    ``initcap`` restarts only after spaces; here a digit, quote or hyphen restarts too ("t-shirt 3d" ->
+    "T-Shirt 3D"), so a marked space is put after each other run and taken out again.
     """
-    runs = F.regexp_extract_all(text, F.lit(r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    marked = F.regexp_replace(text, r"([^\p{Lu}\p{Ll}\p{Lt}]+)", "$1" + _RESTART)
+    return F.replace(F.initcap(marked), F.lit(_RESTART), F.lit(""))
 
 
-def normalize_category(name: Column) -> Column:
+def normalize_category(name: Column | str) -> Column:
     return title_case(strip(name))
 
 

@@ -2,30 +2,34 @@
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from tradewind.functions.literals import day, day_array
 
 
 def as_dates(as_of: date | list[date]) -> list[date]:
     return sorted({as_of} if isinstance(as_of, date) else set(as_of))
 
 
-def trailing(column: str, as_of: date, days: int) -> Column:
+def trailing(column: str, as_of: date, days: int) -> str:
     """Rows of the last ``days`` days, both ends included."""
-    return F.col(column).between(F.lit(as_of - timedelta(days=days)), F.lit(as_of))
+    return f"{column} BETWEEN {day(as_of - timedelta(days=days))} AND {day(as_of)}"
+
+
+def spread(df: DataFrame, as_of: list[date], seen: str) -> DataFrame:
+    """Copy each row to every as-of date ``d`` for which ``seen`` holds, as column ``as_of``.
+
+    The dates are a literal array, so there is neither a range join nor a cross join.
+    """
+    return df.selectExpr("*", f"explode(filter({day_array(as_of)}, d -> {seen})) AS as_of")
 
 
 def spread_to_as_of(df: DataFrame, column: str, as_of: list[date], days: int) -> DataFrame:
-    """Copy each row to every as-of date whose trailing window holds it, as column ``as_of``.
+    """Copy each row to every as-of date whose trailing window holds it.
 
-    Meant for daily aggregates. The outer range filter reaches the scan (and prunes date partitions);
-    inside, the dates are a literal array, so there is neither a range join nor a cross join.
+    The outer range filter reaches the scan and prunes date partitions.
     """
-    inside = df.where(F.col(column).between(F.lit(as_of[0] - timedelta(days=days)), F.lit(as_of[-1])))
+    inside = df.where(f"{column} BETWEEN {day(as_of[0] - timedelta(days=days))} AND {day(as_of[-1])}")
     if len(as_of) == 1:
-        return inside.withColumn("as_of", F.lit(as_of[0]))
-    seen_by = F.filter(
-        F.array(*[F.lit(d) for d in as_of]),
-        lambda d: F.col(column).between(F.date_sub(d, days), d),
-    )
-    return inside.withColumn("as_of", F.explode(seen_by))
+        return inside.selectExpr("*", f"{day(as_of[0])} AS as_of")
+    return spread(inside, as_of, f"{column} BETWEEN date_sub(d, {days}) AND d")

@@ -1,22 +1,28 @@
-"""One row per key.
-
-A ``row_number() = 1`` filter becomes a WindowGroupLimit on both sides of the exchange, so each map
-task sends one row per key and a key that holds a third of all rows does not pile up in one task.
-"""
+"""One row per key, safe for a key that holds a third of all rows."""
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], limit: int = 1) -> DataFrame:
+    """The first rows of each key, numbered in ``_position``.
+
+    A filter on ``row_number`` becomes a WindowGroupLimit on both sides of the exchange: each map task
+    sends at most ``limit`` rows per key.
+    """
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_position", F.row_number().over(window)).where(F.col("_position") <= limit)
+    return df.withColumn("_position", F.row_number().over(window)).where(f"_position <= {int(limit)}")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return top_per_key(df, keys, order).drop("_position")
 
 
-def latest_per_key(df: DataFrame, keys: list[str], date: str, *ties: Column) -> DataFrame:
-    """Newest row per key; ties on the date are settled by the given order."""
-    return first_per_key(df, keys, [F.col(date).desc_nulls_first(), *ties])
+def latest_per_key(df: DataFrame, key: str, columns: list[str], *newest: str) -> DataFrame:
+    """``columns`` of the newest row per key; later ``newest`` columns settle ties, greatest first.
+
+    An aggregate with map-side combine: each map task sends one row per key.
+    """
+    order = newest[0] if len(newest) == 1 else f"struct({', '.join(newest)})"
+    row = F.expr(f"max_by(struct({', '.join(columns)}), {order}) AS _newest")
+    return df.groupBy(key).agg(row).select(key, *[f"_newest.{c}" for c in columns])

@@ -1,15 +1,15 @@
 """Min-max scaling to 0..100 inside groups."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.numeric import round_binary
 
 
-def scale_to_100(value: Column, low: Column, high: Column) -> Column:
+def scale_to_100(value: str, low: str, high: str) -> str:
     """(value - low) / (high - low) x 100 to 2 digits; 50 where all values are equal."""
-    scaled = round_binary(F.try_divide(value - low, high - low) * 100.0, 2)
-    return F.when(high == low, F.lit(50.0)).otherwise(scaled)
+    scaled = round_binary(f"try_divide({value} - {low}, {high} - {low}) * 100D", 2)
+    return f"CASE WHEN {high} = {low} THEN 50D ELSE {scaled} END"
 
 
 def with_minmax(df: DataFrame, value: str, out: str, by: list[str]) -> DataFrame:
@@ -19,10 +19,7 @@ def with_minmax(df: DataFrame, value: str, out: str, by: list[str]) -> DataFrame
     each group in one task.
     """
     bounds = df.groupBy(*by).agg(
-        F.min(F.col(value).cast("double")).alias("_low"), F.max(F.col(value).cast("double")).alias("_high")
-    )
-    return (
-        df.join(bounds, by)
-        .withColumn(out, scale_to_100(F.col(value).cast("double"), F.col("_low"), F.col("_high")))
-        .drop("_low", "_high")
+        F.expr(f"min(CAST({value} AS double)) AS _low"), F.expr(f"max(CAST({value} AS double)) AS _high")
     )
+    scaled = scale_to_100(f"CAST({value} AS double)", "_low", "_high")
+    return df.join(bounds, by).selectExpr(*df.columns, f"{scaled} AS {out}")

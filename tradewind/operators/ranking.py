@@ -6,7 +6,7 @@ and 100.00 (or 0.0000 and 1.0000). The running count therefore runs over that sm
 the number of rows, and an equi-join carries it back.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,26 +15,24 @@ def with_rows_ahead(df: DataFrame, value: str, by: list[str], descending: bool)
 
     NULL values sort first when descending and last when ascending.
     """
-    order = F.col("_value").desc_nulls_first() if descending else F.col("_value").asc_nulls_last()
+    direction = "DESC NULLS FIRST" if descending else "ASC NULLS LAST"
     groups = [f"_by{i}" for i in range(len(by))]
     tally = (
         df.groupBy(*[F.col(b).alias(g) for b, g in zip(by, groups)], F.col(value).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_ties"))
+        .agg(F.expr("count(*) AS _ties"))
     )
-    whole = Window.partitionBy(*groups)
-    before = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    tally = tally.select(
+    partition = f"PARTITION BY {', '.join(groups)}" if groups else ""
+    tally = tally.selectExpr(
         *groups,
         "_value",
-        F.coalesce(F.sum("_ties").over(before), F.lit(0)).alias("_ahead"),
-        F.sum("_ties").over(whole).alias("_total"),
+        f"coalesce(sum(_ties) OVER ({partition} ORDER BY _value {direction} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _ahead",
+        f"sum(_ties) OVER ({partition}) AS _total",
     )
-    match = F.col(value).eqNullSafe(F.col("_value"))
-    for b, g in zip(by, groups):
-        match = match & F.col(b).eqNullSafe(F.col(g))
-    return df.join(tally, match, "left").drop(*groups, "_value")
+    match = " AND ".join(f"{b} <=> {g}" for b, g in [(value, "_value"), *zip(by, groups)])
+    return df.join(tally, F.expr(match), "left").drop(*groups, "_value")
 
 
 def with_rank(df: DataFrame, value: str, out: str, by: list[str] = (), descending: bool = True) -> DataFrame:
     ranked = with_rows_ahead(df, value, list(by), descending)
-    return ranked.withColumn(out, (F.col("_ahead") + 1).cast("int")).drop("_ahead", "_total")
+    return ranked.selectExpr(*df.columns, f"CAST(_ahead + 1 AS int) AS {out}")

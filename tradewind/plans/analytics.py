@@ -2,15 +2,16 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind import catalog
+from tradewind.functions.literals import day, text
 from tradewind.functions.numeric import mean, mean_percent, percent, quotient
 from tradewind.operators.asof import trailing
 from tradewind.operators.keyed import latest_per_key
 from tradewind.plans.views import channel_opportunity, channel_status
-from tradewind.plans.windows import daily_mentions
+from tradewind.plans.windows import daily_mentions, lag
 
 
 def newest_run(scores: DataFrame) -> DataFrame:
@@ -28,37 +29,33 @@ def cte_score_breakdown(
     as_of: date,
 ) -> DataFrame:
     """Every signal of each category listed in the last week, next to its newest score."""
-    interest = (
-        search.where((F.col("geo") == "US") & trailing("snapshot_date", as_of, 30))
-        .groupBy("category_name")
-        .agg(mean("interest_score", 2).alias("trend_interest"))
-    )
-    buzz = (
-        social.where(trailing("snapshot_date", as_of, 7))
-        .groupBy("category_name")
-        .agg(F.sum("mention_count").alias("buzz_mentions"), F.count_distinct("subreddit").alias("subreddit_spread"))
-    )
-    demand = (
-        trends.where(trailing("snapshot_date", as_of, 7))
-        .groupBy("category_name")
-        .agg(
-            mean_percent("sell_through", 2).alias("sell_through_pct"),
-            mean("avg_price", 2).alias("avg_price"),
-            F.sum("listing_count").alias("total_listings"),
-        )
+    def by_category(rows: DataFrame, *figures: str) -> DataFrame:
+        return rows.groupBy("category_name").agg(*[F.expr(f) for f in figures])
+
+    interest = by_category(
+        search.where("geo = 'US'").where(trailing("snapshot_date", as_of, 30)),
+        f"{mean('interest_score', 2)} AS trend_interest",
     )
-    expenses = (
-        spend.where(F.col("year").between(as_of.year - 3, as_of.year))
-        .groupBy("category_name")
-        .agg(mean_percent("yoy_change", 2).alias("spend_growth_pct"), F.max("avg_annual_spend").alias("annual_spend_usd"))
-    )
-    channel = (
-        channels.where(trailing("period_date", as_of, 30))
-        .groupBy("category_name")
-        .agg(
-            mean_percent("ecomm_share", 2).alias("ecomm_share_pct"),
-            mean_percent("ecomm_growth", 2).alias("ecomm_growth_pct"),
-        )
+    buzz = by_category(
+        social.where(trailing("snapshot_date", as_of, 7)),
+        "sum(mention_count) AS buzz_mentions",
+        "count(DISTINCT subreddit) AS subreddit_spread",
+    )
+    demand = by_category(
+        trends.where(trailing("snapshot_date", as_of, 7)),
+        f"{mean_percent('sell_through', 2)} AS sell_through_pct",
+        f"{mean('avg_price', 2)} AS avg_price",
+        "sum(listing_count) AS total_listings",
+    )
+    expenses = by_category(
+        spend.where(f"year BETWEEN {as_of.year - 3} AND {as_of.year}"),
+        f"{mean_percent('yoy_change', 2)} AS spend_growth_pct",
+        "max(avg_annual_spend) AS annual_spend_usd",
+    )
+    channel = by_category(
+        channels.where(trailing("period_date", as_of, 30)),
+        f"{mean_percent('ecomm_share', 2)} AS ecomm_share_pct",
+        f"{mean_percent('ecomm_growth', 2)} AS ecomm_growth_pct",
     )
     signals = [
         "trend_interest",
@@ -75,9 +72,9 @@ def cte_score_breakdown(
     result = demand
     for side in (interest, buzz, expenses, channel, newest_run(scores)):
         result = result.join(side, "category_name", "left")
-    return result.select(
+    return result.selectExpr(
         "category_name",
-        *[F.coalesce(s, F.lit(0)).alias(s) for s in signals],
+        *[f"coalesce({s}, 0) AS {s}" for s in signals],
         "opportunity_score",
         "trend_score",
         "buzz_score",
@@ -104,25 +101,23 @@ def cte_rising_categories(
     on the as-of date, of which the marketplace row counts). ``per_date=True`` keeps the multiplicity
     of the plain join: one row per interest date, mention date and listing source of the last 14 days.
     """
-    history = Window.partitionBy("category_name").orderBy(F.col("snapshot_date").asc_nulls_last())
-    interest = (
+    daily_interest = (
         search.where(trailing("snapshot_date", as_of, 14))
         .groupBy("category_name", "snapshot_date")
-        .agg(quotient(F.sum("interest_score"), F.count("interest_score")).alias("interest"))
-        .withColumn("interest_delta", F.col("interest") - F.lag("interest").over(history))
+        .agg(F.expr(f"{quotient('sum(interest_score)', 'count(interest_score)')} AS interest"))
+    )
+    interest = daily_interest.selectExpr(
+        "category_name", "snapshot_date", f"interest - {lag('interest')} AS interest_delta"
     )
-    mentions = daily_mentions(social.where(trailing("snapshot_date", as_of, 14))).withColumn(
-        "mention_delta", F.col("total_mentions") - F.lag("total_mentions").over(history)
+    mentions = daily_mentions(social.where(trailing("snapshot_date", as_of, 14))).selectExpr(
+        "category_name", "snapshot_date", f"total_mentions - {lag('total_mentions')} AS mention_delta"
     )
-    demand = trends.where(F.col("snapshot_date") == F.lit(as_of))
+    demand = trends.where(f"snapshot_date = {day(as_of)}")
+    growth = spend.where(f"year = {as_of.year - 1}")
     if not per_date:
-        interest = latest_per_key(interest, ["category_name"], "snapshot_date")
-        mentions = latest_per_key(mentions, ["category_name"], "snapshot_date")
-        demand = latest_per_key(demand, ["category_name"], "snapshot_date", F.col("source").desc_nulls_last())
-    growth = spend.where(F.col("year") == as_of.year - 1)
-
-    def up(condition):
-        return F.when(condition, 1).otherwise(0)
+        interest = latest_per_key(interest, "category_name", ["interest_delta"], "snapshot_date")
+        mentions = latest_per_key(mentions, "category_name", ["mention_delta"], "snapshot_date")
+        demand = latest_per_key(demand, "category_name", ["sell_through"], "snapshot_date", "source")
 
     joined = newest_run(scores).select("category_name", "opportunity_score", "recommendation")
     for side, column in (
@@ -132,37 +127,37 @@ def cte_rising_categories(
         (growth, "yoy_change"),
     ):
         joined = joined.join(side.select("category_name", column), "category_name", "left")
-    positive = (
-        up(F.col("interest_delta") > 0)
-        + up(F.col("mention_delta") > 0)
-        + up(F.col("sell_through") > F.lit("0.15").cast("decimal(5,4)"))
-        + up(F.col("yoy_change") > 0)
-    )
-    counted = joined.withColumn("signals_positive", positive)
-    n = F.col("signals_positive")
-    return counted.select(
-        "category_name",
-        "opportunity_score",
-        "recommendation",
-        n,
-        F.when(n >= 3, "Rising").when(n <= 1, "Declining").otherwise("Mixed").alias("momentum_label"),
-    ).orderBy(n.desc(), F.col("opportunity_score").desc_nulls_first(), "category_name")
+    positive = " + ".join(
+        f"int(coalesce({condition}, false))"
+        for condition in ("interest_delta > 0", "mention_delta > 0", "sell_through > 0.15", "yoy_change > 0")
+    )
+    return (
+        joined.selectExpr("category_name", "opportunity_score", "recommendation", f"{positive} AS signals_positive")
+        .selectExpr(
+            "*",
+            "CASE WHEN signals_positive >= 3 THEN 'Rising' WHEN signals_positive <= 1 THEN 'Declining' "
+            "ELSE 'Mixed' END AS momentum_label",
+        )
+        .orderBy(
+            F.col("signals_positive").desc(), F.col("opportunity_score").desc_nulls_first(), "category_name"
+        )
+    )
 
 
 def cte_channel_gap(channels: DataFrame) -> DataFrame:
     """Mean shares and growth over all periods; the labels judge the rounded percentages."""
     summary = channels.groupBy("category_name").agg(
-        mean_percent("ecomm_share", 1).alias("avg_ecomm_share_pct"),
-        mean_percent("retail_share", 1).alias("avg_retail_share_pct"),
-        mean_percent("ecomm_growth", 2).alias("avg_ecomm_growth_pct"),
-        percent(F.max("ecomm_share") - F.min("ecomm_share"), 2).alias("share_gain_pct"),
+        F.expr(f"{mean_percent('ecomm_share', 1)} AS avg_ecomm_share_pct"),
+        F.expr(f"{mean_percent('retail_share', 1)} AS avg_retail_share_pct"),
+        F.expr(f"{mean_percent('ecomm_growth', 2)} AS avg_ecomm_growth_pct"),
+        F.expr(f"{percent('max(ecomm_share) - min(ecomm_share)', 2)} AS share_gain_pct"),
     )
-    share, growth = F.col("avg_ecomm_share_pct"), F.col("avg_ecomm_growth_pct")
-    return summary.select(
+    share, growth = "avg_ecomm_share_pct", "avg_ecomm_growth_pct"
+    return summary.selectExpr(
         "*",
-        channel_status(share, 55, 30).alias("channel_status"),
-        channel_opportunity(growth, share, 5, 45).alias("opportunity_label"),
-    ).orderBy(growth.desc_nulls_first(), "category_name")
+        f"{channel_status(share, 55, 30)} AS channel_status",
+        f"{channel_opportunity(growth, share, 5, 45)} AS opportunity_label",
+    ).orderBy(F.col(growth).desc_nulls_first(), "category_name")
 
 
 def cte_deep_dive(
@@ -175,41 +170,37 @@ def cte_deep_dive(
     """
 
     def of_category(df: DataFrame) -> DataFrame:
-        return df.where(F.col("category_name") == category)
+        return df.where(f"category_name = {text(category)}")
 
     def newest(df: DataFrame, *ties) -> DataFrame:
         return df.orderBy(F.col("snapshot_date").desc_nulls_first(), *ties).limit(points)
 
-    def branch(df: DataFrame, kind: str, value, secondary) -> DataFrame:
-        return df.select(
+    def branch(df: DataFrame, kind: str, value: str, secondary: str) -> DataFrame:
+        return df.selectExpr(
             "category_name",
-            F.lit(kind).alias("signal_type"),
-            F.col("snapshot_date").alias("period"),
-            value.cast("decimal(20,2)").alias("value"),
-            secondary.cast("decimal(20,2)").alias("secondary_value"),
+            f"'{kind}' AS signal_type",
+            "snapshot_date AS period",
+            f"CAST({value} AS decimal(20,2)) AS value",
+            f"CAST({secondary} AS decimal(20,2)) AS secondary_value",
         )
 
+    on = ["category_name", "snapshot_date"]
     demand = newest(of_category(trends), F.col("source").desc_nulls_last())
     interest = newest(
-        of_category(search.where(F.col("geo") == "US"))
-        .groupBy("category_name", "snapshot_date")
-        .agg(mean("interest_score", 1).alias("interest"))
+        of_category(search).where("geo = 'US'").groupBy(*on).agg(F.expr(f"{mean('interest_score', 1)} AS interest"))
     )
     buzz = newest(
         of_category(social)
-        .groupBy("category_name", "snapshot_date")
-        .agg(F.sum("mention_count").alias("mentions"), mean("avg_score", 1).alias("post_score"))
+        .groupBy(*on)
+        .agg(F.expr("sum(mention_count) AS mentions"), F.expr(f"{mean('avg_score', 1)} AS post_score"))
     )
     signals = (
-        branch(demand, "demand", percent(F.col("sell_through"), 2), F.col("avg_price"))
-        .unionByName(branch(interest, "interest", F.col("interest"), F.lit(None)))
-        .unionByName(branch(buzz, "buzz", F.col("mentions"), F.col("post_score")))
+        branch(demand, "demand", percent("sell_through", 2), "avg_price")
+        .unionByName(branch(interest, "interest", "interest", "NULL"))
+        .unionByName(branch(buzz, "buzz", "mentions", "post_score"))
     )
-    score = (
-        of_category(scores)
-        .orderBy(F.col("scored_at").desc_nulls_first())
-        .limit(1)
-        .select("category_name", "opportunity_score", "recommendation")
+    score = latest_per_key(
+        of_category(scores), "category_name", ["opportunity_score", "recommendation"], "scored_at"
     )
     return (
         signals.join(score, "category_name")
@@ -220,16 +211,16 @@ def cte_deep_dive(
 
 def cte_top_entries(scores: DataFrame, trends: DataFrame, channels: DataFrame, as_of: date) -> DataFrame:
     """Categories worth entering now, at a price a small seller can stock."""
-    entries = newest_run(scores).where((F.col("recommendation") == "enter") & (F.col("opportunity_score") >= 60))
-    listing = trends.where(
-        (F.col("snapshot_date") == F.lit(as_of)) & (F.col("source") == catalog.MARKETPLACE)
-    ).select("category_name", "avg_price", "sell_through")
+    entries = newest_run(scores).where("recommendation = 'enter' AND opportunity_score >= 60")
+    listing = trends.where(f"snapshot_date = {day(as_of)} AND source = {text(catalog.MARKETPLACE)}").select(
+        "category_name", "avg_price", "sell_through"
+    )
     newest_period = channels.agg(F.max("period_date")).scalar()
     channel = channels.where(F.col("period_date") == newest_period).select("category_name", "ecomm_share", "ecomm_growth")
     return (
         entries.join(listing, "category_name", "left")
         .join(channel, "category_name", "left")
-        .where(F.col("avg_price").between(15, 200))
+        .where("avg_price BETWEEN 15 AND 200")
         .select(
             "category_name",
             "opportunity_score",

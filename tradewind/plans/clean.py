@@ -11,22 +11,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind import catalog, schemas
+from tradewind.functions.literals import day, text, text_map
 from tradewind.functions.numeric import clamp, number, round_binary, whole_number
 from tradewind.functions.text import normalize_category, required, strip
 from tradewind.operators.keyed import first_per_key
 
 
 def _category() -> Column:
-    return required(normalize_category(F.col("category_name")), "category_name")
+    return required(normalize_category("category_name"), "category_name")
 
 
-def _finish(table: str, batch: DataFrame, first: list[Column] | None, columns: dict[str, Column]) -> DataFrame:
-    schema = schemas.TABLES[table]
-    # The order of the batch is fixed before anything is shuffled.
-    order = first or [F.col("_arrival")]
+def _finish(table: str, batch: DataFrame, first: list[Column] | None, columns: dict[str, Column | str]) -> DataFrame:
+    # Without a stated order, the order in which the rows are read, fixed before anything is shuffled.
     source = batch if first else batch.withColumn("_arrival", F.monotonically_increasing_id())
-    kept = first_per_key(source.withColumns(columns), schemas.KEYS[table], order)
-    return kept.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    keys = schemas.KEYS[table]
+    cleaned = {c: F.expr(e) if isinstance(e, str) else e for c, e in columns.items()}
+    # Keys decide which rows stay; the other columns are only worked out for those.
+    kept = first_per_key(
+        source.withColumns({c: e for c, e in cleaned.items() if c in keys}), keys, first or [F.col("_arrival")]
+    )
+    rest = {c: e for c, e in cleaned.items() if c not in keys}
+    return schemas.typed(kept.withColumns(rest) if rest else kept, schemas.TABLES[table])
 
 
 def clean_category_trends(batch: DataFrame, first: list[Column] | None = None) -> DataFrame:
@@ -36,11 +41,11 @@ def clean_category_trends(batch: DataFrame, first: list[Column] | None = None) -
         first,
         {
             "category_name": _category(),
-            "snapshot_date": F.col("snapshot_date").cast("date"),
+            "snapshot_date": "CAST(snapshot_date AS date)",
             "avg_price": round_binary(number(batch, "avg_price"), 2),
             "listing_count": whole_number(batch, "listing_count"),
             "sold_count": whole_number(batch, "sold_count"),
-            "sell_through": round_binary(clamp(number(batch, "sell_through"), 0.0, 1.0), 4),
+            "sell_through": round_binary(clamp(number(batch, "sell_through"), "0D", "1D"), 4),
             "rank_position": number(batch, "rank_position"),
         },
     )
@@ -52,11 +57,11 @@ def clean_search_signals(batch: DataFrame, first: list[Column] | None = None) ->
         batch,
         first,
         {
-            "keyword": F.lower(strip(F.col("keyword"))),
+            "keyword": F.lower(strip("keyword")),
             "category_name": _category(),
-            "snapshot_date": F.col("snapshot_date").cast("date"),
+            "snapshot_date": "CAST(snapshot_date AS date)",
             "interest_score": clamp(whole_number(batch, "interest_score"), 0, 100),
-            "geo": F.upper(F.coalesce("geo", F.lit("US"))),
+            "geo": "upper(coalesce(geo, 'US'))",
         },
     )
 
@@ -68,24 +73,24 @@ def clean_social_buzz(batch: DataFrame, first: list[Column] | None = None) -> Da
         first,
         {
             "category_name": _category(),
-            "keyword": F.lower(strip(F.col("keyword"))),
-            "subreddit": strip(F.col("subreddit")),
-            "snapshot_date": F.col("snapshot_date").cast("date"),
+            "keyword": F.lower(strip("keyword")),
+            "subreddit": strip("subreddit"),
+            "snapshot_date": "CAST(snapshot_date AS date)",
             "mention_count": whole_number(batch, "mention_count"),
-            "avg_score": round_binary(F.coalesce(number(batch, "avg_score"), F.lit(0.0)), 2),
+            "avg_score": round_binary(f"coalesce({number(batch, 'avg_score')}, 0D)", 2),
         },
     )
 
 
 def clean_consumer_spend(batch: DataFrame, first: list[Column] | None = None) -> DataFrame:
-    recent = batch.where(whole_number(batch, "year") > 2000)
+    year = whole_number(batch, "year")
     return _finish(
         "consumer_spend",
-        recent,
+        batch.where(f"{year} > 2000"),
         first,
         {
             "category_name": _category(),
-            "year": whole_number(batch, "year").cast("int"),
+            "year": year,
             "avg_annual_spend": round_binary(number(batch, "avg_annual_spend"), 2),
             "yoy_change": round_binary(number(batch, "yoy_change"), 4),
         },
@@ -105,36 +110,36 @@ def build_retail_vs_ecomm(spend: DataFrame, as_of: date) -> DataFrame:
     with rows but no known change stays NULL. No spend at all gives no rows. Computed in decimals,
     rounded half up.
     """
-    spark = spend.sparkSession
-    base = spark.range(1).select(
-        F.explode(F.create_map(*[F.lit(x) for pair in catalog.BASE_ONLINE_SHARE.items() for x in pair])).alias(
-            "category_name", "base"
-        )
+    base = spend.sparkSession.range(1).selectExpr(
+        f"explode({text_map(catalog.BASE_ONLINE_SHARE)}) AS (category_name, base)"
     )
     growth = spend.groupBy("category_name").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.col("yoy_change").cast("decimal(18,4)")).alias("change"),
-        F.count("yoy_change").alias("changes"),
+        F.expr("count(*) AS row_count"),
+        F.expr("CAST(sum(yoy_change) AS decimal(18,4)) AS change"),
+        F.expr("count(yoy_change) AS changes"),
     )
 
-    def mean_change(factor: str) -> Column:
+    def mean_change(factor: str) -> str:
         """factor x mean change; multiplied before dividing, so that exact halves stay exact."""
-        times = F.col("change").cast("decimal(18,4)") * F.lit(factor).cast("decimal(4,3)")
-        return F.when(F.col("rows").isNull(), 0).otherwise(F.try_divide(times, F.col("changes").cast("decimal(10,0)")))
+        return (
+            f"CASE WHEN row_count IS NULL THEN 0 "
+            f"ELSE try_divide(change * CAST({factor} AS decimal(4,3)), CAST(changes AS decimal(10,0))) END"
+        )
 
-    highest = F.lit("0.95").cast("decimal(5,4)")
-    share = F.col("base").cast("decimal(5,4)") + mean_change("0.135")
-    capped = F.when(share > highest, highest).otherwise(share)
-    return (
+    share = f"CAST(base AS decimal(5,4)) + {mean_change('0.135')}"
+    # CASE, not least(): least() would turn an unknown share into 0.95.
+    return schemas.typed(
         base.where(spend.exists())
         .join(growth, "category_name", "left")
-        .select(
+        .withColumn("share", F.expr(f"CASE WHEN {share} > 0.95 THEN 0.95 ELSE {share} END"))
+        .selectExpr(
             "category_name",
-            F.lit(as_of).alias("period_date"),
-            F.round(capped, 4).cast("decimal(5,4)").alias("ecomm_share"),
-            F.round(1 - capped, 4).cast("decimal(5,4)").alias("retail_share"),
-            F.round(mean_change("1.35"), 4).cast("decimal(8,4)").alias("ecomm_growth"),
-            F.round(mean_change("0.65"), 4).cast("decimal(8,4)").alias("retail_growth"),
-            F.lit(catalog.DERIVED).alias("source"),
-        )
+            f"{day(as_of)} AS period_date",
+            "round(share, 4) AS ecomm_share",
+            "round(1 - share, 4) AS retail_share",
+            f"round({mean_change('1.35')}, 4) AS ecomm_growth",
+            f"round({mean_change('0.65')}, 4) AS retail_growth",
+            f"{text(catalog.DERIVED)} AS source",
+        ),
+        schemas.RETAIL_VS_ECOMM,
     )

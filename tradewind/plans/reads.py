@@ -81,11 +81,11 @@ def get_channel_summary(comparison: DataFrame) -> DataFrame:
     return (
         comparison.groupBy("category_name")
         .agg(
-            mean("ecomm_share_pct", 1).alias("avg_ecomm_share"),
-            mean("retail_share_pct", 1).alias("avg_retail_share"),
-            mean("ecomm_growth_pct", 2).alias("avg_ecomm_growth"),
-            F.max("channel_status").alias("channel_status"),
-            F.max("opportunity_label").alias("opportunity_label"),
+            F.expr(f"{mean('ecomm_share_pct', 1)} AS avg_ecomm_share"),
+            F.expr(f"{mean('retail_share_pct', 1)} AS avg_retail_share"),
+            F.expr(f"{mean('ecomm_growth_pct', 2)} AS avg_ecomm_growth"),
+            F.expr("max(channel_status) AS channel_status"),
+            F.expr("max(opportunity_label) AS opportunity_label"),
         )
         .orderBy(*_best_first("avg_ecomm_growth"))
     )
@@ -136,7 +136,8 @@ def get_trends_explorer(
     """One signal of the chosen categories; an unknown signal falls back to sell-through."""
     column = signal if signal in EXPLORER_SIGNALS else "sell_through_pct"
     return (
-        explorer.where(F.col("category_name").isin(list(categories)) & trailing("snapshot_date", as_of, days))
+        explorer.where(F.col("category_name").isin(list(categories)))
+        .where(trailing("snapshot_date", as_of, days))
         .orderBy("category_name", "snapshot_date", "source")
         .select("category_name", "snapshot_date", F.col(column).alias("value"))
     )

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind import catalog, schemas
-from tradewind.functions.numeric import mean_double, round_binary
-from tradewind.operators.asof import as_dates, spread_to_as_of
+from tradewind.functions.literals import day
+from tradewind.functions.numeric import mean_double, round_binary, zero_if_missing
+from tradewind.operators.asof import as_dates, spread, spread_to_as_of
 from tradewind.operators.normalize import scale_to_100
 
 TREND_DAYS = 30
@@ -17,10 +18,6 @@ SPEND_YEARS = 2
 _KEY = ["as_of", "category_name"]
 
 
-def _zero(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("double"), F.lit(0.0))
-
-
 def score_inputs(
     trends: DataFrame, search: DataFrame, social: DataFrame, spend: DataFrame, as_of: date | list[date]
 ) -> DataFrame:
@@ -28,133 +25,121 @@ def score_inputs(
 
     The interest mean exists per day and is scaled over all days of the window, of which the newest
     one is scored; ``trend_low`` and ``trend_high`` keep a category's extremes for that scaling, so
-    the days need not be carried along. All sides are daily aggregates, grouped on the join key.
+    the days need not be carried along. Every side is grouped on the join key, so the joins add no
+    exchange of their own.
     """
     dates = as_dates(as_of)
 
-    daily_interest = (
-        spread_to_as_of(
-            search.groupBy("category_name", "snapshot_date").agg(mean_double("interest_score").alias("interest")),
-            "snapshot_date",
-            dates,
-            TREND_DAYS,
-        )
-        .withColumn("interest", _zero("interest"))
+    daily_interest = search.groupBy("category_name", "snapshot_date").agg(
+        F.expr(f"coalesce({mean_double('interest_score')}, 0D) AS daily")
+    )
+    interest = (
+        spread_to_as_of(daily_interest, "snapshot_date", dates, TREND_DAYS)
         .groupBy(*_KEY)
         .agg(
-            F.max_by("interest", "snapshot_date").alias("interest"),
-            F.min("interest").alias("low"),
-            F.max("interest").alias("high"),
+            F.expr("max_by(daily, snapshot_date) AS interest"),
+            F.expr("min(daily) AS low"),
+            F.expr("max(daily) AS high"),
         )
     )
     mentions = (
-        spread_to_as_of(
-            social.groupBy("category_name", "snapshot_date").agg(F.sum("mention_count").alias("mentions")),
-            "snapshot_date",
-            dates,
-            BUZZ_DAYS,
-        )
+        spread_to_as_of(social, "snapshot_date", dates, BUZZ_DAYS)
         .groupBy(*_KEY)
-        .agg(F.sum("mentions").alias("mentions"))
+        .agg(F.expr("sum(mention_count) AS mentions"))
     )
     demand = (
-        trends.where(F.col("snapshot_date").isin(dates))
-        .groupBy(F.col("snapshot_date").alias("as_of"), "category_name")
-        .agg(mean_double("sell_through").alias("sell_through"), mean_double("listing_count").alias("listings"))
+        trends.where(f"snapshot_date IN ({', '.join(day(d) for d in dates)})")
+        .withColumnRenamed("snapshot_date", "as_of")
+        .groupBy(*_KEY)
+        .agg(
+            F.expr(f"{mean_double('sell_through')} AS sell_through"),
+            F.expr(f"{mean_double('listing_count')} AS listings"),
+        )
     )
+    years = spend.where(f"year BETWEEN {dates[0].year - SPEND_YEARS} AND {dates[-1].year}")
     growth = (
-        spend.where(F.col("year").between(dates[0].year - SPEND_YEARS, dates[-1].year))
-        .withColumn(
-            "as_of",
-            F.explode(
-                F.filter(
-                    F.array(*[F.lit(d) for d in dates]),
-                    lambda d: F.col("year").between(F.year(d) - SPEND_YEARS, F.year(d)),
-                )
-            ),
-        )
+        spread(years, dates, f"year BETWEEN year(d) - {SPEND_YEARS} AND year(d)")
         .groupBy(*_KEY)
-        .agg(mean_double("yoy_change").alias("growth"))
+        .agg(F.expr(f"{mean_double('yoy_change')} AS growth"))
     )
     return (
-        demand.join(daily_interest, _KEY, "left")
+        demand.join(interest, _KEY, "left")
         .join(mentions, _KEY, "left")
         .join(growth, _KEY, "left")
-        .select(
+        .selectExpr(
             *_KEY,
-            _zero("interest").alias("raw_trend"),
-            _zero("low").alias("trend_low"),
-            _zero("high").alias("trend_high"),
-            _zero("mentions").alias("raw_buzz"),
-            (_zero("sell_through") * 100.0).alias("raw_demand"),
-            (_zero("growth") * 100.0).alias("raw_spend"),
-            _zero("listings").alias("avg_listings"),
+            f"{zero_if_missing('interest')} AS raw_trend",
+            f"{zero_if_missing('low')} AS trend_low",
+            f"{zero_if_missing('high')} AS trend_high",
+            f"{zero_if_missing('mentions')} AS raw_buzz",
+            f"{zero_if_missing('sell_through')} * 100D AS raw_demand",
+            f"{zero_if_missing('growth')} * 100D AS raw_spend",
+            f"{zero_if_missing('listings')} AS avg_listings",
         )
     )
 
 
-def competition(listings: Column) -> Column:
+def competition(listings: str) -> str:
     """Falls as listings grow; scaled to 0..100 afterwards."""
-    return 1.0 / (listings + 1.0) * 10000.0
+    return f"1D / ({listings} + 1D) * 10000D"
 
 
 def opportunity_score() -> Column:
     """Weighted sum of the rounded component scores, rounded again."""
-    total = None
-    for component, weight in catalog.SCORE_WEIGHTS.items():
-        term = F.col(component) * F.lit(weight)
-        total = term if total is None else total + term
-    return round_binary(total, 2)
+    total = " + ".join(f"{component} * {weight}D" for component, weight in catalog.SCORE_WEIGHTS.items())
+    return F.expr(round_binary(total, 2))
 
 
-def channel_edge(demand: Column) -> Column:
-    return F.when(demand > 60, "ecomm").when(demand < 35, "retail").otherwise("mixed")
+def channel_edge(demand: str) -> Column:
+    return F.expr(f"CASE WHEN {demand} > 60 THEN 'ecomm' WHEN {demand} < 35 THEN 'retail' ELSE 'mixed' END")
 
 
-def recommendation(score: Column) -> Column:
-    return F.when(score >= 65, "enter").when(score >= 40, "watch").otherwise("avoid")
+def recommendation(score: str) -> Column:
+    return F.expr(f"CASE WHEN {score} >= 65 THEN 'enter' WHEN {score} >= 40 THEN 'watch' ELSE 'avoid' END")
 
 
 def component_scores(inputs: DataFrame) -> DataFrame:
     """Scale each raw signal to 0..100 among the categories of one as-of date.
 
     The bounds are a hash aggregate of one row per as-of date, joined back: no window gathers all
-    categories in one task, and the broadcast side has as many rows as dates were asked for.
+    categories in one task, and the broadcast side has as many rows as dates were asked for. ``inputs``
+    is read twice; keep it (persist or write it) when it is costly.
     """
-    raw = inputs.withColumn("raw_competition", competition(F.col("avg_listings")))
     ranges = {
         "trend": ("raw_trend", "trend_low", "trend_high"),
         "buzz": ("raw_buzz",) * 3,
         "demand": ("raw_demand",) * 3,
         "spend": ("raw_spend",) * 3,
-        "competition": ("raw_competition",) * 3,
+        "competition": (competition("avg_listings"),) * 3,
     }
-    bounds = raw.groupBy("as_of").agg(
-        *[F.min(low).alias(f"_{name}_low") for name, (_, low, _) in ranges.items()],
-        *[F.max(high).alias(f"_{name}_high") for name, (_, _, high) in ranges.items()],
+    bounds = inputs.groupBy("as_of").agg(
+        *[F.expr(f"min({low}) AS {name}_min") for name, (_, low, _) in ranges.items()],
+        *[F.expr(f"max({high}) AS {name}_max") for name, (_, _, high) in ranges.items()],
     )
-    return raw.join(F.broadcast(bounds), "as_of").select(
-        "as_of",
-        "category_name",
+    return inputs.join(F.broadcast(bounds), "as_of").selectExpr(
+        *_KEY,
         *[
-            scale_to_100(F.col(value), F.col(f"_{name}_low"), F.col(f"_{name}_high")).alias(f"{name}_score")
+            f"{scale_to_100(value, f'{name}_min', f'{name}_max')} AS {name}_score"
             for name, (value, _, _) in ranges.items()
         ],
     )
 
 
-def niche_scores(
-    trends: DataFrame, search: DataFrame, social: DataFrame, spend: DataFrame, as_of: date | list[date]
-) -> DataFrame:
-    """The ``niche_scores`` rows of every as-of date; a date without trends rows has none."""
-    scored = component_scores(score_inputs(trends, search, social, spend, as_of)).withColumn(
-        "opportunity_score", opportunity_score()
-    )
+def score_categories(inputs: DataFrame) -> DataFrame:
+    """The ``niche_scores`` rows for prepared inputs."""
+    scored = component_scores(inputs).withColumn("opportunity_score", opportunity_score())
     labelled = scored.withColumns(
         {
             "scored_at": F.col("as_of"),
-            "channel_edge": channel_edge(F.col("demand_score")),
-            "recommendation": recommendation(F.col("opportunity_score")),
+            "channel_edge": channel_edge("demand_score"),
+            "recommendation": recommendation("opportunity_score"),
         }
     )
-    return labelled.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.NICHE_SCORES])
+    return schemas.typed(labelled, schemas.NICHE_SCORES)
+
+
+def niche_scores(
+    trends: DataFrame, search: DataFrame, social: DataFrame, spend: DataFrame, as_of: date | list[date]
+) -> DataFrame:
+    """The ``niche_scores`` rows of every as-of date; a date without trends rows has none."""
+    return score_categories(score_inputs(trends, search, social, spend, as_of))

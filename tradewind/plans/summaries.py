@@ -7,39 +7,41 @@ from tradewind import catalog
 from tradewind.functions.numeric import mean
 
 
+def _figures(df: DataFrame, *figures: str) -> DataFrame:
+    return df.agg(*[F.expr(f) for f in figures])
+
+
 def momentum_counts(leaderboard: DataFrame) -> DataFrame:
-    return leaderboard.groupBy("momentum").agg(F.count(F.lit(1)).alias("categories"))
+    return leaderboard.groupBy("momentum").agg(F.expr("count(*) AS categories"))
 
 
 def market_gauge(leaderboard: DataFrame) -> DataFrame:
     """Market-wide mean score, its change, and the leading category (first by name among equals)."""
-    leader = F.struct(-F.col("opportunity_score"), F.col("category_name"))
-    return leaderboard.agg(
-        F.count(F.lit(1)).alias("categories"),
-        mean("opportunity_score", 4).alias("avg_score"),
-        mean("score_delta", 4).alias("avg_delta"),
-        F.min_by("category_name", leader).alias("top_category"),
-        F.max("opportunity_score").alias("top_score"),
-        F.count_if(F.col("momentum") == "Rising").alias("rising"),
-        F.count_if(F.col("momentum") == "Declining").alias("declining"),
-    ).withColumn("reference_score", F.col("avg_score") - F.col("avg_delta"))
+    return _figures(
+        leaderboard,
+        "count(*) AS categories",
+        f"{mean('opportunity_score', 4)} AS avg_score",
+        f"{mean('score_delta', 4)} AS avg_delta",
+        "min_by(category_name, struct(-opportunity_score, category_name)) AS top_category",
+        "max(opportunity_score) AS top_score",
+        "count_if(momentum = 'Rising') AS rising",
+        "count_if(momentum = 'Declining') AS declining",
+    ).selectExpr("*", "avg_score - avg_delta AS reference_score")
 
 
 def avg_component_scores(leaderboard: DataFrame) -> DataFrame:
     components = list(catalog.SCORE_WEIGHTS)
-    means = leaderboard.agg(*[mean(c, 4).alias(c) for c in components])
+    means = _figures(leaderboard, *[f"{mean(c, 4)} AS {c}" for c in components])
     return means.unpivot([], components, "component", "avg_score")
 
 
 def channel_status_counts(summary: DataFrame) -> DataFrame:
-    def having(column: str, label: str) -> Column:
-        return F.count_if(F.col(column) == label)
-
-    return summary.agg(
-        having("channel_status", "E-comm dominant").alias("ecomm_dominant"),
-        having("channel_status", "Retail dominant").alias("retail_dominant"),
-        having("channel_status", "Contested").alias("contested"),
-        having("opportunity_label", "Early mover opportunity").alias("early_movers"),
+    return _figures(
+        summary,
+        "count_if(channel_status = 'E-comm dominant') AS ecomm_dominant",
+        "count_if(channel_status = 'Retail dominant') AS retail_dominant",
+        "count_if(channel_status = 'Contested') AS contested",
+        "count_if(opportunity_label = 'Early mover opportunity') AS early_movers",
     )
 
 
@@ -52,19 +54,20 @@ def channels_by_growth(summary: DataFrame) -> DataFrame:
 
 
 def niche_kpis(found: DataFrame) -> DataFrame:
-    return found.agg(
-        F.count(F.lit(1)).alias("matched"),
-        mean("opportunity_score", 4).alias("avg_score"),
-        F.count_if(F.col("recommendation") == "enter").alias("enter"),
+    return _figures(
+        found,
+        "count(*) AS matched",
+        f"{mean('opportunity_score', 4)} AS avg_score",
+        "count_if(recommendation = 'enter') AS enter",
     )
 
 
 def latest_values(series: DataFrame, shown: int = 5) -> DataFrame:
     """Last known value per category, highest first; on one date the higher value counts."""
-    known = series.where(F.col("value").isNotNull())
     return (
-        known.groupBy("category_name")
-        .agg(F.max_by("value", F.struct("snapshot_date", "value")).alias("value"))
+        series.where("value IS NOT NULL")
+        .groupBy("category_name")
+        .agg(F.expr("max_by(value, struct(snapshot_date, value)) AS value"))
         .orderBy(F.col("value").desc(), "category_name")
         .limit(shown)
     )
@@ -72,14 +75,13 @@ def latest_values(series: DataFrame, shown: int = 5) -> DataFrame:
 
 def score_sparkline(history: DataFrame) -> DataFrame:
     """Scores in run order per category, for categories with at least two runs."""
-    points = F.sort_array(F.collect_list(F.struct("scored_at", "opportunity_score")))
     return (
         history.groupBy("category_name")
-        .agg(points.alias("points"))
-        .where(F.size("points") >= 2)
-        .select("category_name", F.col("points.opportunity_score").alias("scores"))
+        .agg(F.expr("sort_array(collect_list(struct(scored_at, opportunity_score))) AS points"))
+        .where("size(points) >= 2")
+        .selectExpr("category_name", "points.opportunity_score AS scores")
     )
 
 
-def score_band(score: Column) -> Column:
-    return F.when(score >= 65, "positive").when(score >= 40, "warning").otherwise("negative")
+def score_band(score: str) -> Column:
+    return F.expr(f"CASE WHEN {score} >= 65 THEN 'positive' WHEN {score} >= 40 THEN 'warning' ELSE 'negative' END")

@@ -2,10 +2,11 @@
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind import catalog
+from tradewind.functions.literals import text
 from tradewind.functions.numeric import mean, percent
 from tradewind.operators.asof import trailing
 from tradewind.operators.keyed import latest_per_key
@@ -24,132 +25,136 @@ SCORE_COLUMNS = [
 ]
 
 
-def latest_trends(trends: DataFrame) -> DataFrame:
-    """Newest listing row per category; on one date the marketplace row beats the ranked lists."""
-    return latest_per_key(trends, ["category_name"], "snapshot_date", F.col("source").desc_nulls_last())
+LISTING_COLUMNS = ["sell_through", "avg_price", "listing_count"]
 
 
-def momentum(delta: Column) -> Column:
-    return F.when(delta > 5, "Rising").when(delta < -5, "Declining").otherwise("Stable")
+def momentum(delta: str) -> str:
+    return f"CASE WHEN {delta} > 5 THEN 'Rising' WHEN {delta} < -5 THEN 'Declining' ELSE 'Stable' END"
 
 
 def mv_category_leaderboard(scores: DataFrame, trends: DataFrame) -> DataFrame:
     """Latest score per category with rank, change on the previous run and newest listing figures.
 
     "Previous" is the newest score before the newest run of all categories, so a category that run
-    left out compares with itself.
+    left out compares with itself. Latest and previous come from one aggregate per category. On one
+    date the marketplace listing beats the ranked lists.
     """
-    newest_run = scores.agg(F.max("scored_at")).scalar()
-    latest = latest_per_key(scores, ["category_name"], "scored_at").select("category_name", *SCORE_COLUMNS)
-    previous = latest_per_key(
-        scores.where(F.col("scored_at") < newest_run), ["category_name"], "scored_at"
-    ).select("category_name", F.col("opportunity_score").alias("previous"))
-    listing = latest_trends(trends).select("category_name", "sell_through", "avg_price", "listing_count")
-
-    delta = F.col("opportunity_score") - F.coalesce("previous", "opportunity_score")
+    earlier = F.when(F.col("scored_at") < scores.agg(F.max("scored_at")).scalar(), F.col("scored_at"))
+    current = (
+        scores.groupBy("category_name")
+        .agg(
+            F.expr(f"max_by(struct({', '.join(SCORE_COLUMNS)}), scored_at) AS newest"),
+            F.max_by("opportunity_score", earlier).alias("previous"),
+        )
+        .select("category_name", "newest.*", "previous")
+    )
+    listing = latest_per_key(trends, "category_name", LISTING_COLUMNS, "snapshot_date", "source")
+    delta = "opportunity_score - coalesce(previous, opportunity_score)"
     return (
-        with_rank(latest, "opportunity_score", "current_rank")
-        .join(previous, "category_name", "left")
-        .join(listing, "category_name", "left")
-        .select(
+        with_rank(current.join(listing, "category_name", "left"), "opportunity_score", "current_rank")
+        .orderBy(F.col("opportunity_score").desc_nulls_first(), "category_name")
+        .selectExpr(
             "category_name",
             *SCORE_COLUMNS,
-            F.round(delta, 2).alias("score_delta"),
+            f"round({delta}, 2) AS score_delta",
             "current_rank",
-            "sell_through",
-            "avg_price",
-            "listing_count",
-            momentum(delta).alias("momentum"),
+            *LISTING_COLUMNS,
+            f"{momentum(delta)} AS momentum",
         )
-        .orderBy(F.col("opportunity_score").desc_nulls_first(), "category_name")
     )
 
 
-def channel_status(share: Column, dominant, weak) -> Column:
-    return F.when(share > dominant, "E-comm dominant").when(share < weak, "Retail dominant").otherwise("Contested")
-
-
-def channel_opportunity(growth: Column, share: Column, fast, small) -> Column:
+def channel_status(share: str, dominant: object, weak: object) -> str:
     return (
-        F.when((growth > fast) & (share < small), "Early mover opportunity")
-        .when((growth > fast) & (share >= small), "Growing — competitive")
-        .when(growth < 0, "E-comm contracting")
-        .otherwise("Stable")
+        f"CASE WHEN {share} > {dominant} THEN 'E-comm dominant' WHEN {share} < {weak} THEN 'Retail dominant' "
+        "ELSE 'Contested' END"
     )
 
 
-def _decimal(text: str) -> Column:
-    return F.lit(text).cast("decimal(5,4)")
+def channel_opportunity(growth: str, share: str, fast: object, small: object) -> str:
+    return (
+        f"CASE WHEN {growth} > {fast} AND {share} < {small} THEN 'Early mover opportunity' "
+        f"WHEN {growth} > {fast} AND {share} >= {small} THEN 'Growing — competitive' "
+        f"WHEN {growth} < 0 THEN 'E-comm contracting' ELSE 'Stable' END"
+    )
 
 
 def mv_channel_comparison(channels: DataFrame) -> DataFrame:
     """Shares and growth in percent, with a status per row; unknown figures fall to the last label."""
-    share, growth = F.col("ecomm_share"), F.col("ecomm_growth")
-    return channels.orderBy(F.col("period_date").desc_nulls_first(), growth.desc_nulls_first(), "category_name").select(
+    return channels.orderBy(
+        F.col("period_date").desc_nulls_first(), F.col("ecomm_growth").desc_nulls_first(), "category_name"
+    ).selectExpr(
         "category_name",
         "period_date",
-        percent(share, 1).alias("ecomm_share_pct"),
-        percent(F.col("retail_share"), 1).alias("retail_share_pct"),
-        percent(growth, 2).alias("ecomm_growth_pct"),
-        percent(F.col("retail_growth"), 2).alias("retail_growth_pct"),
-        channel_status(share, _decimal("0.55"), _decimal("0.30")).alias("channel_status"),
-        channel_opportunity(growth, share, _decimal("0.05"), _decimal("0.45")).alias("opportunity_label"),
+        f"{percent('ecomm_share', 1)} AS ecomm_share_pct",
+        f"{percent('retail_share', 1)} AS retail_share_pct",
+        f"{percent('ecomm_growth', 2)} AS ecomm_growth_pct",
+        f"{percent('retail_growth', 2)} AS retail_growth_pct",
+        f"{channel_status('ecomm_share', 0.55, 0.30)} AS channel_status",
+        f"{channel_opportunity('ecomm_growth', 'ecomm_share', 0.05, 0.45)} AS opportunity_label",
     )
 
 
 def mv_niche_finder(
     scores: DataFrame, trends: DataFrame, search: DataFrame, social: DataFrame, spend: DataFrame, as_of: date
 ) -> DataFrame:
-    """All signals of a category in one row; what is missing stays NULL."""
-    latest = latest_per_key(scores, ["category_name"], "scored_at").select("category_name", *SCORE_COLUMNS)
+    """All signals of a category in one row; what is missing stays NULL.
+
+    Every side is grouped by category, so the joins need no exchange beyond those of the aggregates.
+    """
+    latest = latest_per_key(scores, "category_name", SCORE_COLUMNS, "scored_at")
     demand = latest_per_key(
-        trends.where(F.col("source") == catalog.MARKETPLACE), ["category_name"], "snapshot_date"
-    ).select(
-        "category_name", "avg_price", "listing_count", percent(F.col("sell_through"), 2).alias("sell_through_pct")
+        trends.where(f"source = {text(catalog.MARKETPLACE)}"), "category_name", LISTING_COLUMNS, "snapshot_date"
     )
     interest = (
-        search.where((F.col("geo") == "US") & trailing("snapshot_date", as_of, 30))
+        search.where("geo = 'US'")
+        .where(trailing("snapshot_date", as_of, 30))
         .groupBy("category_name")
-        .agg(mean("interest_score", 1).alias("avg_interest_30d"))
+        .agg(F.expr(f"{mean('interest_score', 1)} AS avg_interest_30d"))
     )
     buzz = (
         social.where(trailing("snapshot_date", as_of, 7))
         .groupBy("category_name")
         .agg(
-            F.sum("mention_count").alias("weekly_mentions"),
-            F.count_distinct("subreddit").alias("subreddit_count"),
+            F.expr("sum(mention_count) AS weekly_mentions"),
+            F.expr("count(DISTINCT subreddit) AS subreddit_count"),
         )
     )
-    expenses = latest_per_key(spend, ["category_name"], "year").select(
-        "category_name", "avg_annual_spend", percent(F.col("yoy_change"), 2).alias("spend_growth_pct")
-    )
+    expenses = latest_per_key(spend, "category_name", ["avg_annual_spend", "yoy_change"], "year")
     joined = latest
     for side in (demand, interest, buzz, expenses):
         joined = joined.join(side, "category_name", "left")
-    return joined.orderBy(F.col("opportunity_score").desc_nulls_first(), "category_name")
+    return joined.orderBy(F.col("opportunity_score").desc_nulls_first(), "category_name").selectExpr(
+        "category_name",
+        *SCORE_COLUMNS,
+        "avg_price",
+        "listing_count",
+        f"{percent('sell_through', 2)} AS sell_through_pct",
+        "avg_interest_30d",
+        "weekly_mentions",
+        "subreddit_count",
+        "avg_annual_spend",
+        f"{percent('yoy_change', 2)} AS spend_growth_pct",
+    )
 
 
 def mv_trends_explorer(trends: DataFrame, search: DataFrame, social: DataFrame) -> DataFrame:
     """Time series of every signal per category, date and listing source."""
-    interest = (
-        search.where(F.col("geo") == "US")
-        .groupBy("category_name", "snapshot_date")
-        .agg(mean("interest_score", 1).alias("interest"))
-    )
-    mentions = social.groupBy("category_name", "snapshot_date").agg(F.sum("mention_count").alias("mentions"))
     on = ["category_name", "snapshot_date"]
+    interest = search.where("geo = 'US'").groupBy(*on).agg(F.expr(f"{mean('interest_score', 1)} AS interest"))
+    mentions = social.groupBy(*on).agg(F.expr("sum(mention_count) AS mentions"))
     return (
         trends.join(interest, on, "left")
         .join(mentions, on, "left")
         .orderBy("category_name", F.col("snapshot_date").desc_nulls_first(), "source")
-        .select(
+        .selectExpr(
             *on,
-            percent(F.col("sell_through"), 2).alias("sell_through_pct"),
+            f"{percent('sell_through', 2)} AS sell_through_pct",
             "avg_price",
             "listing_count",
             "sold_count",
-            F.coalesce("interest", F.lit(0)).alias("search_interest"),
-            F.coalesce("mentions", F.lit(0)).alias("reddit_mentions"),
+            "coalesce(interest, 0) AS search_interest",
+            "coalesce(mentions, 0) AS reddit_mentions",
             "source",
         )
     )

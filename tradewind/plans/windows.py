@@ -6,106 +6,101 @@ category and date, so a window group is as long as the history in days, not as t
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind import catalog
+from tradewind.functions.literals import day, text
 from tradewind.functions.numeric import percent, quotient, ratio
 from tradewind.operators.ranking import with_rank, with_rows_ahead
 
+_HISTORY = "PARTITION BY category_name ORDER BY snapshot_date"
 
-def _by_date(column: str = "snapshot_date"):
-    return Window.partitionBy("category_name").orderBy(F.col(column).asc_nulls_last())
 
+def lag(value: str, history: str = _HISTORY) -> str:
+    return f"lag({value}) OVER ({history})"
 
-def _ordered(df: DataFrame) -> DataFrame:
+
+def _newest_first(df: DataFrame) -> DataFrame:
     return df.orderBy("category_name", F.col("snapshot_date").desc_nulls_first())
 
 
+def _marketplace(trends: DataFrame) -> DataFrame:
+    return trends.where(f"source = {text(catalog.MARKETPLACE)}")
+
+
 def wf_sell_through_delta(trends: DataFrame) -> DataFrame:
-    rows = trends.where(F.col("source") == catalog.MARKETPLACE)
-    history = _by_date()
-    before = rows.withColumns(
-        {
-            "prev_sell_through": F.lag("sell_through").over(history),
-            "prev_listing_count": F.lag("listing_count").over(history),
-        }
+    before = _marketplace(trends).selectExpr(
+        "*", f"{lag('sell_through')} AS prev_sell_through", f"{lag('listing_count')} AS prev_listing_count"
     )
-    return _ordered(
-        before.select(
+    return _newest_first(
+        before.selectExpr(
             "category_name",
             "snapshot_date",
             "listing_count",
             "sold_count",
             "sell_through",
             "prev_sell_through",
-            percent(F.col("sell_through") - F.col("prev_sell_through"), 2).alias("sell_through_delta"),
+            f"{percent('sell_through - prev_sell_through', 2)} AS sell_through_delta",
             "prev_listing_count",
-            (F.col("listing_count") - F.col("prev_listing_count")).alias("listing_delta"),
+            "listing_count - prev_listing_count AS listing_delta",
         )
     )
 
 
 def wf_moving_avg(trends: DataFrame) -> DataFrame:
-    rows = trends.where(F.col("source") == catalog.MARKETPLACE)
-
-    def moving(preceding: int):
-        frame = _by_date().rowsBetween(-preceding, 0)
-        return ratio(F.sum("sell_through").over(frame), F.count("sell_through").over(frame), 4)
+    def moving(preceding: int) -> str:
+        frame = f"({_HISTORY} ROWS BETWEEN {preceding} PRECEDING AND CURRENT ROW)"
+        return ratio(f"sum(sell_through) OVER {frame}", f"count(sell_through) OVER {frame}", 4)
 
-    return _ordered(
-        rows.select(
+    return _newest_first(
+        _marketplace(trends).selectExpr(
             "category_name",
             "snapshot_date",
             "sell_through",
-            moving(3).alias("moving_avg_4w"),
-            moving(7).alias("moving_avg_8w"),
+            f"{moving(3)} AS moving_avg_4w",
+            f"{moving(7)} AS moving_avg_8w",
         )
     )
 
 
-def _steady(value, digits: int):
+def _steady(value: str, digits: int) -> str:
     """Round after dropping the last digits of inexact quotients, so that exact ties round as ties."""
-    return F.round(F.round(value, 12), digits)
+    return f"round(round({value}, 12), {digits})"
 
 
 def wf_interest_momentum(search: DataFrame) -> DataFrame:
     daily = (
-        search.where(F.col("geo") == "US")
+        search.where("geo = 'US'")
         .groupBy("category_name", "snapshot_date")
-        .agg(quotient(F.sum("interest_score"), F.count("interest_score")).alias("avg_interest"))
+        .agg(F.expr(f"{quotient('sum(interest_score)', 'count(interest_score)')} AS avg_interest"))
     )
-    history = _by_date()
-    frame = history.rowsBetween(-3, 0)
-    moving = F.sum("avg_interest").over(frame) / F.nullif(F.count("avg_interest").over(frame), F.lit(0))
-    return _ordered(
-        daily.select(
+    frame = f"({_HISTORY} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)"
+    moving = f"sum(avg_interest) OVER {frame} / nullif(count(avg_interest) OVER {frame}, 0)"
+    return _newest_first(
+        daily.selectExpr(
             "category_name",
             "snapshot_date",
             "avg_interest",
-            _steady(F.col("avg_interest") - F.lag("avg_interest").over(history), 2).alias("interest_delta"),
-            _steady(moving, 2).alias("moving_avg_interest"),
+            f"{_steady('avg_interest - ' + lag('avg_interest'), 2)} AS interest_delta",
+            f"{_steady(moving, 2)} AS moving_avg_interest",
         )
     )
 
 
 def daily_mentions(social: DataFrame) -> DataFrame:
-    return social.groupBy("category_name", "snapshot_date").agg(F.sum("mention_count").alias("total_mentions"))
+    return social.groupBy("category_name", "snapshot_date").agg(F.expr("sum(mention_count) AS total_mentions"))
 
 
 def wf_buzz_momentum(social: DataFrame) -> DataFrame:
-    total, previous = F.col("total_mentions"), F.col("prev_mentions")
-    growth = F.when(previous > 0, F.round(quotient((total - previous) * 100, previous), 2))
-    return _ordered(
+    growth = ratio("(total_mentions - prev_mentions) * 100", "prev_mentions", 2)
+    return _newest_first(
         daily_mentions(social)
-        .withColumn("prev_mentions", F.lag("total_mentions").over(_by_date()))
-        .select(
-            "category_name",
-            "snapshot_date",
-            "total_mentions",
-            "prev_mentions",
-            (total - previous).alias("mention_delta"),
-            growth.alias("mention_growth_pct"),
+        .selectExpr("*", f"{lag('total_mentions')} AS prev_mentions")
+        .selectExpr(
+            "*",
+            "total_mentions - prev_mentions AS mention_delta",
+            f"CASE WHEN prev_mentions > 0 THEN {growth} END AS mention_growth_pct",
         )
     )
 
@@ -113,11 +108,15 @@ def wf_buzz_momentum(social: DataFrame) -> DataFrame:
 def wf_rank_change(scores: DataFrame) -> DataFrame:
     """Rank per run and its change on the category's previous run (positive = fell)."""
     ranked = with_rank(
-        scores.select("category_name", "scored_at", "opportunity_score"), "opportunity_score", "rank_this_week", ["scored_at"]
+        scores.select("category_name", "scored_at", "opportunity_score"),
+        "opportunity_score",
+        "rank_this_week",
+        ["scored_at"],
     )
+    before = lag("rank_this_week", "PARTITION BY category_name ORDER BY scored_at")
     return (
-        ranked.withColumn("rank_last_week", F.lag("rank_this_week").over(_by_date("scored_at")))
-        .withColumn("rank_change", F.col("rank_this_week") - F.col("rank_last_week"))
+        ranked.selectExpr("*", f"{before} AS rank_last_week")
+        .selectExpr("*", "rank_this_week - rank_last_week AS rank_change")
         .orderBy(F.col("scored_at").desc_nulls_first(), "rank_this_week", "category_name")
     )
 
@@ -128,24 +127,26 @@ def wf_percentile(trends: DataFrame, as_of: date) -> DataFrame:
     Both follow from the rows ahead of a value. Rows with an equal value are numbered by category and
     source, which settles where a quartile ends inside them.
     """
-    rows = trends.where(F.col("snapshot_date") == F.lit(as_of)).select(
+    rows = trends.where(f"snapshot_date = {day(as_of)}").select(
         "category_name", "source", "snapshot_date", "sell_through"
     )
-    placed = with_rows_ahead(rows, "sell_through", ["snapshot_date"], descending=False)
-    ties = Window.partitionBy("snapshot_date", "sell_through").orderBy("category_name", "source")
-    number = F.col("_ahead") + F.row_number().over(ties)
-    total = F.col("_total")
-    percentile = F.when(total == 1, F.lit(0).cast("decimal(28,6)")).otherwise(quotient(F.col("_ahead") * 100, total - 1))
-    # The first (total % 4) quartiles hold one row more than the others.
-    small, larger = F.floor(total / 4), total % 4
-    in_larger = larger * (small + 1)
-    quartile = F.when(number <= in_larger, F.floor((number - 1) / (small + 1)) + 1).otherwise(
-        larger + F.floor(F.try_divide(number - in_larger - 1, small)) + 1
+    placed = with_rows_ahead(rows, "sell_through", ["snapshot_date"], descending=False).selectExpr(
+        "*",
+        "_ahead + row_number() OVER (PARTITION BY snapshot_date, sell_through ORDER BY category_name, source) AS place",
+        # The first (total % 4) quartiles hold one row more than the others.
+        "_total div 4 AS small",
+        "_total % 4 AS larger",
+    )
+    in_larger = "larger * (small + 1)"
+    quartile = (
+        f"CASE WHEN place <= {in_larger} THEN (place - 1) div (small + 1) + 1 "
+        f"ELSE larger + (place - {in_larger} - 1) div small + 1 END"
     )
-    return placed.select(
+    percentile = ratio("_ahead * 100", "_total - 1", 1)
+    return placed.selectExpr(
         "category_name",
         "snapshot_date",
         "sell_through",
-        F.round(percentile, 1).alias("sell_through_percentile"),
-        quartile.cast("int").alias("demand_quartile"),
+        f"CASE WHEN _total = 1 THEN 0 ELSE {percentile} END AS sell_through_percentile",
+        f"CAST({quartile} AS int) AS demand_quartile",
     ).orderBy(F.col("sell_through_percentile").desc_nulls_first(), "category_name")

@@ -3,6 +3,7 @@
 Counts are BIGINT: at 100 TB of raw items a daily per-category count passes the INTEGER range.
 """
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 TEXT, DATE, INT, LONG, DOUBLE = T.StringType(), T.DateType(), T.IntegerType(), T.LongType(), T.DoubleType()
@@ -12,6 +13,11 @@ def table(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns in order and in their declared types."""
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema])
+
+
 CATEGORY_TRENDS = table(
     category_name=TEXT,
     category_id=TEXT,

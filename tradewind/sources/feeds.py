@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind import catalog, schemas
+from tradewind.functions.literals import day, text, text_array, text_map
 from tradewind.functions.numeric import ratio
 from tradewind.functions.text import strip, title_case
 from tradewind.operators.keyed import top_per_key
@@ -23,10 +24,9 @@ POST_RESULT_SIZE = 100
 POST_DAYS = 7
 
 
-def lookup(mapping: dict[str, str], key: Column) -> Column:
+def lookup(mapping: dict[str, str], key: str) -> str:
     """A fixed 1:1 map as a literal: no join, NULL where the key is absent."""
-    pairs = [F.lit(x) for pair in mapping.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), key)
+    return f"try_element_at({text_map(mapping)}, {key})"
 
 
 def read_json_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -35,52 +35,56 @@ def read_json_feed(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 def src_listings(pages: DataFrame, as_of: date) -> DataFrame:
     """Listing pages (one or many per category) to one marketplace row per category."""
-    items = pages.select(
-        "category_name", "category_id", "total", F.explode_outer("itemSummaries").alias("item")
+    items = pages.selectExpr("category_name", "category_id", "total", "explode_outer(itemSummaries) AS item").selectExpr(
+        "category_name",
+        "category_id",
+        "total",
+        "item",
+        "try_cast(item.price.value AS decimal(18,4)) AS price",
+        "array_contains(item.buyingOptions, 'FIXED_PRICE') AS fixed_price",
     )
-    price = F.col("item.price.value").try_cast("decimal(18,4)")
-    fixed_price = F.array_contains("item.buyingOptions", "FIXED_PRICE")
     reduced = items.groupBy("category_name", "category_id").agg(
-        F.max("total").alias("total"),
-        F.count("item").alias("items"),
-        F.sum(price).alias("price_sum"),
-        F.count(price).alias("prices"),
-        F.count_if(fixed_price).alias("sold_count"),
+        F.expr("max(total) AS total"),
+        F.expr("count(item) AS items"),
+        F.expr("sum(price) AS price_sum"),
+        F.expr("count(price) AS prices"),
+        F.expr("count_if(fixed_price) AS sold_count"),
     )
-    return reduced.select(
+    return reduced.selectExpr(
         "category_name",
         "category_id",
-        F.lit(catalog.MARKETPLACE).alias("source"),
-        F.lit(as_of).alias("snapshot_date"),
-        F.coalesce("total", "items").alias("listing_count"),
-        ratio(F.col("price_sum"), F.col("prices"), 2).alias("avg_price"),
+        f"{text(catalog.MARKETPLACE)} AS source",
+        f"{day(as_of)} AS snapshot_date",
+        "coalesce(total, items) AS listing_count",
+        f"{ratio('price_sum', 'prices', 2)} AS avg_price",
         "sold_count",
-        ratio(F.col("sold_count"), F.col("items"), 4).alias("sell_through"),
-        F.lit(None).cast("int").alias("rank_position"),
+        f"{ratio('sold_count', 'items', 4)} AS sell_through",
+        "CAST(NULL AS int) AS rank_position",
     )
 
 
 def _ranked_rows(ranked: DataFrame, as_of: date) -> DataFrame:
     """(list_type, rank_position, price) to the common listing columns."""
-    label = F.replace(F.replace("list_type", F.lit("bestsellers_"), F.lit("")), F.lit("_"), F.lit(" "))
-    return ranked.select(
-        title_case(label).alias("category_name"),
-        F.col("list_type").alias("category_id"),
-        F.lit(catalog.RANKED_LISTS).alias("source"),
-        F.lit(as_of).alias("snapshot_date"),
-        F.lit(None).cast("bigint").alias("listing_count"),
-        F.col("price").cast("double").alias("avg_price"),
-        F.lit(None).cast("bigint").alias("sold_count"),
-        F.lit(None).cast("decimal(5,4)").alias("sell_through"),
-        F.col("rank_position").cast("int").alias("rank_position"),
+    return ranked.withColumn(
+        "category_name", title_case(F.expr("replace(replace(list_type, 'bestsellers_', ''), '_', ' ')"))
+    ).selectExpr(
+        "category_name",
+        "list_type AS category_id",
+        f"{text(catalog.RANKED_LISTS)} AS source",
+        f"{day(as_of)} AS snapshot_date",
+        "CAST(NULL AS bigint) AS listing_count",
+        "CAST(price AS double) AS avg_price",
+        "CAST(NULL AS bigint) AS sold_count",
+        "CAST(NULL AS decimal(5,4)) AS sell_through",
+        "CAST(rank_position AS int) AS rank_position",
     )
 
 
 def src_bestsellers(lists: DataFrame, as_of: date) -> DataFrame:
     """Ranked lists that arrive as arrays: the first entries, ranked by place."""
-    ranked = lists.select(
-        "list_type", F.posexplode(F.slice("bestsellers", 1, RANKED_LIST_SIZE)).alias("place", "entry")
-    ).select("list_type", (F.col("place") + 1).alias("rank_position"), F.col("entry.price.value").alias("price"))
+    ranked = lists.selectExpr(
+        "list_type", f"posexplode(slice(bestsellers, 1, {RANKED_LIST_SIZE})) AS (place, entry)"
+    ).selectExpr("list_type", "place + 1 AS rank_position", "entry.price.value AS price")
     return _ranked_rows(ranked, as_of)
 
 
@@ -96,32 +100,27 @@ def src_search_interest(
     """Keyword series to the last point per keyword; keywords outside the map are not tracked."""
     if keywords is None:
         keywords = {k: category for category, words in catalog.SEARCH_KEYWORDS.items() for k in words}
-    by_time = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    by_time = order[0] if len(order) == 1 else f"struct({', '.join(order)})"
     latest = (
         points.where(F.col("keyword").isin(list(keywords)))
         .groupBy("keyword")
-        .agg(F.max_by("interest", by_time).alias("interest"))
+        .agg(F.expr(f"max_by(interest, {by_time}) AS interest"))
     )
-    return latest.select(
+    return latest.selectExpr(
         "keyword",
-        lookup(keywords, F.col("keyword")).alias("category_name"),
-        F.lit(as_of).alias("snapshot_date"),
-        F.col("interest").cast("int").alias("interest_score"),
-        F.lit("US").alias("geo"),
+        f"{lookup(keywords, 'keyword')} AS category_name",
+        f"{day(as_of)} AS snapshot_date",
+        "CAST(interest AS int) AS interest_score",
+        "'US' AS geo",
     )
 
 
 def search_grid(spark: SparkSession) -> DataFrame:
     """Every community x category term that is searched; a row is reported even without posts."""
-    terms = F.array(
-        *[F.struct(F.lit(c).alias("category_name"), F.lit(t).alias("keyword")) for c, t in catalog.COMMUNITY_TERMS.items()]
-    )
-    communities = F.array(*[F.lit(c) for c in catalog.COMMUNITIES])
     return (
         spark.range(1)
-        .select(F.explode(communities).alias("subreddit"))
-        .select("subreddit", F.explode(terms).alias("term"))
-        .select("subreddit", "term.category_name", "term.keyword")
+        .selectExpr(f"explode({text_array(catalog.COMMUNITIES)}) AS subreddit")
+        .selectExpr("subreddit", f"explode({text_map(catalog.COMMUNITY_TERMS)}) AS (category_name, keyword)")
     )
 
 
@@ -135,22 +134,23 @@ def src_social_posts(
     """
     grid = search_grid(posts.sparkSession) if grid is None else grid
     answered = top_per_key(posts, ["subreddit", "keyword"], order or [F.col("result_position").asc()], POST_RESULT_SIZE)
-    posted_on = F.date_from_unix_date(F.floor(F.col("created_utc") / 86400).cast("int"))
     recent = (
-        answered.where(posted_on >= F.lit(as_of - timedelta(days=POST_DAYS)))
+        answered.where(
+            f"date_from_unix_date(CAST(floor(created_utc / 86400) AS int)) >= {day(as_of - timedelta(days=POST_DAYS))}"
+        )
         .groupBy("subreddit", "keyword")
         .agg(
-            F.count(F.lit(1)).alias("mention_count"),
-            ratio(F.sum(F.col("score").cast("decimal(18,4)")), F.count("score"), 2).alias("avg_score"),
+            F.expr("count(*) AS mention_count"),
+            F.expr(f"{ratio('sum(CAST(score AS decimal(18,4)))', 'count(score)', 2)} AS avg_score"),
         )
     )
-    return grid.join(recent, ["subreddit", "keyword"], "left").select(
+    return grid.join(recent, ["subreddit", "keyword"], "left").selectExpr(
         "category_name",
         "keyword",
         "subreddit",
-        F.lit(as_of).alias("snapshot_date"),
-        F.coalesce("mention_count", F.lit(0)).cast("bigint").alias("mention_count"),
-        F.coalesce("avg_score", F.lit(0)).cast("decimal(18,2)").alias("avg_score"),
+        f"{day(as_of)} AS snapshot_date",
+        "coalesce(mention_count, 0L) AS mention_count",
+        "CAST(coalesce(avg_score, 0) AS decimal(18,2)) AS avg_score",
     )
 
 
@@ -170,14 +170,17 @@ def src_spend_csv(rows: DataFrame, labels: dict[str, str] | None = None) -> Data
     Unmapped labels pass through. Without a previous-year column the change is 0; with a previous
     value of 0 it is NULL.
     """
-    label = strip(F.coalesce(F.col("category"), F.lit("")))
-    spend = F.col("avg_annual_expenditure").cast("decimal(22,4)")
-    previous = F.col("prev_year_expenditure").cast("decimal(22,4)") if "prev_year_expenditure" in rows.columns else spend
-    change = F.round(F.try_divide((spend - previous).cast("decimal(22,4)"), previous.cast("decimal(22,4)")), 4)
-    return rows.select(
-        F.coalesce(lookup(labels if labels is not None else catalog.SPEND_LABELS, label), label).alias("category_name"),
-        label.alias("bls_category"),
+    previous = "prev_year_expenditure" if "prev_year_expenditure" in rows.columns else "avg_annual_expenditure"
+    amounts = rows.withColumn("label", strip(F.expr("coalesce(category, '')"))).selectExpr(
+        "label",
+        "year",
+        "CAST(avg_annual_expenditure AS decimal(22,4)) AS spend",
+        f"CAST({previous} AS decimal(22,4)) AS previous",
+    )
+    return amounts.selectExpr(
+        f"coalesce({lookup(catalog.SPEND_LABELS if labels is None else labels, 'label')}, label) AS category_name",
+        "label AS bls_category",
         "year",
-        F.round(spend, 2).alias("avg_annual_spend"),
-        change.alias("yoy_change"),
+        "round(spend, 2) AS avg_annual_spend",
+        "round(try_divide(CAST(spend - previous AS decimal(22,4)), previous), 4) AS yoy_change",
     )

@@ -59,20 +59,19 @@ class SignalStore:
         """Merge a batch on the table's key and return the number of batch records.
 
         Only the partitions the batch touches are read and rewritten. The batch is kept while it is
-        used three times: to count it, to list its partitions and to merge it.
+        used twice: to count it per partition and to merge it.
         """
         keys, column = schemas.KEYS[table], schemas.PARTITION_COLUMN[table]
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            records = batch.count()
-            if not records:
+            # One row per day (or year) of the batch.
+            touched = dict(batch.groupBy(column).count().collect())
+            if not touched:
                 return 0
-            # One value per day (or year) of the batch, not per row.
-            touched = [r[0] for r in batch.select(column).distinct().collect()]
-            existing = self.read(table).where(F.col(column).isin(touched))
+            existing = self.read(table).where(F.col(column).isin(list(touched)))
             merged = upsert(existing, batch, keys, last_first, schemas.DEFAULTS[table])
             self._replace_partitions(merged, self.table_path(table), column)
-            return records
+            return sum(touched.values())
         finally:
             batch.unpersist()
 

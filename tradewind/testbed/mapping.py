@@ -8,47 +8,81 @@ from datetime import date
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind import catalog, schemas
-from tradewind.functions.numeric import quotient, ratio
-from tradewind.plans.scoring import niche_scores
+from tradewind.functions.literals import day, text_array
+from tradewind.functions.numeric import ratio
+from tradewind.plans.scoring import score_categories, score_inputs
 
 AS_OF = date(2024, 1, 30)
 RUN_DATES = [date(2024, 1, d) for d in (22, 24, 26, 28, 30)]
 # Online orders per ten, by category index.
 ONLINE_OF_TEN = [6, 3, 4, 3, 5, 4, 3, 2, 5, 7]
 
-
-def category(index: Column) -> Column:
+_BIGINT, _INT, _DOUBLE, _TEXT, _MOMENT = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
+
+# The given tables this package reads. A declared schema spares a job per read.
+GIVEN = {
+    "lineitem": schemas.table(
+        l_orderkey=_BIGINT,
+        l_partkey=_BIGINT,
+        l_suppkey=_BIGINT,
+        l_linenumber=_INT,
+        l_quantity=_DOUBLE,
+        l_extendedprice=_DOUBLE,
+        l_discount=_DOUBLE,
+        l_tax=_DOUBLE,
+        l_returnflag=_TEXT,
+        l_linestatus=_TEXT,
+        l_shipdate=_MOMENT,
+    ),
+    "orders": schemas.table(
+        o_orderkey=_BIGINT,
+        o_custkey=_BIGINT,
+        o_orderstatus=_TEXT,
+        o_totalprice=_DOUBLE,
+        o_orderdate=_MOMENT,
+        o_orderpriority=_TEXT,
+    ),
+    "events": schemas.table(
+        event_id=_BIGINT, ts=_MOMENT, user_id=_BIGINT, event_type=_TEXT, value=_DOUBLE, props=_TEXT
+    ),
+    "part": schemas.table(
+        p_partkey=_BIGINT, p_name=_TEXT, p_brand=_TEXT, p_type=_TEXT, p_size=_INT, p_retailprice=_DOUBLE
+    ),
+}
+
+
+def category(index: str) -> str:
     """Catalogue name of a category index 0..9."""
-    return F.element_at(F.array(*[F.lit(c) for c in catalog.CATEGORIES]), index.cast("int") + 1)
+    return f"element_at({text_array(catalog.CATEGORIES)}, CAST({index} AS int) + 1)"
 
 
-def day_offset(moment: str) -> Column:
-    return F.datediff(F.col(moment).cast("date"), F.lit(date(1995, 1, 1))) % 30
+def day_offset(moment: str) -> str:
+    return f"datediff({moment}, DATE'1995-01-01') % 30"
 
 
-def folded_day(moment: str) -> Column:
+def folded_day(moment: str) -> str:
     """Any date folded onto 2024-01-01 .. 2024-01-30."""
-    return F.date_add(F.lit(date(2024, 1, 1)), day_offset(moment))
+    return f"date_add(DATE'2024-01-01', {day_offset(moment)})"
 
 
-def cents(money: str) -> Column:
-    return F.rint(F.col(money) * 100).cast("bigint")
+def cents(money: str) -> str:
+    return f"CAST(rint({money} * 100) AS bigint)"
 
 
-def relative_change(value: str, history) -> Column:
+def relative_change(value: str, history: str) -> str:
     """(value - previous) / previous to 4 digits, NULL without a previous value other than 0."""
-    before = F.lag(value).over(history)
-    return F.round(
-        F.try_divide((F.col(value) - before).cast("decimal(22,4)"), before.cast("decimal(22,4)")), 4
-    )
+    before = f"lag({value}) OVER ({history})"
+    return f"round(try_divide(CAST({value} - {before} AS decimal(22,4)), CAST({before} AS decimal(22,4))), 4)"
 
 
-def _typed(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.TABLES[table]])
+SOURCE = f"CASE WHEN l_suppkey % 4 = 0 THEN '{catalog.RANKED_LISTS}' ELSE '{catalog.MARKETPLACE}' END"
+SEARCH_EVENT = "event_type IN ('view', 'click')"
+KEYWORD = f"concat_ws(' ', lower({category('index')}), event_type)"
 
 
 class RawData:
@@ -59,183 +93,178 @@ class RawData:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(GIVEN[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
 
 class SignalTables(RawData):
     """The six signal tables, each built on first use.
 
-    ``reuse`` keeps a table's rows (a few thousand daily aggregates) while a query reads it more than
+    ``reuse`` keeps rows (at most a few thousand daily aggregates) of what a query reads more than
     once, so the raw data behind it is scanned once. Kept rows have their full lineage: if an executor
     is lost they are computed again.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, reuse: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, reuse: tuple[str, ...] = ()):
         super().__init__(spark, sf_dir)
         self.reuse = reuse
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.reuse else df
+    def _table(self, name: str, df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+        if schema is not None:
+            df = schemas.typed(df, schema)
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if name in self.reuse else df
 
     @cached_property
     def category_trends(self) -> DataFrame:
-        items = self.table("lineitem").select(
-            (F.col("l_partkey") % 10).alias("index"),
-            F.when(F.col("l_suppkey") % 4 == 0, catalog.RANKED_LISTS).otherwise(catalog.MARKETPLACE).alias("source"),
-            folded_day("l_shipdate").alias("snapshot_date"),
-            cents("l_extendedprice").alias("price"),
-            F.col("l_quantity").cast("bigint").alias("quantity"),
-            (F.col("l_returnflag") == "N").alias("sold"),
-        )
-        daily = items.groupBy("index", "source", "snapshot_date").agg(
-            F.count(F.lit(1)).alias("listing_count"),
-            F.count_if("sold").alias("sold_count"),
-            F.sum("price").alias("price"),
-            F.sum("quantity").alias("quantity"),
-        )
-        return self._keep(
-            _typed(
-                daily.select(
-                    category(F.col("index")).alias("category_name"),
-                    F.col("index").cast("string").alias("category_id"),
-                    "source",
-                    "snapshot_date",
-                    "listing_count",
-                    ratio(F.col("price"), F.col("quantity") * 2500, 2).alias("avg_price"),
-                    "sold_count",
-                    ratio(F.col("sold_count"), F.col("listing_count"), 4).alias("sell_through"),
-                    F.lit(None).alias("rank_position"),
-                ),
-                "category_trends",
+        daily = (
+            self.table("lineitem")
+            .selectExpr(
+                "l_partkey % 10 AS index",
+                f"{SOURCE} AS source",
+                f"{folded_day('l_shipdate')} AS snapshot_date",
+                f"{cents('l_extendedprice')} AS price",
+                "CAST(l_quantity AS bigint) AS quantity",
+                "l_returnflag = 'N' AS sold",
+            )
+            .groupBy("index", "source", "snapshot_date")
+            .agg(
+                F.expr("count(*) AS listing_count"),
+                F.expr("count_if(sold) AS sold_count"),
+                F.expr("sum(price) AS price"),
+                F.expr("sum(quantity) AS quantity"),
             )
         )
-
-    def _events(self, search: bool) -> DataFrame:
-        """Events of the search kinds (view, click) or of all other kinds."""
-        kinds = F.col("event_type").isin("view", "click")
-        return self.table("events").where(kinds if search else ~kinds).select(
-            (F.col("user_id") % 10).alias("index"),
-            "event_type",
-            F.col("ts").cast("date").alias("snapshot_date"),
-            "user_id",
-            "event_id",
-            "value",
+        return self._table(
+            "category_trends",
+            daily.selectExpr(
+                f"{category('index')} AS category_name",
+                "index AS category_id",
+                "source",
+                "snapshot_date",
+                "listing_count",
+                f"{ratio('price', 'quantity * 2500', 2)} AS avg_price",
+                "sold_count",
+                f"{ratio('sold_count', 'listing_count', 4)} AS sell_through",
+                "NULL AS rank_position",
+            ),
+            schemas.CATEGORY_TRENDS,
         )
 
-    @staticmethod
-    def _keyword() -> Column:
-        return F.concat_ws(" ", F.lower(category(F.col("index"))), F.col("event_type"))
-
     @cached_property
     def search_signals(self) -> DataFrame:
         daily = (
-            self._events(search=True)
-            .groupBy(
-                "index",
+            self.table("events")
+            .where(SEARCH_EVENT)
+            .selectExpr(
+                "user_id % 10 AS index",
                 "event_type",
-                "snapshot_date",
-                F.when(F.col("user_id") % 7 == 0, "CA").otherwise("US").alias("geo"),
+                "CAST(ts AS date) AS snapshot_date",
+                "CASE WHEN user_id % 7 = 0 THEN 'CA' ELSE 'US' END AS geo",
+                "value",
             )
-            .agg(F.max("value").alias("value"))
+            .groupBy("index", "event_type", "snapshot_date", "geo")
+            .agg(F.expr("max(value) AS value"))
         )
-        return self._keep(
-            _typed(
-                daily.select(
-                    self._keyword().alias("keyword"),
-                    category(F.col("index")).alias("category_name"),
-                    "snapshot_date",
-                    F.least(F.lit(100), F.floor(F.col("value") / 5)).alias("interest_score"),
-                    "geo",
-                ),
-                "search_signals",
-            )
+        return self._table(
+            "search_signals",
+            daily.selectExpr(
+                f"{KEYWORD} AS keyword",
+                f"{category('index')} AS category_name",
+                "snapshot_date",
+                "least(100, floor(value / 5)) AS interest_score",
+                "geo",
+            ),
+            schemas.SEARCH_SIGNALS,
         )
 
     @cached_property
     def social_buzz(self) -> DataFrame:
         daily = (
-            self._events(search=False)
-            .withColumn("cents", cents("value"))
-            .groupBy("index", "event_type", (F.col("event_id") % 6).alias("community"), "snapshot_date")
-            .agg(F.count(F.lit(1)).alias("mention_count"), F.sum("cents").alias("score"))
-        )
-        return self._keep(
-            _typed(
-                daily.select(
-                    category(F.col("index")).alias("category_name"),
-                    self._keyword().alias("keyword"),
-                    F.concat(F.lit("src"), F.col("community")).alias("subreddit"),
-                    "snapshot_date",
-                    "mention_count",
-                    ratio(F.col("score"), F.col("mention_count") * 100, 2).alias("avg_score"),
-                ),
-                "social_buzz",
+            self.table("events")
+            .where(f"NOT {SEARCH_EVENT}")
+            .selectExpr(
+                "user_id % 10 AS index",
+                "event_type",
+                "event_id % 6 AS community",
+                "CAST(ts AS date) AS snapshot_date",
+                f"{cents('value')} AS cents",
             )
+            .groupBy("index", "event_type", "community", "snapshot_date")
+            .agg(F.expr("count(*) AS mention_count"), F.expr("sum(cents) AS score"))
+        )
+        return self._table(
+            "social_buzz",
+            daily.selectExpr(
+                f"{category('index')} AS category_name",
+                f"{KEYWORD} AS keyword",
+                "concat('src', community) AS subreddit",
+                "snapshot_date",
+                "mention_count",
+                f"{ratio('score', 'mention_count * 100', 2)} AS avg_score",
+            ),
+            schemas.SOCIAL_BUZZ,
         )
 
     @cached_property
     def consumer_spend(self) -> DataFrame:
         yearly = (
             self.table("orders")
-            .select(
-                (F.col("o_custkey") % 10).alias("index"),
-                (F.year("o_orderdate") + 23).alias("year"),
-                cents("o_totalprice").alias("cents"),
-            )
+            .selectExpr("o_custkey % 10 AS index", "year(o_orderdate) + 23 AS year", f"{cents('o_totalprice')} AS cents")
             .groupBy("index", "year")
-            .agg(F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("orders"))
-        )
-        history = Window.partitionBy("category_name").orderBy("year")
-        spend = yearly.select(
-            category(F.col("index")).alias("category_name"),
-            category(F.col("index")).alias("bls_category"),
-            "year",
-            ratio(F.col("cents"), F.col("orders") * 100, 2).alias("avg_annual_spend"),
+            .agg(F.expr("sum(cents) AS cents"), F.expr("count(*) AS orders"))
+            .selectExpr("index", "year", f"{ratio('cents', 'orders * 100', 2)} AS avg_annual_spend")
         )
-        return self._keep(
-            _typed(spend.withColumn("yoy_change", relative_change("avg_annual_spend", history)), "consumer_spend")
+        return self._table(
+            "consumer_spend",
+            yearly.selectExpr(
+                f"{category('index')} AS category_name",
+                f"{category('index')} AS bls_category",
+                "year",
+                "avg_annual_spend",
+                f"{relative_change('avg_annual_spend', 'PARTITION BY index ORDER BY year')} AS yoy_change",
+            ),
+            schemas.CONSUMER_SPEND,
         )
 
     @cached_property
     def retail_vs_ecomm(self) -> DataFrame:
-        online_of_ten = F.element_at(F.array(*[F.lit(n) for n in ONLINE_OF_TEN]), F.col("index").cast("int") + 1)
-        orders = self.table("orders").select(
-            (F.col("o_custkey") % 10).alias("index"),
-            F.date_add(F.lit(date(2024, 1, 1)), F.floor(day_offset("o_orderdate") / 3).cast("int") * 3).alias(
-                "period_date"
-            ),
-            (F.col("o_orderkey") % 10).alias("digit"),
-        )
-        periods = orders.groupBy("index", "period_date").agg(
-            F.count_if(F.col("digit") < online_of_ten).alias("online"), F.count(F.lit(1)).alias("all")
-        )
-        history = Window.partitionBy("category_name").orderBy("period_date")
-        shares = periods.select(
-            category(F.col("index")).alias("category_name"),
-            "period_date",
-            ratio(F.col("online"), F.col("all"), 4).alias("ecomm_share"),
-        ).withColumn("retail_share", 1 - F.col("ecomm_share"))
-        return self._keep(
-            _typed(
-                shares.withColumns(
-                    {
-                        "ecomm_growth": relative_change("ecomm_share", history),
-                        "retail_growth": relative_change("retail_share", history),
-                        "source": F.lit(catalog.DERIVED),
-                    }
-                ),
-                "retail_vs_ecomm",
+        online_of_ten = f"element_at(array({', '.join(map(str, ONLINE_OF_TEN))}), CAST(index AS int) + 1)"
+        shares = (
+            self.table("orders")
+            .selectExpr(
+                "o_custkey % 10 AS index",
+                f"date_add(DATE'2024-01-01', int(({day_offset('o_orderdate')}) div 3 * 3)) AS period_date",
+                "o_orderkey % 10 AS digit",
             )
+            .groupBy("index", "period_date")
+            .agg(F.expr(f"count_if(digit < {online_of_ten}) AS online"), F.expr("count(*) AS orders"))
+            .selectExpr("index", "period_date", f"CAST({ratio('online', 'orders', 4)} AS decimal(5,4)) AS ecomm_share")
+            .selectExpr("*", "1 - ecomm_share AS retail_share")
+        )
+        history = "PARTITION BY index ORDER BY period_date"
+        return self._table(
+            "retail_vs_ecomm",
+            shares.selectExpr(
+                f"{category('index')} AS category_name",
+                "period_date",
+                "ecomm_share",
+                "retail_share",
+                f"{relative_change('ecomm_share', history)} AS ecomm_growth",
+                f"{relative_change('retail_share', history)} AS retail_growth",
+                f"'{catalog.DERIVED}' AS source",
+            ),
+            schemas.RETAIL_VS_ECOMM,
         )
 
-    def scores(self, run_dates: list[date]) -> DataFrame:
-        return self._keep(
-            niche_scores(self.category_trends, self.search_signals, self.social_buzz, self.consumer_spend, run_dates)
+    @cached_property
+    def score_inputs(self) -> DataFrame:
+        return self._table(
+            "score_inputs",
+            score_inputs(self.category_trends, self.search_signals, self.social_buzz, self.consumer_spend, RUN_DATES),
         )
 
     @cached_property
     def niche_scores(self) -> DataFrame:
-        return self.scores(RUN_DATES)
+        return self._table("niche_scores", score_categories(self.score_inputs))
 
 
 class RawFeeds(RawData):
@@ -246,28 +275,20 @@ class RawFeeds(RawData):
 
     def listing_pages(self) -> DataFrame:
         """One page per item; line 7 has no price and only returnflag N is on sale at a fixed price."""
-        index = F.col("l_partkey") % 10
-        item = F.struct(
-            F.when(
-                F.col("l_linenumber") != 7, F.struct(F.col("l_extendedprice").cast("string").alias("value"))
-            ).alias("price"),
-            F.when(F.col("l_returnflag") == "N", F.array(F.lit("FIXED_PRICE")))
-            .otherwise(F.array(F.lit("AUCTION")))
-            .alias("buyingOptions"),
-        )
-        ids = F.array(*[F.lit(i) for i in catalog.CATEGORY_IDS.values()])
-        return self.table("lineitem").select(
-            category(index).alias("category_name"),
-            F.element_at(ids, index.cast("int") + 1).alias("category_id"),
-            F.lit(None).cast("bigint").alias("total"),
-            F.array(item).alias("itemSummaries"),
+        index = "l_partkey % 10"
+        return self.table("lineitem").selectExpr(
+            f"{category(index)} AS category_name",
+            f"element_at({text_array(catalog.CATEGORY_IDS.values())}, CAST({index} AS int) + 1) AS category_id",
+            "CAST(NULL AS bigint) AS total",
+            "array(named_struct("
+            "'price', CASE WHEN l_linenumber <> 7 THEN named_struct('value', CAST(l_extendedprice AS string)) END, "
+            "'buyingOptions', CASE WHEN l_returnflag = 'N' THEN array('FIXED_PRICE') ELSE array('AUCTION') END"
+            ")) AS itemSummaries",
         )
 
     def bestseller_items(self) -> DataFrame:
-        return self.table("part").select(
-            F.concat(F.lit("bestsellers_"), F.col("p_brand")).alias("list_type"),
-            F.col("p_retailprice").alias("price"),
-            "p_partkey",
+        return self.table("part").selectExpr(
+            "concat('bestsellers_', p_brand) AS list_type", "p_retailprice AS price", "p_partkey"
         )
 
     @staticmethod
@@ -279,26 +300,26 @@ class RawFeeds(RawData):
         return {f"{c.lower()} {kind}": c for c in catalog.CATEGORIES for kind in ("view", "click")}
 
     def search_points(self) -> DataFrame:
-        events = self.table("events").where(F.col("event_type").isin("view", "click"))
-        return events.select(
-            F.concat_ws(" ", F.lower(category(F.col("user_id") % 10)), F.col("event_type")).alias("keyword"),
-            F.col("ts").alias("point_ts"),
-            "event_id",
-            F.col("value").alias("interest"),
+        return (
+            self.table("events")
+            .where(SEARCH_EVENT)
+            .selectExpr("user_id % 10 AS index", "event_type", "ts AS point_ts", "event_id", "value AS interest")
+            .selectExpr(f"{KEYWORD} AS keyword", "point_ts", "event_id", "interest")
         )
 
     def posts(self) -> DataFrame:
-        index = (F.col("user_id") % 10).cast("int")
-        terms = F.array(*[F.lit(t) for t in catalog.COMMUNITY_TERMS.values()])
-        communities = F.array(*[F.lit(c) for c in catalog.COMMUNITIES])
-        return self.table("events").where(~F.col("event_type").isin("view", "click")).select(
-            F.element_at(communities, (F.col("event_id") % 6).cast("int") + 1).alias("subreddit"),
-            F.element_at(terms, index + 1).alias("keyword"),
-            F.datediff(F.col("ts").cast("date"), F.lit(date(1970, 1, 1))).cast("double").alias("days"),
-            F.col("ts"),
-            "event_id",
-            F.col("value").alias("score"),
-        ).withColumn("created_utc", F.col("days") * 86400)
+        return (
+            self.table("events")
+            .where(f"NOT {SEARCH_EVENT}")
+            .selectExpr(
+                f"element_at({text_array(catalog.COMMUNITIES)}, CAST(event_id % 6 AS int) + 1) AS subreddit",
+                f"element_at({text_array(catalog.COMMUNITY_TERMS.values())}, CAST(user_id % 10 AS int) + 1) AS keyword",
+                "datediff(ts, DATE'1970-01-01') * 86400D AS created_utc",
+                "ts",
+                "event_id",
+                "value AS score",
+            )
+        )
 
     @staticmethod
     def post_order() -> list[Column]:
@@ -306,84 +327,72 @@ class RawFeeds(RawData):
         return [F.col("ts").desc(), F.col("event_id").desc()]
 
     def spend_rows(self) -> DataFrame:
-        yearly = (
+        return (
             self.table("orders")
-            .select("o_orderpriority", F.year("o_orderdate").alias("year"), cents("o_totalprice").alias("cents"))
+            .selectExpr("o_orderpriority", "year(o_orderdate) + 23 AS year", f"{cents('o_totalprice')} AS cents")
             .groupBy("o_orderpriority", "year")
-            .agg(F.sum("cents").alias("cents"))
-        )
-        history = Window.partitionBy("o_orderpriority").orderBy("year")
-        return yearly.select(
-            F.concat(F.lit(" "), F.col("o_orderpriority")).alias("category"),
-            (F.col("year") + 23).alias("year"),
-            (F.col("cents") / 100).alias("avg_annual_expenditure"),
-            (F.coalesce(F.lag("cents").over(history), F.lit(0)) / 100).alias("prev_year_expenditure"),
+            .agg(F.expr("sum(cents) AS cents"))
+            .selectExpr(
+                "concat(' ', o_orderpriority) AS category",
+                "year",
+                "cents / 100 AS avg_annual_expenditure",
+                "coalesce(lag(cents) OVER (PARTITION BY o_orderpriority ORDER BY year), 0) / 100 AS prev_year_expenditure",
+            )
         )
 
     # Dirty batches: padded and mis-cased names, numbers as text, values out of range, repeated keys.
 
     @staticmethod
-    def _untidy(name: Column, flag: Column) -> Column:
-        return F.when(flag % 3 == 0, F.concat(F.lit("  "), F.upper(name))).when(
-            flag % 3 == 1, F.concat(F.lower(name), F.lit("\t "))
-        ).otherwise(name)
+    def _untidy(index: str, flag: str) -> str:
+        name = category(index)
+        return (
+            f"CASE {flag} % 3 WHEN 0 THEN concat('  ', upper({name})) WHEN 1 THEN concat(lower({name}), '\\t ') ELSE {name} END"
+        )
 
     LISTING_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
     def listing_batch(self) -> DataFrame:
-        line = F.col("l_linenumber")
-        return self.table("lineitem").select(
+        return self.table("lineitem").selectExpr(
             *self.LISTING_ORDER,
-            self._untidy(category(F.col("l_partkey") % 10), line).alias("category_name"),
-            F.col("l_partkey").cast("string").alias("category_id"),
-            F.when(F.col("l_suppkey") % 4 == 0, catalog.RANKED_LISTS).otherwise(catalog.MARKETPLACE).alias("source"),
-            F.date_format(folded_day("l_shipdate"), "yyyy-MM-dd").alias("snapshot_date"),
-            F.when(line == 3, "many").otherwise(F.col("l_quantity").cast("string")).alias("listing_count"),
-            F.when(line == 7, "n/a").otherwise((F.col("l_extendedprice") / 1000).cast("string")).alias("avg_price"),
-            F.when(line == 5, None).otherwise(F.col("l_quantity") / 4).alias("sold_count"),
-            (F.col("l_discount") * 15 - 0.1).cast("string").alias("sell_through"),
-            F.when(line % 2 == 0, line.cast("string")).alias("rank_position"),
+            f"{self._untidy('l_partkey % 10', 'l_linenumber')} AS category_name",
+            "CAST(l_partkey AS string) AS category_id",
+            f"{SOURCE} AS source",
+            f"CAST({folded_day('l_shipdate')} AS string) AS snapshot_date",
+            "CASE WHEN l_linenumber = 3 THEN 'many' ELSE CAST(l_quantity AS string) END AS listing_count",
+            "CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(l_extendedprice / 1000 AS string) END AS avg_price",
+            "CASE WHEN l_linenumber <> 5 THEN l_quantity / 4 END AS sold_count",
+            "CAST(l_discount * 15 - 0.1D AS string) AS sell_through",
+            "CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_linenumber AS string) END AS rank_position",
         )
 
-    def _event_index(self) -> Column:
-        return category(F.col("user_id") % 10)
-
     def search_batch(self) -> DataFrame:
-        return self.table("events").where(F.col("event_type").isin("view", "click")).select(
+        return self.table("events").where(SEARCH_EVENT).selectExpr(
             "event_id",
-            F.concat(F.lit("  "), F.initcap(F.concat_ws(" ", self._event_index(), F.col("event_type"))), F.lit(" ")).alias(
-                "keyword"
-            ),
-            self._untidy(self._event_index(), F.col("event_id")).alias("category_name"),
-            F.date_format("ts", "yyyy-MM-dd").alias("snapshot_date"),
-            F.when(F.col("event_id") % 11 == 0, "unknown").otherwise((F.col("value") - 5).cast("string")).alias(
-                "interest_score"
-            ),
-            F.when(F.col("user_id") % 7 == 0, "ca").when(F.col("user_id") % 7 == 1, None).otherwise("us").alias("geo"),
+            f"concat('  ', initcap(concat_ws(' ', {category('user_id % 10')}, event_type)), ' ') AS keyword",
+            f"{self._untidy('user_id % 10', 'event_id')} AS category_name",
+            "CAST(CAST(ts AS date) AS string) AS snapshot_date",
+            "CASE WHEN event_id % 11 = 0 THEN 'unknown' ELSE CAST(value - 5 AS string) END AS interest_score",
+            "CASE user_id % 7 WHEN 0 THEN 'ca' WHEN 1 THEN NULL ELSE 'us' END AS geo",
         )
 
     def social_batch(self) -> DataFrame:
-        return self.table("events").where(~F.col("event_type").isin("view", "click")).select(
+        return self.table("events").where(f"NOT {SEARCH_EVENT}").selectExpr(
             "event_id",
-            self._untidy(self._event_index(), F.col("event_id")).alias("category_name"),
-            F.upper(F.concat_ws(" ", self._event_index(), F.col("event_type"))).alias("keyword"),
-            F.concat(F.lit(" Src"), F.col("event_id") % 6, F.lit("\n")).alias("subreddit"),
-            F.date_format("ts", "yyyy-MM-dd").alias("snapshot_date"),
-            F.when(F.col("event_id") % 13 == 0, "?").otherwise((F.col("value") / 2).cast("string")).alias("mention_count"),
-            F.when(F.col("event_id") % 5 == 0, None).otherwise((F.col("value") / 7).cast("string")).alias("avg_score"),
+            f"{self._untidy('user_id % 10', 'event_id')} AS category_name",
+            f"upper(concat_ws(' ', {category('user_id % 10')}, event_type)) AS keyword",
+            "concat(' Src', event_id % 6, '\\n') AS subreddit",
+            "CAST(CAST(ts AS date) AS string) AS snapshot_date",
+            "CASE WHEN event_id % 13 = 0 THEN '?' ELSE CAST(value / 2 AS string) END AS mention_count",
+            "CASE WHEN event_id % 5 <> 0 THEN CAST(value / 7 AS string) END AS avg_score",
         )
 
     def spend_batch(self) -> DataFrame:
         """Years spread over 1995 .. 2018, so some are dropped as too old."""
-        return self.table("orders").select(
+        return self.table("orders").selectExpr(
             "o_orderkey",
-            self._untidy(category(F.col("o_custkey") % 10), F.col("o_orderkey")).alias("category_name"),
-            F.col("o_orderpriority").alias("bls_category"),
-            F.when(F.col("o_orderkey") % 17 == 0, "year?")
-            .otherwise((F.year("o_orderdate") + F.col("o_orderkey") % 18).cast("string"))
-            .alias("year"),
-            (F.col("o_totalprice") / 3).cast("string").alias("avg_annual_spend"),
-            F.when(F.col("o_orderkey") % 19 == 0, "-").otherwise((F.col("o_totalprice") / 1000000 - 0.2).cast("string")).alias(
-                "yoy_change"
-            ),
+            f"{self._untidy('o_custkey % 10', 'o_orderkey')} AS category_name",
+            "o_orderpriority AS bls_category",
+            "CASE WHEN o_orderkey % 17 = 0 THEN 'year?' ELSE CAST(year(o_orderdate) + o_orderkey % 18 AS string) END AS year",
+            "CAST(o_totalprice / 3 AS string) AS avg_annual_spend",
+            "CASE WHEN o_orderkey % 19 = 0 THEN '-' ELSE CAST(o_totalprice / 1000000 - 0.2D AS string) END AS yoy_change",
         )

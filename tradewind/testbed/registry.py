@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind import catalog, schemas
+from tradewind.functions.literals import day
 from tradewind.functions.numeric import clip_score
 from tradewind.functions.text import normalize_category
 from tradewind.operators.normalize import with_minmax
@@ -18,34 +19,22 @@ from tradewind.plans import analytics, clean, reads, scoring, summaries, views,
 from tradewind.plans.daily import DailyFeeds, run_daily
 from tradewind.sources import feeds
 from tradewind.sources.store import SignalStore, read_table
-from tradewind.testbed.mapping import AS_OF, RUN_DATES, RawFeeds, SignalTables
+from tradewind.testbed.mapping import AS_OF, GIVEN, RawFeeds, SignalTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DEEP_DIVE = "Electronics"
 EXPLORED = ["Electronics", "Pet Supplies", "Toys & Hobbies"]
 ENTRY_RUN = date(2024, 1, 24)
-ORDERS = schemas.table(
-    o_orderkey=T.LongType(),
-    o_custkey=T.LongType(),
-    o_orderstatus=T.StringType(),
-    o_totalprice=T.DoubleType(),
-    o_orderdate=T.TimestampNTZType(),
-    o_orderpriority=T.StringType(),
-)
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, for comparison with an engine that has other decimal types."""
-    return df.select(
-        *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-            for f in df.schema
-        ]
+    return df.selectExpr(
+        *[f"CAST({f.name} AS double) AS {f.name}" if isinstance(f.dataType, T.DecimalType) else f.name for f in df.schema]
     )
 
 
-def over_signals(build: Callable[[SignalTables], DataFrame], reuse: bool = True) -> Query:
+def over_signals(build: Callable[[SignalTables], DataFrame], *reuse: str) -> Query:
+    """A query over the mapped tables; ``reuse`` names those it reads more than once."""
     return lambda spark, sf_dir: plain(build(SignalTables(spark, sf_dir, reuse)))
 
 
@@ -80,10 +69,6 @@ def explorer(t: SignalTables) -> DataFrame:
     return views.mv_trends_explorer(t.category_trends, t.search_signals, t.social_buzz)
 
 
-def inputs(t: SignalTables) -> DataFrame:
-    return scoring.score_inputs(t.category_trends, t.search_signals, t.social_buzz, t.consumer_spend, RUN_DATES)
-
-
 def rising(t: SignalTables, per_date: bool) -> DataFrame:
     return analytics.cte_rising_categories(
         t.niche_scores, t.category_trends, t.search_signals, t.social_buzz, t.consumer_spend, AS_OF, per_date
@@ -91,12 +76,12 @@ def rising(t: SignalTables, per_date: bool) -> DataFrame:
 
 
 def top_entries(t: SignalTables) -> DataFrame:
-    scores = t.niche_scores.where(F.col("scored_at") <= F.lit(ENTRY_RUN))
+    scores = t.niche_scores.where(f"scored_at <= {day(ENTRY_RUN)}")
     return analytics.cte_top_entries(scores, t.category_trends, t.retail_vs_ecomm, ENTRY_RUN)
 
 
 def competition_scores(t: SignalTables) -> DataFrame:
-    raw = inputs(t).withColumn("raw_competition", scoring.competition(F.col("avg_listings")))
+    raw = t.score_inputs.selectExpr("*", f"{scoring.competition('avg_listings')} AS raw_competition")
     scaled = with_minmax(raw, "raw_competition", "competition_score", ["as_of"])
     return scaled.select("as_of", "category_name", "competition_score")
 
@@ -108,28 +93,25 @@ def explored(t: SignalTables, signal: str, days: int) -> DataFrame:
 # --- keyed loads: old rows, and a batch that overlaps them and holds each key twice ---
 
 
-def overlapping_load(table: str, cut: object, overlap: object, changed: str, amount) -> Query:
+def overlapping_load(table: str, cut: str, overlap: str, changed: str, amount: int, *reuse: str) -> Query:
     column = schemas.PARTITION_COLUMN[table]
 
     def build(t: SignalTables) -> DataFrame:
         rows = getattr(t, table)
-        recent = rows.where(F.col(column) >= F.lit(overlap))
-        batch = recent.withColumn("sequence", F.lit(0)).unionByName(
-            recent.withColumns({changed: F.col(changed) + amount, "sequence": F.lit(1)})
+        batch = rows.where(f"{column} >= {overlap}").selectExpr(
+            *[c for c in rows.columns if c != changed],
+            f"posexplode(array({changed}, {changed} + {amount})) AS (sequence, {changed})",
         )
-        existing = rows.where(F.col(column) <= F.lit(cut))
-        return upsert(existing, batch, schemas.KEYS[table], [F.col("sequence").desc()])
+        return upsert(rows.where(f"{column} <= {cut}"), batch, schemas.KEYS[table], [F.col("sequence").desc()])
 
-    return over_signals(build)
+    return over_signals(build, table, *reuse)
 
 
 def partial_upsert(t: SignalTables) -> DataFrame:
     """A batch without the price and rank columns: those keep their old value, or stay NULL in new rows."""
-    existing = t.category_trends.where(F.col("snapshot_date") <= F.lit(date(2024, 1, 20)))
-    batch = (
-        t.category_trends.where(F.col("snapshot_date") >= F.lit(date(2024, 1, 15)))
-        .withColumn("sold_count", F.col("sold_count") + 1)
-        .drop("avg_price", "rank_position", "category_id")
+    existing = t.category_trends.where("snapshot_date <= DATE'2024-01-20'")
+    batch = t.category_trends.where("snapshot_date >= DATE'2024-01-15'").selectExpr(
+        "category_name", "source", "snapshot_date", "listing_count", "sold_count + 1 AS sold_count", "sell_through"
     )
     return upsert(existing, batch, schemas.KEYS["category_trends"], None, schemas.DEFAULTS["category_trends"])
 
@@ -138,7 +120,7 @@ def partial_upsert(t: SignalTables) -> DataFrame:
 
 
 def loaded_store(spark: SparkSession, sf_dir: str) -> SignalStore:
-    store, tables = SignalStore(spark, shared_folder(spark)), SignalTables(spark, sf_dir, reuse=True)
+    store, tables = SignalStore(spark, shared_folder(spark)), SignalTables(spark, sf_dir, ("score_inputs",))
     for table in schemas.TABLES:
         store.upsert(table, getattr(tables, table))
     return store
@@ -158,7 +140,7 @@ def table_sizes(store: SignalStore) -> DataFrame:
 def loaded_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load everything twice; the second load changes nothing."""
     store = loaded_store(spark, sf_dir)
-    tables = SignalTables(spark, sf_dir, reuse=True)
+    tables = SignalTables(spark, sf_dir, ("score_inputs",))
     for table in schemas.TABLES:
         store.upsert(table, getattr(tables, table))
     return table_sizes(store)
@@ -205,19 +187,19 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    messy = F.concat(F.lit(" \t"), F.upper("p_name"), F.lit("'s 3d-"), F.col("p_type"), F.lit(" & "), "p_brand", F.lit(" \n"))
-    return part.select("p_partkey", normalize_category(messy).alias("category_name"))
+    messy = "concat(' \\t', upper(p_name), '\\'s 3d-', p_type, ' & ', p_brand, ' \\n')"
+    part = RawFeeds(spark, sf_dir).table("part")
+    return part.select("p_partkey", normalize_category(F.expr(messy)).alias("category_name"))
 
 
 def clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    shifted = F.when(F.col("event_id") % 10 == 0, None).otherwise(F.col("value") - 20)
-    return events.select("event_id", clip_score(shifted).alias("score"))
+    events = RawFeeds(spark, sf_dir).table("events")
+    shifted = events.selectExpr("event_id", "CASE WHEN event_id % 10 <> 0 THEN value - 20 END AS shifted")
+    return shifted.select("event_id", clip_score("shifted").alias("score"))
 
 
 def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, f"{sf_dir}/orders.parquet", ORDERS)
+    orders = read_table(spark, f"{sf_dir}/orders.parquet", GIVEN["orders"])
     return orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
@@ -229,8 +211,9 @@ def minmax_listings(t: SignalTables) -> DataFrame:
 def sparkline(t: SignalTables) -> DataFrame:
     """The score series as text of hundredths."""
     lines = summaries.score_sparkline(reads.get_score_history(t.niche_scores))
-    hundredths = F.transform("scores", lambda s: (s * 100).cast("bigint").cast("string"))
-    return lines.select("category_name", F.array_join(hundredths, ",").alias("scores"))
+    return lines.selectExpr(
+        "category_name", "array_join(transform(scores, s -> CAST(CAST(s * 100 AS bigint) AS string)), ',') AS scores"
+    )
 
 
 def build_queries() -> dict[str, Query]:
@@ -242,22 +225,37 @@ def build_queries() -> dict[str, Query]:
 
     def by_source(raw: RawFeeds, source: str) -> DataFrame:
         return clean.clean_category_trends(
-            listings(raw).where(F.col("source") == source), orders_of(raw.LISTING_ORDER)
+            listings(raw).where(f"source = '{source}'"), orders_of(raw.LISTING_ORDER)
         )
 
     def channel_summary(t: SignalTables) -> DataFrame:
         return reads.get_channel_summary(comparison(t))
 
-    def kpis(t: SignalTables) -> DataFrame:
-        return summaries.niche_kpis(reads.get_niche_finder(niches(t), min_score=30))
+    # A score query reads the inputs twice; a read model reads the scores twice as well.
+    scored = ("score_inputs",)
+    board = ("category_trends", "score_inputs", "niche_scores")
+    finder = ("category_trends", "search_signals", "social_buzz", "consumer_spend", "score_inputs")
+    combined = (*finder, "niche_scores")
+
+    def scores(build: Callable[[SignalTables], DataFrame]) -> Query:
+        return over_signals(build, *scored)
+
+    def of_board(build: Callable[[DataFrame], DataFrame]) -> Query:
+        return over_signals(lambda t: build(leaderboard(t)), *board)
+
+    def of_niches(build: Callable[[DataFrame], DataFrame]) -> Query:
+        return over_signals(lambda t: build(niches(t)), *finder)
+
+    def of_summary(build: Callable[[DataFrame], DataFrame]) -> Query:
+        return over_signals(lambda t: build(channel_summary(t)))
 
     return {
         # signal tables
-        "category_trends": over_signals(lambda t: t.category_trends, reuse=False),
-        "search_signals": over_signals(lambda t: t.search_signals, reuse=False),
-        "social_buzz": over_signals(lambda t: t.social_buzz, reuse=False),
-        "consumer_spend": over_signals(lambda t: t.consumer_spend, reuse=False),
-        "retail_vs_ecomm": over_signals(lambda t: t.retail_vs_ecomm, reuse=False),
+        "category_trends": over_signals(lambda t: t.category_trends),
+        "search_signals": over_signals(lambda t: t.search_signals),
+        "social_buzz": over_signals(lambda t: t.social_buzz),
+        "consumer_spend": over_signals(lambda t: t.consumer_spend),
+        "retail_vs_ecomm": over_signals(lambda t: t.retail_vs_ecomm),
         # sources and sinks
         "src_listings": over_feeds(lambda r: feeds.src_listings(r.listing_pages(), AS_OF)),
         "src_bestsellers": over_feeds(
@@ -269,21 +267,23 @@ def build_queries() -> dict[str, Query]:
         "src_social_posts": over_feeds(lambda r: feeds.src_social_posts(r.posts(), AS_OF, r.post_order())),
         "src_spend_csv": over_feeds(lambda r: feeds.src_spend_csv(r.spend_rows(), r.SPEND_LABELS)),
         "read_table": stored_orders,
-        "upsert": overlapping_load("category_trends", date(2024, 1, 20), date(2024, 1, 15), "sold_count", 1),
-        "upsert_partial": over_signals(partial_upsert),
+        "upsert": overlapping_load("category_trends", "DATE'2024-01-20'", "DATE'2024-01-15'", "sold_count", 1),
+        "upsert_partial": over_signals(partial_upsert, "category_trends"),
         "load_category_trends": overlapping_load(
-            "category_trends", date(2024, 1, 10), date(2024, 1, 9), "listing_count", 7
+            "category_trends", "DATE'2024-01-10'", "DATE'2024-01-09'", "listing_count", 7
         ),
         "load_search_signals": overlapping_load(
-            "search_signals", date(2024, 1, 20), date(2024, 1, 15), "interest_score", 1
+            "search_signals", "DATE'2024-01-20'", "DATE'2024-01-15'", "interest_score", 1
+        ),
+        "load_social_buzz": overlapping_load(
+            "social_buzz", "DATE'2024-01-20'", "DATE'2024-01-15'", "mention_count", 3
         ),
-        "load_social_buzz": overlapping_load("social_buzz", date(2024, 1, 20), date(2024, 1, 15), "mention_count", 3),
-        "load_consumer_spend": overlapping_load("consumer_spend", 2022, 2021, "avg_annual_spend", 1),
+        "load_consumer_spend": overlapping_load("consumer_spend", "2022", "2021", "avg_annual_spend", 1),
         "load_retail_vs_ecomm": overlapping_load(
-            "retail_vs_ecomm", date(2024, 1, 19), date(2024, 1, 13), "retail_growth", 1
+            "retail_vs_ecomm", "DATE'2024-01-19'", "DATE'2024-01-13'", "retail_growth", 1
         ),
         "load_niche_scores": overlapping_load(
-            "niche_scores", date(2024, 1, 26), date(2024, 1, 24), "opportunity_score", 1
+            "niche_scores", "DATE'2024-01-26'", "DATE'2024-01-24'", "opportunity_score", 1, "score_inputs"
         ),
         "load_tables_twice": loaded_tables,
         "reset_tables": reset,
@@ -299,45 +299,45 @@ def build_queries() -> dict[str, Query]:
         "clean_consumer_spend": over_feeds(
             lambda r: clean.clean_consumer_spend(r.spend_batch(), [F.col("o_orderkey")])
         ),
-        "build_retail_vs_ecomm": over_signals(lambda t: clean.build_retail_vs_ecomm(t.consumer_spend, AS_OF)),
+        "build_retail_vs_ecomm": over_signals(
+            lambda t: clean.build_retail_vs_ecomm(t.consumer_spend, AS_OF), "consumer_spend"
+        ),
         "union_sources": over_feeds(
             lambda r: clean.union_sources(by_source(r, catalog.MARKETPLACE), by_source(r, catalog.RANKED_LISTS))
         ),
         # scoring
-        "score_inputs": over_signals(inputs, reuse=False),
-        "minmax_normalize": over_signals(minmax_listings),
-        "competition": over_signals(competition_scores),
-        "opportunity_score": over_signals(
-            lambda t: scoring.component_scores(inputs(t)).select(
+        "score_inputs": over_signals(lambda t: t.score_inputs),
+        "minmax_normalize": over_signals(minmax_listings, "category_trends"),
+        "competition": scores(competition_scores),
+        "opportunity_score": scores(
+            lambda t: scoring.component_scores(t.score_inputs).select(
                 "as_of", "category_name", scoring.opportunity_score().alias("opportunity_score")
             )
         ),
-        "channel_edge": over_signals(
-            lambda t: scoring.component_scores(inputs(t)).select(
-                "as_of", "category_name", "demand_score", scoring.channel_edge(F.col("demand_score")).alias("channel_edge")
+        "channel_edge": scores(
+            lambda t: scoring.component_scores(t.score_inputs).select(
+                "as_of", "category_name", "demand_score", scoring.channel_edge("demand_score").alias("channel_edge")
             )
         ),
-        "recommendation": over_signals(
+        "recommendation": scores(
             lambda t: t.niche_scores.select(
-                "category_name",
-                "scored_at",
-                scoring.recommendation(F.col("opportunity_score")).alias("recommendation"),
+                "category_name", "scored_at", scoring.recommendation("opportunity_score").alias("recommendation")
             )
         ),
-        "niche_scores": over_signals(lambda t: t.niche_scores),
+        "niche_scores": scores(lambda t: t.niche_scores),
         "daily_job": daily,
         # read models
-        "mv_category_leaderboard": over_signals(leaderboard),
-        "mv_channel_comparison": over_signals(comparison, reuse=False),
-        "mv_niche_finder": over_signals(niches),
-        "mv_trends_explorer": over_signals(explorer, reuse=False),
+        "mv_category_leaderboard": of_board(lambda rows: rows),
+        "mv_channel_comparison": over_signals(comparison),
+        "mv_niche_finder": of_niches(lambda rows: rows),
+        "mv_trends_explorer": over_signals(explorer),
         # window queries
-        "wf_sell_through_delta": over_signals(lambda t: windows.wf_sell_through_delta(t.category_trends), reuse=False),
-        "wf_moving_avg": over_signals(lambda t: windows.wf_moving_avg(t.category_trends), reuse=False),
-        "wf_interest_momentum": over_signals(lambda t: windows.wf_interest_momentum(t.search_signals), reuse=False),
-        "wf_buzz_momentum": over_signals(lambda t: windows.wf_buzz_momentum(t.social_buzz), reuse=False),
-        "wf_rank_change": over_signals(lambda t: windows.wf_rank_change(t.niche_scores)),
-        "wf_percentile": over_signals(lambda t: windows.wf_percentile(t.category_trends, AS_OF)),
+        "wf_sell_through_delta": over_signals(lambda t: windows.wf_sell_through_delta(t.category_trends)),
+        "wf_moving_avg": over_signals(lambda t: windows.wf_moving_avg(t.category_trends)),
+        "wf_interest_momentum": over_signals(lambda t: windows.wf_interest_momentum(t.search_signals)),
+        "wf_buzz_momentum": over_signals(lambda t: windows.wf_buzz_momentum(t.social_buzz)),
+        "wf_rank_change": over_signals(lambda t: windows.wf_rank_change(t.niche_scores), "score_inputs", "niche_scores"),
+        "wf_percentile": over_signals(lambda t: windows.wf_percentile(t.category_trends, AS_OF), "category_trends"),
         # analytical queries
         "cte_score_breakdown": over_signals(
             lambda t: analytics.cte_score_breakdown(
@@ -348,47 +348,45 @@ def build_queries() -> dict[str, Query]:
                 t.consumer_spend,
                 t.retail_vs_ecomm,
                 AS_OF,
-            )
+            ),
+            *combined,
         ),
-        "cte_rising_categories": over_signals(lambda t: rising(t, per_date=False)),
-        "cte_rising_categories_per_date": over_signals(lambda t: rising(t, per_date=True)),
-        "cte_channel_gap": over_signals(lambda t: analytics.cte_channel_gap(t.retail_vs_ecomm), reuse=False),
+        "cte_rising_categories": over_signals(lambda t: rising(t, per_date=False), *combined),
+        "cte_rising_categories_per_date": over_signals(lambda t: rising(t, per_date=True), *combined),
+        "cte_channel_gap": over_signals(lambda t: analytics.cte_channel_gap(t.retail_vs_ecomm)),
         "cte_deep_dive": over_signals(
             lambda t: analytics.cte_deep_dive(
                 t.niche_scores, t.category_trends, t.search_signals, t.social_buzz, DEEP_DIVE
-            )
+            ),
+            *finder,
         ),
-        "cte_top_entries": over_signals(top_entries),
+        "cte_top_entries": over_signals(top_entries, *board, "retail_vs_ecomm"),
         # read API
-        "get_leaderboard": over_signals(lambda t: reads.get_leaderboard(leaderboard(t))),
-        "get_score_history": over_signals(lambda t: reads.get_score_history(t.niche_scores)),
-        "get_rising_declining": over_signals(lambda t: reads.get_rising_declining(leaderboard(t))),
-        "get_channel_comparison": over_signals(lambda t: reads.get_channel_comparison(comparison(t)), reuse=False),
-        "get_channel_summary": over_signals(channel_summary, reuse=False),
-        "get_niche_finder": over_signals(
-            lambda t: reads.get_niche_finder(niches(t), min_score=30, recommendation="watch", max_price=150)
-        ),
-        "get_category_timeseries": over_signals(
-            lambda t: reads.get_category_timeseries(explorer(t), DEEP_DIVE), reuse=False
-        ),
-        "get_category_score_breakdown": over_signals(
-            lambda t: reads.get_category_score_breakdown(niches(t), DEEP_DIVE)
+        "get_leaderboard": of_board(reads.get_leaderboard),
+        "get_score_history": scores(lambda t: reads.get_score_history(t.niche_scores)),
+        "get_rising_declining": of_board(reads.get_rising_declining),
+        "get_channel_comparison": over_signals(lambda t: reads.get_channel_comparison(comparison(t))),
+        "get_channel_summary": of_summary(lambda rows: rows),
+        "get_niche_finder": of_niches(
+            lambda rows: reads.get_niche_finder(rows, min_score=30, recommendation="watch", max_price=150)
         ),
-        "get_trends_explorer": over_signals(lambda t: explored(t, "search_interest", 14), reuse=False),
-        "get_all_category_names": over_signals(lambda t: reads.get_all_category_names(niches(t))),
+        "get_category_timeseries": over_signals(lambda t: reads.get_category_timeseries(explorer(t), DEEP_DIVE)),
+        "get_category_score_breakdown": of_niches(lambda rows: reads.get_category_score_breakdown(rows, DEEP_DIVE)),
+        "get_trends_explorer": over_signals(lambda t: explored(t, "search_interest", 14)),
+        "get_all_category_names": of_niches(reads.get_all_category_names),
         # dashboard figures
-        "momentum_counts": over_signals(lambda t: summaries.momentum_counts(leaderboard(t))),
-        "market_gauge": over_signals(lambda t: summaries.market_gauge(leaderboard(t))),
-        "avg_component_scores": over_signals(lambda t: summaries.avg_component_scores(leaderboard(t))),
-        "channel_status_counts": over_signals(lambda t: summaries.channel_status_counts(channel_summary(t)), reuse=False),
-        "channels_by_share": over_signals(lambda t: summaries.channels_by_share(channel_summary(t)), reuse=False),
-        "channels_by_growth": over_signals(lambda t: summaries.channels_by_growth(channel_summary(t)), reuse=False),
-        "niche_kpis": over_signals(kpis),
-        "latest_values": over_signals(lambda t: summaries.latest_values(explored(t, "avg_price", 90)), reuse=False),
-        "score_sparkline": over_signals(sparkline),
-        "score_band": over_signals(
+        "momentum_counts": of_board(summaries.momentum_counts),
+        "market_gauge": of_board(summaries.market_gauge),
+        "avg_component_scores": of_board(summaries.avg_component_scores),
+        "channel_status_counts": of_summary(summaries.channel_status_counts),
+        "channels_by_share": of_summary(summaries.channels_by_share),
+        "channels_by_growth": of_summary(summaries.channels_by_growth),
+        "niche_kpis": of_niches(lambda rows: summaries.niche_kpis(reads.get_niche_finder(rows, min_score=30))),
+        "latest_values": over_signals(lambda t: summaries.latest_values(explored(t, "avg_price", 90))),
+        "score_sparkline": scores(sparkline),
+        "score_band": scores(
             lambda t: t.niche_scores.select(
-                "category_name", "scored_at", summaries.score_band(F.col("opportunity_score")).alias("band")
+                "category_name", "scored_at", summaries.score_band("opportunity_score").alias("band")
             )
         ),
     }

@@ -4,10 +4,11 @@ Each table is one scan of one raw table and one hash aggregate. Money is summed
 the sums are exact, independent of row order, and stay in fixed-width buffers.
 """
 
+import tempfile
+import uuid
 from datetime import date
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,22 +97,37 @@ class RawData:
         return self.spark.read.schema(GIVEN[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the one the cluster shares; a temporary one only where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    return f"{shared.rstrip('/')}/signals-{uuid.uuid4().hex}"
+
+
 class SignalTables(RawData):
     """The six signal tables, each built on first use.
 
-    ``reuse`` keeps rows (at most a few thousand daily aggregates) of what a query reads more than
-    once, so the raw data behind it is scanned once. Kept rows have their full lineage: if an executor
-    is lost they are computed again.
+    ``reuse`` names the tables a query reads more than once. Those are written to the shared folder and
+    read back, as the daily job does: the raw data behind them is scanned once, their plan ends at a
+    small file (a few thousand daily aggregates at most) whose size the join planner knows, and the loss
+    of an executor costs nothing that is already written.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, reuse: tuple[str, ...] = ()):
         super().__init__(spark, sf_dir)
         self.reuse = reuse
 
+    @cached_property
+    def folder(self) -> str:
+        return shared_folder(self.spark)
+
     def _table(self, name: str, df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
         if schema is not None:
             df = schemas.typed(df, schema)
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if name in self.reuse else df
+        if name not in self.reuse:
+            return df
+        path = f"{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
     def category_trends(self) -> DataFrame:

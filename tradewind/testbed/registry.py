@@ -1,7 +1,5 @@
 """Every operator as a query over the given tables: name -> (spark, sf_dir) -> DataFrame."""
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -19,7 +17,7 @@ from tradewind.plans import analytics, clean, reads, scoring, summaries, views,
 from tradewind.plans.daily import DailyFeeds, run_daily
 from tradewind.sources import feeds
 from tradewind.sources.store import SignalStore, read_table
-from tradewind.testbed.mapping import AS_OF, GIVEN, RawFeeds, SignalTables
+from tradewind.testbed.mapping import AS_OF, GIVEN, RawFeeds, SignalTables, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,12 +40,6 @@ def over_feeds(build: Callable[[RawFeeds], DataFrame]) -> Query:
     return lambda spark, sf_dir: plain(build(RawFeeds(spark, sf_dir)))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster shares; a temporary one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
-    return f"{shared.rstrip('/')}/signals-{uuid.uuid4().hex}"
-
-
 # --- views and reads over the mapped tables ---
 
 

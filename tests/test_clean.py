@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 
 from tradewind import catalog, schemas
+from tradewind.functions.text import normalize_category
 from tradewind.plans import clean
 
 LISTING = {
@@ -131,6 +132,20 @@ def test_search_values(batch, change, column, expected):
     assert rows(clean.clean_search_signals(batch([changed(SEARCH, **change)])))[0][column] == expected
 
 
+def test_catalogue_names_are_in_normal_form(spark):
+    names = spark.createDataFrame([(c,) for c in catalog.CATEGORIES], "c string")
+    assert [r[0] for r in names.select(normalize_category("c")).collect()] == catalog.CATEGORIES
+    assert [c.strip().title() for c in catalog.CATEGORIES] == catalog.CATEGORIES
+
+
+@pytest.mark.parametrize(
+    "name", ["o'neil & SONS", "3d-PRINTERS", "é\u00e0lan vital", "\u2003em space\u00a0", "日本abc", "x", "", "a_b c1d", "ǆungla", "ÀÉ"]
+)
+def test_normal_form_equals_strip_and_title(spark, name):
+    df = spark.createDataFrame([(name,)], "c string")
+    assert df.select(normalize_category("c")).collect()[0][0] == name.strip().title()
+
+
 def test_search_keeps_every_keyword(batch):
     two = batch([changed(SEARCH, keyword="consumer electronics"), changed(SEARCH, keyword="gadgets online")])
     assert clean.clean_search_signals(two).count() == 2

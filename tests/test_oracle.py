@@ -20,7 +20,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, duck, name):
-    result = spark_rows(QUERIES[name](spark, SMALL))
+    df = QUERIES[name](spark, SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "MapInArrow"):
+        assert operator not in plan, operator
+    result = spark_rows(df)
     assert differences(result, sql_rows(duck, SQL[name])) is None
     assert result[1], "no rows to compare"
 

@@ -18,7 +18,10 @@ from tradewind.operators.keyed import first_per_key
 
 
 def _category() -> Column:
-    return required(normalize_category("category_name"), "category_name")
+    """The normalized category; catalogue names, by far the most rows, are already in that form."""
+    name = F.col("category_name")
+    tidy = F.when(name.isin(catalog.CATEGORIES), name).otherwise(normalize_category(name))
+    return required(tidy, "category_name")
 
 
 def _finish(table: str, batch: DataFrame, first: list[Column] | None, columns: dict[str, Column | str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tradewind.plans import clean
 from tradewind.plans.scoring import niche_scores
 from tradewind.sources import feeds
 from tradewind.sources.store import SignalStore
+from tradewind.sources.together import run_together
 
 
 @dataclass
@@ -48,13 +50,14 @@ def run_daily(store: SignalStore, raw: DailyFeeds, as_of: date) -> dict[str, int
     spend = clean.clean_consumer_spend(feeds.src_spend_csv(raw.spend, raw.spend_labels))
     channels = clean.build_retail_vs_ecomm(spend, as_of)
 
-    report: dict[str, int | str] = {
-        "category_trends": store.load_category_trends(trends),
-        "search_signals": store.load_search_signals(search),
-        "social_buzz": store.load_social_buzz(social),
-        "consumer_spend": store.load_consumer_spend(spend),
-        "retail_vs_ecomm": store.load_retail_vs_ecomm(channels),
+    loads = {
+        "category_trends": partial(store.load_category_trends, trends),
+        "search_signals": partial(store.load_search_signals, search),
+        "social_buzz": partial(store.load_social_buzz, social),
+        "consumer_spend": partial(store.load_consumer_spend, spend),
+        "retail_vs_ecomm": partial(store.load_retail_vs_ecomm, channels),
     }
+    report: dict[str, int | str] = run_together(store.spark, loads)
     scores = niche_scores(
         store.read("category_trends"),
         store.read("search_signals"),

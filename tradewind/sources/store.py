@@ -1,6 +1,7 @@
 """The signal tables and read models as partitioned Parquet in one shared folder."""
 
 from datetime import date
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from tradewind import schemas
 from tradewind.operators.upsert import upsert
 from tradewind.plans import views
+from tradewind.sources.together import run_together
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -120,16 +122,18 @@ class SignalStore:
 
         Each refresh is a partition of the view, swapped in on commit; readers take the newest one.
         """
-        outcome = {}
-        for name, plan in self.view_plans(as_of).items():
+
+        def refresh(name: str, plan: DataFrame) -> str:
             try:
                 self._replace_partitions(
                     plan.withColumn("refreshed_for", F.lit(as_of)), self.view_path(name), "refreshed_for"
                 )
-                outcome[name] = "refreshed"
+                return "refreshed"
             except Exception as error:  # noqa: BLE001 - reported per view, as the contract asks
-                outcome[name] = f"failed: {error}"
-        return outcome
+                return f"failed: {error}"
+
+        plans = self.view_plans(as_of)
+        return run_together(self.spark, {name: partial(refresh, name, plan) for name, plan in plans.items()})
 
     def read_view(self, view: str) -> DataFrame:
         """The newest refresh of a read model."""

@@ -7,7 +7,7 @@ the sums are exact, independent of row order, and stay in fixed-width buffers.
 import tempfile
 import uuid
 from datetime import date
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from tradewind import catalog, schemas
 from tradewind.functions.literals import day, text_array
 from tradewind.functions.numeric import ratio
 from tradewind.plans.scoring import score_categories, score_inputs
+from tradewind.sources.together import run_together
 
 AS_OF = date(2024, 1, 30)
 RUN_DATES = [date(2024, 1, d) for d in (22, 24, 26, 28, 30)]
@@ -120,6 +121,13 @@ class SignalTables(RawData):
     def folder(self) -> str:
         return shared_folder(self.spark)
 
+    def prepare(self) -> "SignalTables":
+        """Write the raw-derived tables to be reused, side by side."""
+        wanted = [name for name in self.reuse if name in schemas.TABLES and name != "niche_scores"]
+        if wanted and self.folder:
+            run_together(self.spark, {name: partial(getattr, self, name) for name in wanted})
+        return self
+
     def _table(self, name: str, df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
         if schema is not None:
             df = schemas.typed(df, schema)

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tradewind.plans import analytics, clean, reads, scoring, summaries, views,
 from tradewind.plans.daily import DailyFeeds, run_daily
 from tradewind.sources import feeds
 from tradewind.sources.store import SignalStore, read_table
+from tradewind.sources.together import run_together
 from tradewind.testbed.mapping import AS_OF, GIVEN, RawFeeds, SignalTables, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +35,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def over_signals(build: Callable[[SignalTables], DataFrame], *reuse: str) -> Query:
     """A query over the mapped tables; ``reuse`` names those it reads more than once."""
-    return lambda spark, sf_dir: plain(build(SignalTables(spark, sf_dir, reuse)))
+    return lambda spark, sf_dir: plain(build(SignalTables(spark, sf_dir, reuse).prepare()))
 
 
 def over_feeds(build: Callable[[RawFeeds], DataFrame]) -> Query:
@@ -111,10 +113,14 @@ def partial_upsert(t: SignalTables) -> DataFrame:
 # --- the store ---
 
 
+def load_all(store: SignalStore, sf_dir: str) -> None:
+    tables = SignalTables(store.spark, sf_dir, ("score_inputs",))
+    run_together(store.spark, {t: partial(store.upsert, t, getattr(tables, t)) for t in schemas.TABLES})
+
+
 def loaded_store(spark: SparkSession, sf_dir: str) -> SignalStore:
-    store, tables = SignalStore(spark, shared_folder(spark)), SignalTables(spark, sf_dir, ("score_inputs",))
-    for table in schemas.TABLES:
-        store.upsert(table, getattr(tables, table))
+    store = SignalStore(spark, shared_folder(spark))
+    load_all(store, sf_dir)
     return store
 
 
@@ -132,9 +138,7 @@ def table_sizes(store: SignalStore) -> DataFrame:
 def loaded_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load everything twice; the second load changes nothing."""
     store = loaded_store(spark, sf_dir)
-    tables = SignalTables(spark, sf_dir, ("score_inputs",))
-    for table in schemas.TABLES:
-        store.upsert(table, getattr(tables, table))
+    load_all(store, sf_dir)
     return table_sizes(store)
 
 
@@ -223,20 +227,20 @@ def build_queries() -> dict[str, Query]:
     def channel_summary(t: SignalTables) -> DataFrame:
         return reads.get_channel_summary(comparison(t))
 
-    # A score query reads the inputs twice; a read model reads the scores twice as well.
+    # A score query reads its inputs twice. Queries on scores and signals read the stored signal tables, as
+    # they do after a daily run; those that also look for the newest run read the scores twice.
     scored = ("score_inputs",)
-    board = ("category_trends", "score_inputs", "niche_scores")
-    finder = ("category_trends", "search_signals", "social_buzz", "consumer_spend", "score_inputs")
-    combined = (*finder, "niche_scores")
+    stored = ("category_trends", "search_signals", "social_buzz", "consumer_spend")
+    combined = (*stored, "niche_scores")
 
     def scores(build: Callable[[SignalTables], DataFrame]) -> Query:
         return over_signals(build, *scored)
 
     def of_board(build: Callable[[DataFrame], DataFrame]) -> Query:
-        return over_signals(lambda t: build(leaderboard(t)), *board)
+        return over_signals(lambda t: build(leaderboard(t)), *combined)
 
     def of_niches(build: Callable[[DataFrame], DataFrame]) -> Query:
-        return over_signals(lambda t: build(niches(t)), *finder)
+        return over_signals(lambda t: build(niches(t)), *stored)
 
     def of_summary(build: Callable[[DataFrame], DataFrame]) -> Query:
         return over_signals(lambda t: build(channel_summary(t)))
@@ -350,9 +354,9 @@ def build_queries() -> dict[str, Query]:
             lambda t: analytics.cte_deep_dive(
                 t.niche_scores, t.category_trends, t.search_signals, t.social_buzz, DEEP_DIVE
             ),
-            *finder,
+            *stored,
         ),
-        "cte_top_entries": over_signals(top_entries, *board, "retail_vs_ecomm"),
+        "cte_top_entries": over_signals(top_entries, *combined, "retail_vs_ecomm"),
         # read API
         "get_leaderboard": of_board(reads.get_leaderboard),
         "get_score_history": scores(lambda t: reads.get_score_history(t.niche_scores)),

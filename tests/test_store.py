@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tradewind import schemas
 from tradewind.operators.upsert import upsert
+from tradewind.plans.analytics import newest_run
 from tradewind.plans.daily import DailyFeeds, run_daily
 from tradewind.sources.store import SignalStore
+from tradewind.testbed.mapping import shared_folder
 
 AS_OF = date(2024, 6, 30)
 KEYS = schemas.KEYS["search_signals"]
@@ -153,3 +155,18 @@ def test_daily_job_without_second_source(spark, store):
     feeds = daily_feeds(spark, 30)
     feeds.bestsellers = None
     assert run_daily(store, feeds, AS_OF)["category_trends"] == 2
+
+
+def test_newest_run_prunes_partitions(store, make):
+    for day in ("2024-06-29", "2024-06-30"):
+        store.load_niche_scores(make("niche_scores", [{"category_name": "A", "scored_at": day, "opportunity_score": 5}]))
+    newest = newest_run(store.read("niche_scores"))
+    assert [r["scored_at"] for r in rows(newest)] == [AS_OF]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(scored_at" in plan and "scored_at" in plan.split("Subquery")[0]
+
+
+def test_shared_folder_follows_the_session(spark):
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    first, second = shared_folder(spark), shared_folder(spark)
+    assert first.startswith(f"{shared}/signals-") and first != second

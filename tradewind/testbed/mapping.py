@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind import catalog, schemas
-from tradewind.functions.literals import day, text_array
+from tradewind.functions.literals import text_array
 from tradewind.functions.numeric import ratio
 from tradewind.plans.scoring import score_categories, score_inputs
 from tradewind.sources.together import run_together

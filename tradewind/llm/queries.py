@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, labelled, licenses, packing, quality, rules, toxicity, urls
+from tradewind.llm import chat, labelled, licenses, near, packing, passages, quality, rules, toxicity, urls
 from tradewind.llm.shared import ship_package
 
 URL_RULES = [
@@ -102,6 +102,17 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged_pages(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's passages that an earlier document has."""
+    return passages.passages(table(spark, sf_dir, "documents"))
+
+
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its near-duplicates, named by the least doc_id."""
+    found = near.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -112,6 +123,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_packing,
         op6_toxicity,
         op7_url_filters,
+        op9_substring_dedup,
+        op10_minhash_near_dedup,
     )
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, labelled, licenses, near, packing, passages, quality, rules, toxicity, urls
+from tradewind.llm import chat, decontamination, labelled, licenses, near, packing, passages, quality, rules, toxicity, urls
 from tradewind.llm.shared import ship_package
 
 URL_RULES = [
@@ -102,6 +102,11 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged_pages(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item whose wording it holds."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's passages that an earlier document has."""
     return passages.passages(table(spark, sf_dir, "documents"))
@@ -123,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_packing,
         op6_toxicity,
         op7_url_filters,
+        op8_benchmark_decontamination,
         op9_substring_dedup,
         op10_minhash_near_dedup,
     )

@@ -44,7 +44,7 @@ ITEMS_AT_ONCE = 4096
 LANES = 16
 SLICES = 16
 _HALF = PASSAGE // 2
-_WORDS_AT_ONCE = 1 << 16
+_WORDS_AT_ONCE = 1 << 18
 
 FOUND = "doc_id long, item_id long, coverage double, start_word long, end_word long"
 
@@ -54,7 +54,7 @@ def plain_words(text: str | None) -> np.ndarray:
     if not text:
         return np.zeros(0, dtype=np.uint16)
     data = np.frombuffer(text.lower().encode("utf-8", "replace"), dtype=np.uint8)
-    return (word_hashes(data, *word_spans(data, ALPHANUMERIC)) >> np.uint64(48)).astype(np.uint16)
+    return (word_hashes(data, word_spans(data, ALPHANUMERIC)[0], ALPHANUMERIC) >> np.uint64(48)).astype(np.uint16)
 
 
 def word_table(docs: DataFrame) -> DataFrame:
@@ -80,17 +80,43 @@ class Chunk:
         halves = -(-sizes // _HALF)
         self.doc = np.repeat(np.arange(len(texts)), halves)
         self.place = (np.arange(len(self.doc)) - np.repeat(np.cumsum(halves) - halves, halves)) * _HALF
-        self.starts = np.repeat(np.cumsum(sizes) - sizes, halves) + self.place
+        starts = np.repeat(np.cumsum(sizes) - sizes, halves) + self.place
+        # A row for each half: its terms, then TERMS, for which every table of vectors gets a row of zeros.
+        self.size = np.minimum(np.repeat(sizes, halves) - self.place, _HALF)
+        self.rows = np.append(self.terms, np.full(_HALF, TERMS))[starts[:, None] + np.arange(_HALF)]
+        self.rows[np.arange(_HALF) >= self.size[:, None]] = TERMS
         self.goes_on = np.append(self.doc[1:] == self.doc[:-1], False)
 
     def passages(self, vectors: np.ndarray) -> np.ndarray:
         """For each half passage the sum of the vectors of its words and of the next half's."""
-        half = np.add.reduceat(vectors[self.terms], self.starts, axis=0)
+        half = summed_rows(np.concatenate([vectors, np.zeros_like(vectors[:1])]), self.rows)
         out = half.copy()
         out[:-1][self.goes_on[:-1]] += half[1:][self.goes_on[:-1]]
         return out
 
 
+def summed_rows(vectors: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of the vectors of each row of indices."""
+    total = np.take(vectors, rows[:, 0], axis=0)
+    for column in rows.T[1:]:
+        total += np.take(vectors, column, axis=0)
+    return total
+
+
+def summed_by_term(terms: np.ndarray, vectors: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms, and for each the sum of vectors[of] where it stands. Occurrences are summed in rows of _HALF."""
+    order = np.argsort(terms.astype(np.uint16), kind="stable")
+    found, first, times = np.unique(terms[order], return_index=True, return_counts=True)
+    rows_of = -(-times // _HALF)
+    begin = np.repeat(first, rows_of) + (np.arange(rows_of.sum()) - np.repeat(np.cumsum(rows_of) - rows_of, rows_of)) * _HALF
+    end = np.repeat(first + times, rows_of)
+    at = begin[:, None] + np.arange(_HALF)
+    which = np.append(of[order], np.full(_HALF, len(vectors)))[at]
+    which[at >= end[:, None]] = len(vectors)
+    sums = summed_rows(np.concatenate([vectors, np.zeros_like(vectors[:1])]), which)
+    return found, np.add.reduceat(sums, np.cumsum(rows_of) - rows_of, axis=0)
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
     ids, texts, size = [], [], 0
     for batch in batches:
@@ -159,11 +185,8 @@ def latent_space(words: DataFrame, weights: np.ndarray, seed: int = 1) -> np.nda
             y = chunk.passages(sketch.value)
             back = y.copy()
             back[1:][chunk.goes_on[:-1]] += y[:-1][chunk.goes_on[:-1]]
-            half = np.repeat(np.arange(len(chunk.starts)), np.diff(np.append(chunk.starts, len(chunk.words))))
-            order = np.argsort(chunk.terms.astype(np.uint16), kind="stable")
-            ranked = chunk.terms[order]
-            first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-            total[ranked[first]] += np.add.reduceat(back[half[order]], first, axis=0)
+            found, sums = summed_by_term(chunk.terms, back, np.repeat(np.arange(len(back)), chunk.size))
+            total[found] += sums
         yield _parts(total, SLICES)
 
     kind = "slice int, lane int, part binary"
@@ -255,7 +278,10 @@ def _found(words: DataFrame, space, items: list[Item]) -> DataFrame:
         for chunk in _chunks(batches):
             y = chunk.passages(space.value)
             y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-30)
-            at, which = np.nonzero(y @ queries >= COSINE)
+            cosines = y @ queries
+            rows = np.flatnonzero(cosines.max(axis=1) >= COSINE)
+            at, which = np.nonzero(cosines[rows] >= COSINE)
+            at = rows[at]
             best: dict[tuple[int, int], tuple[float, int, int]] = {}
             tried: set[tuple[int, int, int]] = set()
             for p, q in zip(at.tolist(), which.tolist()):

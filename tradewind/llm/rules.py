@@ -68,7 +68,7 @@ class TextLines:
         self.raw = text or b""
         data = self.data = np.frombuffer(self.raw, dtype=np.uint8)
         self.starts, self.ends = word_spans(data, NOT_SPACE)
-        self.hashes = word_hashes(data, self.starts, self.ends)
+        self.hashes = word_hashes(data, self.starts, NOT_SPACE)
         breaks = np.flatnonzero(data == 0x0A)
         #: Line number of each word, then the lines that have one.
         line_of_word = np.searchsorted(breaks, self.starts)

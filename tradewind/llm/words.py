@@ -43,15 +43,16 @@ def word_spans(data: np.ndarray, word_bytes: np.ndarray) -> tuple[np.ndarray, np
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word. Bytes between words must lie outside all spans."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, word_bytes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, given where the words start."""
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
     first = int(starts[0])
     lengths = np.diff(np.append(starts, len(data)))
-    place = np.arange(first, len(data)) - np.repeat(starts, lengths)
-    value = (data[first:].astype(np.uint64) + np.uint64(1)) * _powers_up_to(int(lengths.max()))[place]
-    value[place >= np.repeat(ends - starts, lengths)] = 0
+    place = np.arange(first, len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
+    # Bytes between words count as 0 and so add nothing.
+    value = np.where(word_bytes, np.arange(1, 257), 0).astype(np.uint64)[data[first:]]
+    value *= _powers_up_to(int(lengths.max()))[place]
     return mixed(np.add.reduceat(value, starts - first))
 
 
@@ -60,7 +61,7 @@ def hashed_words(text: bytes | None, word_bytes: np.ndarray = NOT_SPACE) -> np.n
     if not text:
         return np.zeros(0, dtype=np.uint64)
     data = np.frombuffer(text.lower(), dtype=np.uint8)
-    return word_hashes(data, *word_spans(data, word_bytes))
+    return word_hashes(data, word_spans(data, word_bytes)[0], word_bytes)
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -5,7 +5,7 @@ PASSAGE words long and start every half of that. Terms are the words' low bits;
 frequencies of its terms. A distributed randomised SVD of all passages gives the latent space: a random sketch goes once
 through all passages (A'A times a random matrix), its orthonormal basis is rotated and scaled by the passages' moments
 in it. Benchmark items, whole or, if long, in parts, are folded into that space. Each passage of each document is
-compared with each item by cosine; for candidates the longest common subsequence of words must cover MATCH of the
+compared with each item by cosine; for candidates that share words enough the longest common subsequence of words must cover MATCH of the
 item within a run of little more than its length, and half of the words of the item's answer, its last sentence, must
 be there.
 
@@ -26,6 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +38,12 @@ TERMS = 1 << 13
 DIMENSIONS = 64
 OVERSAMPLED = 8
 COSINE = 0.45
+#: Of the weight of a part's words (of as many as the best passage must hold), so much must stand in a candidate.
+SHARED = 0.5
 MATCH = 0.7
 ANSWER = 0.5
 ITEM_PART = 48
-ITEMS_AT_ONCE = 4096
+ITEMS_AT_ONCE = 1024
 LANES = 16
 SLICES = 16
 _HALF = PASSAGE // 2
@@ -226,6 +229,7 @@ class Item:
 
     def __init__(self, item_id: int | None, text: str) -> None:
         self.item_id, self.words = item_id, plain_words(text)
+        self.listed = self.words.tolist()
         sentences = [s for s in (plain_words(s) for s in re.split(r"[.?!\n]+", text)) if len(s)]
         self.answer = np.unique(sentences[-1]) if sentences else self.words
         n = len(self.words)
@@ -235,8 +239,10 @@ class Item:
     def verified(self, text: np.ndarray, near: int) -> tuple[float, int, int] | None:
         """Coverage and the run of the text around word `near` (where the item may begin) that has most of the item."""
         n = len(self.words)
-        low, high = max(0, near - n // 2 - PASSAGE), min(len(text), near + 2 * n + PASSAGE)
-        if common_words(self.words, text[low:high]) < MATCH * n:
+        low, high = max(0, near - min(n, ITEM_PART)), min(len(text), near + PASSAGE + n)
+        there = set(text[low:high].tolist())
+        # As many words as the region has at all bound what it has in order.
+        if sum(w in there for w in self.listed) < MATCH * n or common_words(self.words, text[low:high]) < MATCH * n:
             return None
         width = n + max(2, n // 4)
         best = (0, low)
@@ -254,17 +260,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     words = written(word_table(docs), "words")
     weights = inverse_frequencies(words)
+    idf = spark.sparkContext.broadcast(weights)
     space = spark.sparkContext.broadcast(latent_space(words, weights))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     blocks = -(-items.count() // ITEMS_AT_ONCE)
     found = spark.createDataFrame([], FOUND)
     for block in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        found = found.unionByName(_found(words, space, [Item(r["item_id"], r["text"]) for r in rows]))
+        found = found.unionByName(_found(words, space, idf, [Item(r["item_id"], r["text"]) for r in rows]))
     return found
 
 
-def _found(words: DataFrame, space, items: list[Item]) -> DataFrame:
+def _shared_weight(chunk: Chunk, passages: np.ndarray, parts: np.ndarray, holds: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The weight of the words of each passage that stand in the part beside it."""
+    weights = np.append(weights, np.float32(0))
+    after = np.minimum(passages + 1, len(chunk.rows) - 1)
+    first, second = chunk.rows[passages], chunk.rows[after]
+    found = (holds[parts[:, None], first] * weights[first]).sum(axis=1)
+    return found + (holds[parts[:, None], second] * weights[second]).sum(axis=1) * chunk.goes_on[passages]
+
+
+def _found(words: DataFrame, space: Broadcast, idf: Broadcast, items: list[Item]) -> DataFrame:
     parts = [(i, begin, part) for i, item in enumerate(items) for begin, part in item.parts]
     queries = np.array([space.value[(p & np.uint16(TERMS - 1)).astype(np.int64)].sum(axis=0) for _, _, p in parts])
     queries = queries.reshape(-1, DIMENSIONS)
@@ -275,6 +291,13 @@ def _found(words: DataFrame, space, items: list[Item]) -> DataFrame:
         items, parts, queries = shared.value
         if not parts:
             return
+        holds = np.zeros((len(parts), TERMS + 1), dtype=bool)
+        needs = np.zeros(len(parts))
+        for q, (i, begin) in enumerate(parts):
+            words = items[i].words[begin : begin + ITEM_PART]
+            holds[q, (words & np.uint16(TERMS - 1)).astype(np.int64)] = True
+            weight = idf.value[(words & np.uint16(TERMS - 1)).astype(np.int64)].sum()
+            needs[q] = SHARED * weight * min(1.0, (PASSAGE - _HALF // 2) / len(words))
         for chunk in _chunks(batches):
             y = chunk.passages(space.value)
             y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-30)
@@ -282,12 +305,14 @@ def _found(words: DataFrame, space, items: list[Item]) -> DataFrame:
             rows = np.flatnonzero(cosines.max(axis=1) >= COSINE)
             at, which = np.nonzero(cosines[rows] >= COSINE)
             at = rows[at]
+            enough = _shared_weight(chunk, at, which, holds, idf.value) >= needs[which]
+            at, which = at[enough], which[enough]
             best: dict[tuple[int, int], tuple[float, int, int]] = {}
             tried: set[tuple[int, int, int]] = set()
             for p, q in zip(at.tolist(), which.tolist()):
                 doc, (i, offset) = int(chunk.doc[p]), parts[q]
                 near = max(0, int(chunk.place[p]) - offset)
-                if (doc, i, near) in tried:
+                if (doc, i, near) in tried or best.get((doc, i), (0.0,))[0] == 1.0:
                     continue
                 tried.add((doc, i, near))
                 hit = items[i].verified(chunk.texts[doc], near)

@@ -30,7 +30,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.shared import written
+from tradewind.llm.shared import ship_package, written
 from tradewind.llm.words import ALPHANUMERIC, word_hashes, word_spans
 
 PASSAGE = 32
@@ -258,6 +258,7 @@ class Item:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Columns of FOUND: a row for each document and each item whose wording it holds."""
     spark = docs.sparkSession
+    ship_package(spark)
     words = written(word_table(docs), "words")
     weights = inverse_frequencies(words)
     idf = spark.sparkContext.broadcast(weights)
@@ -329,5 +330,5 @@ def _found(words: DataFrame, space: Broadcast, idf: Broadcast, items: list[Item]
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that hold an item."""
-    gone = leaks(docs, benchmark).where("doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("_gone"), "left_anti").select(docs.columns)
+    gone = leaks(docs, benchmark).where("doc_id is not null").select("doc_id").distinct()
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm.shared import ship_package
+
 
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds; null for a null id."""
@@ -21,6 +24,7 @@ def labelled_sample(
     on many rows of docs, as many feature values at most come to the driver. Null ids, labels other than 0 and 1
     and ids that contradict themselves are left out. Empty tables give an empty list.
     """
+    ship_package(docs.sparkSession)
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     if usable is not None:
         known = known.where(usable)
@@ -34,3 +38,10 @@ def labelled_sample(
     ids = F.broadcast(drawn[0].unionByName(drawn[1]))
     rows = docs.select("doc_id", features.alias("_features")).join(ids, "doc_id")
     return [(r["_label"], r["_features"]) for r in rows.orderBy("_draw", "doc_id", "_features").limit(2 * per_class).collect()]
+
+
+def balanced_order(rng: np.random.Generator, labels: list[int]) -> np.ndarray:
+    """A random order of the rows in which those of the rarer label come again until both are as frequent."""
+    sides = [side for side in (np.flatnonzero(np.array(labels) == y) for y in (0, 1)) if len(side)]
+    most = max(map(len, sides), default=0)
+    return rng.permutation(np.concatenate([np.resize(rng.permutation(side), most) for side in sides])) if sides else np.zeros(0, int)

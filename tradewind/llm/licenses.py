@@ -29,6 +29,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind.llm.shared import ship_package
 from tradewind.llm.words import ALPHANUMERIC, word_spans
 
 #: Base phrases and their labels.
@@ -248,6 +249,8 @@ def license_scan(scanner: LicenseScanner | None = None) -> Callable[[Column], Co
         + [("spans", pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))]
     )
 
+    ship_package()
+
     @F.arrow_udf(RESULT)
     def scan(texts: pa.Array) -> pa.Array:
         return pa.array([scanner.scan(t) for t in texts.cast(pa.binary()).to_pylist()], arrow)

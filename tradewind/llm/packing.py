@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm.shared import ship_package
+
 MAX_LENGTH = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
@@ -127,6 +129,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, most: int
     """Columns of PIECES; ids are little-endian unsigned 32-bit numbers. Nothing is shuffled."""
     if most < 1 or most & (most - 1):
         raise ValueError("the longest piece must be a power of two")
+    ship_package(docs.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
     fields = ("doc_id", "start", "length", "bucket", "ids", "doc_tokens")
     types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64())

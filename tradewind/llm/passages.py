@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.llm.shared import written
+from tradewind.llm.shared import ship_package, written
 from tradewind.llm.words import NOT_SPACE, hashed_words, occurrence_labelled, windows, word_spans
 
 SEED = 8
@@ -90,6 +90,7 @@ def _all_seeds(docs: DataFrame) -> DataFrame:
 
 def matches(docs: DataFrame) -> DataFrame:
     """owner, doc_id, owner_place, place: a row for each seed of a document that an earlier one has."""
+    ship_package(docs.sparkSession)
     found = written(_all_seeds(docs), "seeds")
     shared = found.groupBy("seed").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("_last"))
     shared = shared.where("owner < _last").select("seed", "owner")
@@ -343,11 +344,13 @@ def _without(texts: pa.Array, passages: pa.Array) -> pa.Array:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs without their repeated passages; a document of which nothing but white space is left goes."""
-    found = _by_doc(docs).withColumnRenamed("doc_id", "_doc").withColumnRenamed("passages", "_passages")
-    cut = docs.join(found.hint("shuffle_hash"), F.col("doc_id") == F.col("_doc"), "left")
-    cut = cut.withColumn("text", F.when(F.col("_doc").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("_passages"))))
-    cut = cut.where(F.col("_doc").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    rows = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
+    cut = rows.join(_by_doc(docs).hint("shuffle_hash"), "doc_id", "left")
+    touched, text = F.col("passages").isNotNull(), _without(F.col("row.text"), F.col("passages"))
+    cut = cut.select("row", touched.alias("touched"), F.when(touched, text).otherwise(F.col("row.text")).alias("text"))
+    cut = cut.where(~F.col("touched") | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.col("_doc").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return cut.select(docs.columns)
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("touched"), length).otherwise(F.col("row.n_chars"))
+    return cut.select([new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.llm.labelled import labelled_sample
+from tradewind.llm.labelled import balanced_order, labelled_sample
+from tradewind.llm.shared import ship_package
 
 BUCKETS = 1 << 16  # the hashes below keep 16 bits
 NGRAMS = (3, 4)
@@ -106,9 +107,10 @@ def fit(sample: list[tuple[int, bytes]], seed: int = 1) -> SubwordModel:
     for label, packed in sample:
         half = len(packed) // 2
         rows.append((label, np.frombuffer(packed[:half], "<u4").astype(np.int64), np.frombuffer(packed[half:], "<f4")))
-    steps, done = EPOCHS * len(rows), 0
-    for _ in range(EPOCHS):
-        for i in rng.permutation(len(rows)):
+    orders = [balanced_order(rng, [label for label, _, _ in rows]) for _ in range(EPOCHS)]
+    steps, done = sum(map(len, orders)), 0
+    for order in orders:
+        for i in order:
             label, buckets, shares = rows[i]
             rate = RATE * (1 - done / steps)
             mean = shares @ vectors[buckets]
@@ -132,6 +134,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per
 def quality_score(model: SubwordModel) -> Callable[[Column], Column]:
     """From a text column, the probability of label 1, from 0 to 1."""
 
+    ship_package()
+
     @F.arrow_udf(T.DoubleType())
     def score(texts: pa.Array) -> pa.Array:
         return pa.array([model.score(text) for text in texts.to_pylist()], pa.float64())

@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.llm.labelled import labelled_sample
+from tradewind.llm.labelled import balanced_order, labelled_sample
+from tradewind.llm.shared import ship_package
 from tradewind.llm.words import NOT_SPACE, windows, word_hashes, word_spans
 
 CONTENT_SHARE = 0.5
@@ -183,7 +184,7 @@ def fit(sample: list[tuple[int, bytes]], seed: int = 1) -> LineField:
     rng = np.random.default_rng(seed)
     emission, transition = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
     for epoch in range(EPOCHS):
-        for i in rng.permutation(len(rows)):
+        for i in balanced_order(rng, [label for label, _ in rows]):
             label, x = rows[i]
             single, pairs = _marginals(x @ emission, transition)
             rate = RATE * (1 - epoch / EPOCHS) * 8 / (8 + len(x))
@@ -243,6 +244,8 @@ def rules(field: LineField = NO_FIELD) -> Callable[[Column], Column]:
         + [("boilerplate_lines", pa.list_(pa.int32())), ("kept", pa.bool_())]
     )
 
+    ship_package()
+
     @F.arrow_udf(RESULT)
     def judge(texts: pa.Array) -> pa.Array:
         return pa.array([judged(t, field) for t in texts.cast(pa.binary()).to_pylist()], arrow)

@@ -13,8 +13,11 @@ _OWN: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python this package, as spark-submit --py-files would; once an application."""
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Give the executors' Python this package, as spark-submit --py-files would; once an application.
+
+    Operators that run Python in tasks call it, so that they work whether or not the package is installed there."""
+    spark = spark or SparkSession.active()
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]

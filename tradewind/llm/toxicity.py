@@ -5,7 +5,8 @@ of a bias, a weight for each term, and for each pair of terms the product of the
 pairs that mean more together than apart, such as an insult and a group's name. Pairs cost time linear in the
 terms: half of the squared sum of the vectors less the sum of the squares. Weights and factors are fitted with
 numpy by adaptive gradient descent on a bounded sample of labelled documents, first with shrinkage that drops terms of
-no use, then without it. Terms of fewer than MIN_DOCS of its documents, and terms that the sample lacks, count nothing.
+no use, then without it. Terms of fewer than MIN_DOCS of its documents, terms about as frequent under either label, and
+terms that the sample lacks count nothing.
 
 Pair products are divided by the number of known terms of the text, since a text has far more pairs than terms.
 
@@ -25,12 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.llm.labelled import labelled_sample
+from tradewind.llm.labelled import balanced_order, labelled_sample
+from tradewind.llm.shared import ship_package
 from tradewind.llm.words import ALPHANUMERIC, hashed_words
 
 PER_CLASS = 2000
 MIN_DOCS = 5
 MAX_TERMS = 1 << 17
+#: Standard errors by which a term's shares of toxic and of other documents must differ.
+SCREEN = 3.0
 FACTORS = 4
 EPOCHS = 10
 REFIT_EPOCHS = 40
@@ -80,15 +84,19 @@ def fit(sample: list[tuple[int, bytes]], seed: int = 1) -> FactorizationMachine:
     if not rows:
         return FactorizationMachine(0.0, np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros((0, FACTORS), np.float32))
     known, docs = np.unique(np.concatenate([t for _, t in rows]), return_counts=True)
-    enough = docs >= MIN_DOCS
+    hits = np.concatenate([t for label, t in rows if label == 1] or [known[:0]])
+    toxic = np.bincount(np.searchsorted(known, hits), minlength=len(known))
+    n_toxic = sum(label for label, _ in rows)
+    n_other, share = len(rows) - n_toxic, docs / len(rows)
+    apart = toxic / max(n_toxic, 1) - (docs - toxic) / max(n_other, 1)
+    error = np.sqrt(share * (1 - share) * (1 / max(n_toxic, 1) + 1 / max(n_other, 1))) + 1e-9
+    enough = (docs >= MIN_DOCS) & (np.abs(apart) >= SCREEN * error)
     if enough.sum() > MAX_TERMS:
         enough &= docs > np.sort(docs)[-MAX_TERMS]
     known = known[enough]
     at = []
     for label, found in rows:
-        where = np.searchsorted(known, found)
-        where = where[where < len(known)]
-        at.append(where[np.isin(known[where], found)] if len(where) else where)
+        at.append(np.flatnonzero(np.isin(known, found, assume_unique=True)))
     rng = np.random.default_rng(seed)
     bias, weights = 0.0, np.zeros(len(known), dtype=np.float32)
     factors = rng.normal(0, 0.01, (len(known), FACTORS)).astype(np.float32)
@@ -96,7 +104,7 @@ def fit(sample: list[tuple[int, bytes]], seed: int = 1) -> FactorizationMachine:
     for epoch in range(EPOCHS + REFIT_EPOCHS):
         if epoch == EPOCHS:  # steps start anew
             steps_w, steps_v, steps_b = np.full_like(steps_w, 1e-2), np.full_like(steps_v, 1e-2), 1e-2
-        for i in rng.permutation(len(rows)):
+        for i in balanced_order(rng, [label for label, _ in rows]):
             label, where = rows[i][0], at[i]
             v = factors[where]
             total = v.sum(axis=0)
@@ -131,6 +139,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, usable: Column | None = None, per
 def toxicity_score(model: FactorizationMachine) -> Callable[[Column], Column]:
     """From a text column, the probability of label 1, from 0 to 1."""
 
+    ship_package()
+
     @F.arrow_udf(T.DoubleType())
     def score(texts: pa.Array) -> pa.Array:
         return pa.array([model.score(t) for t in texts.cast(pa.binary()).to_pylist()], pa.float64())

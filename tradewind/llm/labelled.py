@@ -19,6 +19,8 @@ def labelled_sample(
 ) -> list[tuple[int, object]]:
     """Up to `per_class` documents of label 1 and as many of label 0, as (label, features), in a fixed order.
 
+    `features` is an expression over the text; it is evaluated for drawn documents only.
+
     The ids are drawn from `labels` by a hash of the id, so that the draw doesn't depend on the order of rows;
     only rows where `usable` is true take part. At most 2 * per_class ids are broadcast, and, even if an id stands
     on many rows of docs, as many feature values at most come to the driver. Null ids, labels other than 0 and 1
@@ -36,7 +38,7 @@ def labelled_sample(
     )
     drawn = [known.where(F.col("_label") == value).orderBy("_draw", "doc_id").limit(per_class) for value in (0, 1)]
     ids = F.broadcast(drawn[0].unionByName(drawn[1]))
-    rows = docs.select("doc_id", features.alias("_features")).join(ids, "doc_id")
+    rows = docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "_label", "_draw", features.alias("_features"))
     return [(r["_label"], r["_features"]) for r in rows.orderBy("_draw", "doc_id", "_features").limit(2 * per_class).collect()]
 
 

@@ -48,7 +48,8 @@ def test_bestsellers_array_and_item_rows_agree(spark, tmp_path):
     raw = feeds.read_json_feed(spark, write_lines(tmp_path / "ranked.json", lists), schemas.RANKED_FEED)
     found = rows(feeds.src_bestsellers(raw, AS_OF))
     pets = [r for r in found if r["category_name"] == "Pet Supplies"]
-    assert sorted(r["rank_position"] for r in pets) == list(range(1, 51))
+    assert sorted(r["rank_position"] for r in pets) == list(range(1, 61))
+    assert feeds.src_bestsellers(raw, AS_OF, size=50).count() == 52
     assert {r["avg_price"] for r in found if r["category_name"] == "Home"} == {1.5, None}
     items = spark.createDataFrame([("bestsellers_pet_supplies", 100.0 - i) for i in range(60)], "list_type string, price double")
     from_items = rows(feeds.src_bestseller_items(items, [F.col("price").desc()], AS_OF))
@@ -58,6 +59,7 @@ def test_bestsellers_array_and_item_rows_agree(spark, tmp_path):
 def test_search_interest_takes_the_last_point(spark):
     points = spark.createDataFrame(
         [("home decor", datetime(2024, 6, d), float(v)) for d, v in ((1, 90), (28, 41), (29, 42.9))]
+        + [("home decor", datetime(2024, 7, 15), 7.0), ("home decor", datetime(2024, 3, 29), 7.0), ("garden supplies", datetime(2024, 3, 29), 9.0)]
         + [("untracked", datetime(2024, 6, 1), 5.0)],
         "keyword string, point_ts timestamp_ntz, interest double",
     )
@@ -66,18 +68,17 @@ def test_search_interest_takes_the_last_point(spark):
     ]
 
 
-def test_posts_cap_applies_before_the_date_filter(spark):
+def test_every_post_of_the_week_counts(spark):
     def seconds(day):
         return datetime(2024, 6, day, 23, 0, tzinfo=timezone.utc).timestamp()
 
-    # the 100 answers of this search are old except ten; further recent ones were never answered
     many = [("flipping", "electronics", p, seconds(23 if p <= 10 else 1), 1.0) for p in range(1, 101)]
     many += [("flipping", "electronics", p, seconds(29), 1.0) for p in range(101, 150)]
     few = [("Ebay", "pet supplies", 1, seconds(30), 2.0), ("Ebay", "pet supplies", 2, seconds(30), 3.005), ("Ebay", "pet supplies", 3, seconds(22), 9.0)]
     posts = spark.createDataFrame(many + few, schemas.POST_FEED)
     found = {(r["subreddit"], r["keyword"]): r for r in rows(feeds.src_social_posts(posts, AS_OF))}
     assert len(found) == len(catalog.COMMUNITIES) * len(catalog.COMMUNITY_TERMS)
-    assert found["flipping", "electronics"]["mention_count"] == 10
+    assert found["flipping", "electronics"]["mention_count"] == 59
     assert found["Ebay", "pet supplies"]["mention_count"] == 2
     assert found["Ebay", "pet supplies"]["avg_score"] == Decimal("2.50")
     quiet = found["dropship", "home garden"]

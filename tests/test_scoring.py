@@ -123,3 +123,8 @@ def test_label_thresholds(spark):
     assert edges == ["retail", "mixed", "mixed", "ecomm", "mixed", "mixed", "ecomm", "ecomm"]
     labels = [r[0] for r in df.select(scoring.recommendation("v")).collect()]
     assert labels == ["avoid", "avoid", "watch", "watch", "avoid", "watch", "watch", "enter"]
+
+
+def test_minmax_keeps_rows_of_a_null_group(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0), (None, 4.0)], "g string, v double")
+    assert sorted(r["s"] for r in rows(with_minmax(df, "v", "s", ["g"]))) == [0.0, 50.0, 100.0]

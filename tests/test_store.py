@@ -170,3 +170,16 @@ def test_shared_folder_follows_the_session(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = shared_folder(spark), shared_folder(spark)
     assert first.startswith(f"{shared}/signals-") and first != second
+
+
+def test_batches_without_a_safe_key_are_refused_whole(spark, make, tmp_path):
+    store = SignalStore(spark, str(tmp_path / "keyed"))
+    one = dict(keyword="a", category_name="A", snapshot_date="2024-06-01", interest_score=1, geo="US")
+    store.load_search_signals(make("search_signals", [one]))
+    for bad in ([one, {**one, "interest_score": 2}], [{**one, "snapshot_date": None}], [{**one, "keyword": None}]):
+        with pytest.raises(ValueError):
+            store.load_search_signals(make("search_signals", bad))
+    twice = make("search_signals", [{**one, "interest_score": 2}, {**one, "interest_score": 3}])
+    store.load_search_signals(twice, [F.col("interest_score").desc()])
+    store.load_search_signals(twice, [F.col("interest_score").desc()])
+    assert [r["interest_score"] for r in store.read("search_signals").collect()] == [3]

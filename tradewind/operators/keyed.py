@@ -4,14 +4,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_per_key(df: DataFrame, keys: list[str], order: list[Column], limit: int = 1) -> DataFrame:
-    """The first rows of each key, numbered in ``_position``.
+def top_per_key(df: DataFrame, keys: list[str], order: list[Column], limit: int | None = 1) -> DataFrame:
+    """The first rows of each key (all with ``limit`` None), numbered in ``_position``.
 
     A filter on ``row_number`` becomes a WindowGroupLimit on both sides of the exchange: each map task
-    sends at most ``limit`` rows per key.
+    sends at most ``limit`` rows per key. Without a limit a key's rows are sorted, and spilled, in one task.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_position", F.row_number().over(window)).where(f"_position <= {int(limit)}")
+    placed = df.withColumn("_position", F.row_number().over(window))
+    return placed if limit is None else placed.where(f"_position <= {int(limit)}")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -1,5 +1,8 @@
 """Min-max scaling to 0..100 inside groups."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,4 +25,6 @@ def with_minmax(df: DataFrame, value: str, out: str, by: list[str]) -> DataFrame
         F.expr(f"min(CAST({value} AS double)) AS _low"), F.expr(f"max(CAST({value} AS double)) AS _high")
     )
     scaled = scale_to_100(f"CAST({value} AS double)", "_low", "_high")
-    return df.join(bounds, by).selectExpr(*df.columns, f"{scaled} AS {out}")
+    # Null-safe: rows of a NULL group are a group like any other.
+    same = reduce(and_, (F.col(f"v.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by))
+    return df.alias("v").join(bounds.alias("b"), same).selectExpr(*[f"v.{c}" for c in df.columns], f"{scaled} AS {out}")

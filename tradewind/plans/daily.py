@@ -25,7 +25,6 @@ class DailyFeeds:
     bestsellers: DataFrame | None = None
     bestseller_order: list[Column] | None = None  # given when bestsellers are one row per item
     search_order: tuple[str, ...] = ("point_ts",)
-    post_order: list[Column] | None = None
     search_keywords: dict[str, str] | None = None
     spend_labels: dict[str, str] | None = None
 
@@ -46,7 +45,7 @@ def run_daily(store: SignalStore, raw: DailyFeeds, as_of: date) -> dict[str, int
     search = clean.clean_search_signals(
         feeds.src_search_interest(raw.search, as_of, raw.search_keywords, list(raw.search_order))
     )
-    social = clean.clean_social_buzz(feeds.src_social_posts(raw.posts, as_of, raw.post_order))
+    social = clean.clean_social_buzz(feeds.src_social_posts(raw.posts, as_of))
     spend = clean.clean_consumer_spend(feeds.src_spend_csv(raw.spend, raw.spend_labels))
     channels = clean.build_retail_vs_ecomm(spend, as_of)
 

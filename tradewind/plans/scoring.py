@@ -116,7 +116,7 @@ def component_scores(inputs: DataFrame) -> DataFrame:
         *[F.expr(f"min({low}) AS {name}_min") for name, (_, low, _) in ranges.items()],
         *[F.expr(f"max({high}) AS {name}_max") for name, (_, _, high) in ranges.items()],
     )
-    return inputs.join(F.broadcast(bounds), "as_of").selectExpr(
+    return inputs.join(bounds, "as_of").selectExpr(
         *_KEY,
         *[
             f"{scale_to_100(value, f'{name}_min', f'{name}_max')} AS {name}_score"

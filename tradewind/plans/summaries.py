@@ -62,15 +62,15 @@ def niche_kpis(found: DataFrame) -> DataFrame:
     )
 
 
-def latest_values(series: DataFrame, shown: int = 5) -> DataFrame:
-    """Last known value per category, highest first; on one date the higher value counts."""
-    return (
+def latest_values(series: DataFrame, shown: int | None = None) -> DataFrame:
+    """Last known value per category (or the ``shown`` highest), highest first; on one date the higher value counts."""
+    latest = (
         series.where("value IS NOT NULL")
         .groupBy("category_name")
         .agg(F.expr("max_by(value, struct(snapshot_date, value)) AS value"))
         .orderBy(F.col("value").desc(), "category_name")
-        .limit(shown)
     )
+    return latest if shown is None else latest.limit(shown)
 
 
 def score_sparkline(history: DataFrame) -> DataFrame:

@@ -18,10 +18,9 @@ from tradewind.functions.numeric import ratio
 from tradewind.functions.text import strip, title_case
 from tradewind.operators.keyed import top_per_key
 
-# --- fixed values: sizes the upstream services put on one answer ---
-RANKED_LIST_SIZE = 50
-POST_RESULT_SIZE = 100
+# --- fixed values: how far back a day's run looks ---
 POST_DAYS = 7
+INTEREST_MONTHS = 3
 
 
 def lookup(mapping: dict[str, str], key: str) -> str:
@@ -80,29 +79,31 @@ def _ranked_rows(ranked: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def src_bestsellers(lists: DataFrame, as_of: date) -> DataFrame:
-    """Ranked lists that arrive as arrays: the first entries, ranked by place."""
-    ranked = lists.selectExpr(
-        "list_type", f"posexplode(slice(bestsellers, 1, {RANKED_LIST_SIZE})) AS (place, entry)"
-    ).selectExpr("list_type", "place + 1 AS rank_position", "entry.price.value AS price")
+def src_bestsellers(lists: DataFrame, as_of: date, size: int | None = None) -> DataFrame:
+    """Ranked lists that arrive as arrays: every entry (or the first ``size``), ranked by place."""
+    entries = "bestsellers" if size is None else f"slice(bestsellers, 1, {int(size)})"
+    ranked = lists.selectExpr("list_type", f"posexplode({entries}) AS (place, entry)").selectExpr(
+        "list_type", "place + 1 AS rank_position", "entry.price.value AS price"
+    )
     return _ranked_rows(ranked, as_of)
 
 
-def src_bestseller_items(items: DataFrame, order: list[Column], as_of: date) -> DataFrame:
+def src_bestseller_items(items: DataFrame, order: list[Column], as_of: date, size: int | None = None) -> DataFrame:
     """Ranked lists that arrive as one row per item (list_type, price): same result."""
-    ranked = top_per_key(items, ["list_type"], order, RANKED_LIST_SIZE)
+    ranked = top_per_key(items, ["list_type"], order, size)
     return _ranked_rows(ranked.withColumnRenamed("_position", "rank_position"), as_of)
 
 
 def src_search_interest(
     points: DataFrame, as_of: date, keywords: dict[str, str] | None = None, order: list[str] = ("point_ts",)
 ) -> DataFrame:
-    """Keyword series to the last point per keyword; keywords outside the map are not tracked."""
+    """Keyword series to the last point per keyword of the months up to ``as_of``; keywords outside the map are not tracked."""
     if keywords is None:
         keywords = {k: category for category, words in catalog.SEARCH_KEYWORDS.items() for k in words}
     by_time = order[0] if len(order) == 1 else f"struct({', '.join(order)})"
     latest = (
         points.where(F.col("keyword").isin(list(keywords)))
+        .where(f"CAST(point_ts AS date) BETWEEN add_months({day(as_of)}, -{INTEREST_MONTHS}) AND {day(as_of)}")
         .groupBy("keyword")
         .agg(F.expr(f"max_by(interest, {by_time}) AS interest"))
     )
@@ -124,20 +125,12 @@ def search_grid(spark: SparkSession) -> DataFrame:
     )
 
 
-def src_social_posts(
-    posts: DataFrame, as_of: date, order: list[Column] | None = None, grid: DataFrame | None = None
-) -> DataFrame:
-    """Posts to mentions and mean score per community and term over the last week.
-
-    A search answers at most 100 posts, so that cap applies before the date filter. ``order`` is the
-    order of the answer; by default its stated position.
-    """
+def src_social_posts(posts: DataFrame, as_of: date, grid: DataFrame | None = None) -> DataFrame:
+    """Every landed post of the week up to ``as_of``, as mentions and mean score per community and term."""
     grid = search_grid(posts.sparkSession) if grid is None else grid
-    answered = top_per_key(posts, ["subreddit", "keyword"], order or [F.col("result_position").asc()], POST_RESULT_SIZE)
+    posted = "date_from_unix_date(CAST(floor(created_utc / 86400) AS int))"
     recent = (
-        answered.where(
-            f"date_from_unix_date(CAST(floor(created_utc / 86400) AS int)) >= {day(as_of - timedelta(days=POST_DAYS))}"
-        )
+        posts.where(f"{posted} BETWEEN {day(as_of - timedelta(days=POST_DAYS))} AND {day(as_of)}")
         .groupBy("subreddit", "keyword")
         .agg(
             F.expr("count(*) AS mention_count"),

@@ -25,6 +25,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
+def _refuse_unless_keyed(table: str, batch: DataFrame, keys: list[str], column: str, last_first: list[Column] | None) -> None:
+    missing = " OR ".join(f"{name} IS NULL" for name in dict.fromkeys([*keys, column]))
+    if not batch.where(missing).isEmpty():
+        raise ValueError(f"a record for {table} has no {' or '.join(dict.fromkeys([*keys, column]))}")
+    if last_first is None and not batch.groupBy(*keys).count().where("count > 1").isEmpty():
+        raise ValueError(f"the batch for {table} holds a key more than once and no order tells which record wins")
+
+
 class SignalStore:
     """Reads and writes the tables below ``root``, a folder every executor reaches.
 
@@ -61,11 +69,14 @@ class SignalStore:
         """Merge a batch on the table's key and return the number of batch records.
 
         Only the partitions the batch touches are read and rewritten. The batch is kept while it is
-        used twice: to count it per partition and to merge it.
+        used more than once: to check and count it and to merge it. A batch with a NULL in its key or
+        partition column, or with a key twice and no ``last_first`` to tell which record wins, is
+        refused whole, before anything is written.
         """
         keys, column = schemas.KEYS[table], schemas.PARTITION_COLUMN[table]
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            _refuse_unless_keyed(table, batch, keys, column, last_first)
             # One row per day (or year) of the batch.
             touched = dict(batch.groupBy(column).count().collect())
             if not touched:

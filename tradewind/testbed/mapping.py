@@ -345,11 +345,6 @@ class RawFeeds(RawData):
             )
         )
 
-    @staticmethod
-    def post_order() -> list[Column]:
-        """Searches answer with the newest post first."""
-        return [F.col("ts").desc(), F.col("event_id").desc()]
-
     def spend_rows(self) -> DataFrame:
         return (
             self.table("orders")

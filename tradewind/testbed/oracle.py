@@ -274,23 +274,22 @@ RANKED_FEED = f"""ranked AS (
   SELECT p_brand AS category_name, 'bestsellers_' || p_brand AS category_id, 'amazon_bsr' AS source, {D} AS snapshot_date,
     p_retailprice AS price,
     row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS place
-  FROM part QUALIFY place <= 50)"""
+  FROM part)"""
 
 SEARCH_FEED = f"""points AS (
   SELECT lower({category('user_id % 10')}) || ' ' || event_type AS keyword, {category('user_id % 10')} AS category_name,
     CAST(trunc(value) AS BIGINT) AS interest_score
-  FROM events WHERE event_type IN ('view', 'click')
+  FROM events WHERE event_type IN ('view', 'click') AND CAST(ts AS DATE) BETWEEN {D} - INTERVAL 3 MONTH AND {D}
   QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY ts DESC, event_id DESC) = 1)"""
 
 POST_FEED = f"""post AS (
   SELECT list_extract({text_list(catalog.COMMUNITIES)}, CAST(event_id % 6 AS INTEGER) + 1) AS subreddit,
     list_extract({text_list(catalog.COMMUNITY_TERMS.values())}, CAST(user_id % 10 AS INTEGER) + 1) AS keyword,
-    CAST(ts AS DATE) AS posted, {cents('value')} AS score,
-    row_number() OVER (PARTITION BY event_id % 6, user_id % 10 ORDER BY ts DESC, event_id DESC) AS place
+    CAST(ts AS DATE) AS posted, {cents('value')} AS score
   FROM events WHERE event_type NOT IN ('view', 'click')),
 recent AS (
   SELECT subreddit, keyword, count(*) AS mention_count, {half_up('sum(score)', 'count(score)', 0)} AS score2
-  FROM post WHERE place <= 100 AND posted >= {D} - 7 GROUP BY ALL),
+  FROM post WHERE posted BETWEEN {D} - 7 AND {D} GROUP BY ALL),
 grid AS (
   SELECT unnest({text_list(catalog.COMMUNITIES)}) AS subreddit, category_name, keyword
   FROM (SELECT unnest({CATEGORY}) AS category_name, unnest({text_list(catalog.COMMUNITY_TERMS.values())}) AS keyword)),
@@ -771,7 +770,7 @@ FROM (SELECT CAST(round(opportunity_score * 100) AS BIGINT) AS o2, recommendatio
         EXPLORE,
         f"""SELECT category_name, value FROM (SELECT category_name, avg_price AS value FROM explorer WHERE {chosen}
   QUALIFY row_number() OVER (PARTITION BY category_name ORDER BY snapshot_date DESC, avg_price DESC) = 1)
-ORDER BY value DESC, category_name LIMIT 5""",
+ORDER BY value DESC, category_name""",
     )
     q["score_sparkline"] = sql(
         SCORING,

@@ -173,7 +173,6 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             bestsellers=raw.bestseller_items(),
             bestseller_order=raw.bestseller_order(),
             search_order=("point_ts", "event_id"),
-            post_order=raw.post_order(),
             search_keywords=raw.search_keywords,
             spend_labels=raw.SPEND_LABELS,
         ),
@@ -260,7 +259,7 @@ def build_queries() -> dict[str, Query]:
         "src_search_interest": over_feeds(
             lambda r: feeds.src_search_interest(r.search_points(), AS_OF, r.search_keywords, ["point_ts", "event_id"])
         ),
-        "src_social_posts": over_feeds(lambda r: feeds.src_social_posts(r.posts(), AS_OF, r.post_order())),
+        "src_social_posts": over_feeds(lambda r: feeds.src_social_posts(r.posts(), AS_OF)),
         "src_spend_csv": over_feeds(lambda r: feeds.src_spend_csv(r.spend_rows(), r.SPEND_LABELS)),
         "read_table": stored_orders,
         "upsert": overlapping_load("category_trends", "DATE'2024-01-20'", "DATE'2024-01-15'", "sold_count", 1),

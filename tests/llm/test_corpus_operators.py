@@ -220,6 +220,29 @@ def test_chaining_beats_no_other_choice():
         assert score(found[0]) == pytest.approx(best) and sorted(k for c in found for k in c) == list(range(len(points)))
 
 
+def covered_words(docs):
+    covered = {}
+    for r in passages.passages(docs).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    return covered
+
+
+def test_passages_apart_and_around_an_insertion(spark):
+    """Two passages of one owner with 30, 60 and 500 other words between, and a copy with 60 words put in."""
+    one, two, copied = prose(70, 300), prose(71, 80), prose(72, 400)
+    texts = [(1, one + prose(73, 90) + two), (5, copied)]
+    between = {2: 30, 3: 60, 4: 500}
+    texts += [(i, one + prose(80 + i, n) + two) for i, n in between.items()]
+    texts += [(6, copied[:200] + prose(74, 60) + copied[200:])]
+    covered = covered_words(frame(spark, [(i, " ".join(w)) for i, w in texts]))
+    for i, n in between.items():
+        wanted = {*range(300), *range(300 + n, 380 + n)}
+        assert wanted <= covered[i] and len(covered[i]) < 385 + (n if n < 40 else 0)
+    assert {*range(200), *range(260, 460)} <= covered[6] and len(covered[6]) <= 402
+    short = covered_words(frame(spark, [(1, " ".join(one[:60] + prose(75, 40) + two)), (2, " ".join(one[:60] + prose(76, 40) + two))]))
+    assert {*range(60), *range(100, 180)} <= short[2]
+
+
 # decontamination
 
 

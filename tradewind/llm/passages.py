@@ -4,8 +4,8 @@ Seeds are hashed runs of SEED words, picked as the least of each WINDOW of neigh
 SEED + WINDOW - 1 words that two texts share gives both a common seed. Equal seeds of a text are told apart by their
 occurrence. A seed's owner is the least doc_id that has it; every other text's seed makes one match, with the owner, so
 matches grow with the texts and not with the pairs of a group. The matches of two documents are chained in order with a
-gap cost, through a Fenwick tree, chains are aligned word by word between their matches and beyond their ends, and
-those of IDENTITY and more become spans. A text's overlapping or touching spans are joined; a passage is a span of
+gap cost, each to the best of the matches within reach, chains are aligned word by word between their matches and beyond
+their ends, and those of IDENTITY and more become spans; a chain of less is parted at its widest gap. A text's overlapping or touching spans are joined; a passage is a span of
 LEAST words. The owner's place counts as the first; the passage is repeated in the other document.
 
 Defined cases: null, empty and short texts have no passages; rows of a null doc_id take no part (and stay whole);
@@ -35,6 +35,8 @@ LEAST = 50
 LEAST_PART = 16
 GAP_COST = 0.1
 MOST_GAP = 40
+#: Most words from a match to the next of its chain.
+REACH = SEED + MOST_GAP
 BLOCK = 64
 MARGIN = 40
 DROP = 6
@@ -103,11 +105,11 @@ def chained(owner_places: list[int], places: list[int]) -> list[list[int]]:
     """Chains, as lists of indices, of matches sorted by owner's place: disjoint, the best first.
 
     A chain scores SEED for each match less GAP_COST for each word that either text moves on between them. The best
-    predecessor of a match has the largest score plus cost of its place, among smaller places in both texts: a prefix
-    maximum in a Fenwick tree over the places' ranks."""
+    predecessor of a match has the largest score plus cost of its place, among smaller places in both texts at most
+    REACH back: matches are kept by stretches of REACH places, of which two can hold it, and those that the owner's
+    place has left behind are dropped from a stretch when it is read."""
     n = len(places)
-    rank = {p: r for r, p in enumerate(sorted(set(places)), 1)}
-    tree: list[tuple[float, int]] = [(-1e18, -1)] * (len(rank) + 1)
+    near: dict[int, list[int]] = {}
     score, before = [0.0] * n, [-1] * n
     i = 0
     while i < n:
@@ -116,22 +118,16 @@ def chained(owner_places: list[int], places: list[int]) -> list[list[int]]:
             end += 1
         for k in range(i, end):
             here = GAP_COST * (owner_places[k] + places[k])
-            best, r = (-1e18, -1), rank[places[k]] - 1
-            while r > 0:
-                if tree[r] > best:
-                    best = tree[r]
-                r -= r & -r
-            score[k] = float(SEED)
-            j = best[1]
-            if j >= 0 and best[0] - here > 0 and max(owner_places[k] - owner_places[j], places[k] - places[j]) <= SEED + MOST_GAP:
-                score[k] += best[0] - here
-                before[k] = j
+            best, stretch = (here, -1), places[k] // REACH
+            for at in (stretch - 1, stretch):
+                if at in near:
+                    near[at] = [j for j in near[at] if owner_places[k] - owner_places[j] <= REACH]
+                    for j in near[at]:
+                        if 0 < places[k] - places[j] <= REACH:
+                            best = max(best, (score[j] + GAP_COST * (owner_places[j] + places[j]), j))
+            score[k], before[k] = SEED + best[0] - here, best[1]
         for k in range(i, end):
-            entry, r = (score[k] + GAP_COST * (owner_places[k] + places[k]), k), rank[places[k]]
-            while r < len(tree):
-                if entry > tree[r]:
-                    tree[r] = entry
-                r += r & -r
+            near.setdefault(places[k] // REACH, []).append(k)
         i = end
     chains, used = [], [False] * n
     for k in sorted(range(n), key=lambda k: (-score[k], k)):
@@ -208,27 +204,38 @@ def _reach(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return words, best
 
 
-def align(a: np.ndarray, b: np.ndarray, at: list[tuple[int, int]]) -> tuple[int, int, int, int, float]:
-    """Start and end in both texts, and identity, of a chain of matches `at` (places in a and b)."""
-    matched, (x, y) = 0, at[0]
-    begin_x, begin_y = x, y
-    for u, v in at:
-        if u > x or v > y:
-            gap_a, gap_b = a[x : max(u, x)], b[y : max(v, y)]
-            if len(gap_a) == len(gap_b) and (gap_a == gap_b).all():
-                matched += len(gap_a)
-            elif len(gap_a) and len(gap_b):
-                matched += _least_edits_matched(gap_a, gap_b)
-        step = min(u + SEED - x, v + SEED - y, SEED)
-        if step > 0:
-            matched += step
-            x, y = u + SEED, v + SEED
-    words, more = _reach(a[x : x + MARGIN], b[y : y + MARGIN])
-    end_x, end_y, matched = x + words, y + words, matched + more
-    words, more = _reach(a[max(0, begin_x - MARGIN) : begin_x][::-1], b[max(0, begin_y - MARGIN) : begin_y][::-1])
-    begin_x, begin_y, matched = begin_x - words, begin_y - words, matched + more
-    longest = max(end_x - begin_x, end_y - begin_y)
-    return begin_x, end_x, begin_y, end_y, min(1.0, matched / longest)
+def align(a: np.ndarray, b: np.ndarray, at: list[tuple[int, int]]) -> list[tuple[int, int, int, int, float]]:
+    """Starts and ends in both texts, and identities, of the parts of a chain of matches `at` (places in a and b).
+
+    A chain below IDENTITY is parted at its widest gap until its parts, at the least single matches, reach it."""
+    steps, (x, y) = [], (at[0][0] + SEED, at[0][1] + SEED)
+    for u, v in at[1:]:
+        matched, gap_a, gap_b = 0, a[x : max(u, x)], b[y : max(v, y)]
+        if len(gap_a) == len(gap_b) and (gap_a == gap_b).all():
+            matched += len(gap_a)
+        elif len(gap_a) and len(gap_b):
+            matched += _least_edits_matched(gap_a, gap_b)
+        matched += min(u + SEED - x, v + SEED - y, SEED)
+        steps.append((matched, max(len(gap_a), len(gap_b))))
+        x, y = u + SEED, v + SEED
+    parts, open_ = [], [(0, len(at) - 1)]
+    while open_:
+        i, j = open_.pop()
+        (begin_x, begin_y), (end_x, end_y) = at[i], (at[j][0] + SEED, at[j][1] + SEED)
+        matched = SEED + sum(m for m, _ in steps[i:j])
+        if matched < IDENTITY * max(end_x - begin_x, end_y - begin_y) and i < j:
+            k = max(range(i, j), key=lambda k: steps[k][1])
+            open_ += [(k + 1, j), (i, k)]
+            continue
+        for margin in (MARGIN, 0):
+            words, more = _reach(a[end_x : end_x + margin], b[end_y : end_y + margin])
+            back, gone = _reach(a[max(0, begin_x - margin) : begin_x][::-1], b[max(0, begin_y - margin) : begin_y][::-1])
+            longest = max(end_x - begin_x, end_y - begin_y) + words + back
+            identity = min(1.0, (matched + more + gone) / longest)
+            if identity >= IDENTITY:
+                break
+        parts.append((begin_x - back, end_x + words, begin_y - back, end_y + words, identity))
+    return parts
 
 
 @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("block", T.IntegerType()), T.StructField("words", T.BinaryType())])))
@@ -240,21 +247,21 @@ def _blocks(texts: pa.Array, wanted: pa.Array) -> pa.Array:
     return pa.array(out, pa.list_(pa.struct([("block", pa.int32()), ("words", pa.binary())])))
 
 
-_ALIGNED = T.StructType(
+_PART = T.StructType(
     [T.StructField(n, T.IntegerType()) for n in ("owner_start", "owner_end", "start", "end")] + [T.StructField("identity", T.DoubleType())]
 )
 
 
-@F.arrow_udf(_ALIGNED)
+@F.arrow_udf(T.ArrayType(_PART))
 def _aligned(a: pa.Array, b: pa.Array, owner_places: pa.Array, places: pa.Array) -> pa.Array:
     """Words of whole blocks from the block of the first place less MARGIN."""
     out = []
     for x, y, ours, theirs in zip(a.to_pylist(), b.to_pylist(), owner_places.to_pylist(), places.to_pylist()):
         first_a, first_b = max(0, ours[0] - MARGIN) // BLOCK * BLOCK, max(0, theirs[0] - MARGIN) // BLOCK * BLOCK
         at = [(u - first_a, v - first_b) for u, v in zip(ours, theirs)]
-        s, e, t, f, identity = align(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), at)
-        out.append({"owner_start": s + first_a, "owner_end": e + first_a, "start": t + first_b, "end": f + first_b, "identity": identity})
-    return pa.array(out, pa.struct([(n, pa.int32()) for n in _ALIGNED.names[:4]] + [("identity", pa.float64())]))
+        parts = align(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), at)
+        out.append([dict(zip(_PART.names, (s + first_a, e + first_a, t + first_b, f + first_b, identity))) for s, e, t, f, identity in parts])
+    return pa.array(out, pa.list_(pa.struct([(n, pa.int32()) for n in _PART.names[:4]] + [("identity", pa.float64())])))
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -279,7 +286,7 @@ def spans(docs: DataFrame) -> DataFrame:
         F.max(F.when(F.col("side") == "a", F.col("words"))).alias("_a"), F.max(F.when(F.col("side") == "b", F.col("words"))).alias("_b")
     )
     done = found.join(both, "chain").select(
-        "owner", "doc_id", _aligned(F.col("_a"), F.col("_b"), F.col("owner_places"), F.col("places")).alias("_r")
+        "owner", "doc_id", F.explode(_aligned(F.col("_a"), F.col("_b"), F.col("owner_places"), F.col("places"))).alias("_r")
     )
     return done.select("owner", "doc_id", "_r.*").where(F.col("identity") >= IDENTITY)
 

@@ -243,6 +243,17 @@ def test_passages_apart_and_around_an_insertion(spark):
     assert {*range(60), *range(100, 180)} <= short[2]
 
 
+def test_passages_in_pieces_and_of_many_owners(spark):
+    """A passage in pieces with two other words between, and one whose seeds earlier excerpts own one by one."""
+    pieces, whole = prose(90, 55), prose(91, 120)
+    texts = [(200, prose(92, 30) + whole + prose(93, 30)), (201, prose(94, 60) + whole), (1, pieces), (2, pieces[:30] + ["x1", "x2"] + pieces[30:])]
+    at = passages.seeds(hashed_words(" ".join(whole).encode()))[1].tolist()
+    texts += [(100 + k, prose(300 + k, 40) + whole[p : p + passages.SEED] + prose(400 + k, 40)) for k, p in enumerate(at)]
+    covered = covered_words(frame(spark, [(i, " ".join(w)) for i, w in texts]))
+    assert covered[2] == set(range(57))
+    assert covered[201] == set(range(60, 180)) and not covered.keys() & set(range(100, 200))
+
+
 # decontamination
 
 

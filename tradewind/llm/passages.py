@@ -2,10 +2,11 @@
 
 Seeds are hashed runs of SEED words, picked as the least of each WINDOW of neighbouring runs, so that any run of
 SEED + WINDOW - 1 words that two texts share gives both a common seed. Equal seeds of a text are told apart by their
-occurrence. A seed's owner is the least doc_id that has it; every other text's seed makes one match, with the owner, so
-matches grow with the texts and not with the pairs of a group. The matches of two documents are chained in order with a
+occurrence. A seed's owner is the least doc_id that has it; every other text's seed is matched with its owner, and with those of
+the seeds beside it if they have it too: three matches at most, so matches grow with the texts and not with the
+pairs of a group. The matches of two documents are chained in order with a
 gap cost, each to the best of the matches within reach, chains are aligned word by word between their matches and beyond
-their ends, and those of IDENTITY and more become spans; a chain of less is parted at its widest gap. A text's overlapping or touching spans are joined; a passage is a span of
+their ends, and those of IDENTITY and more become spans; a chain of less is parted at its widest gap. A text's spans are joined where PART_GAP words or fewer lie between; a passage is a span of
 LEAST words. The owner's place counts as the first; the passage is repeated in the other document.
 
 Defined cases: null, empty and short texts have no passages; rows of a null doc_id take no part (and stay whole);
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,8 +32,8 @@ SEED = 8
 WINDOW = 14
 IDENTITY = 0.8
 LEAST = 50
-#: A chain of two matches, or parts of a passage that several documents own, may be shorter.
-LEAST_PART = 16
+#: Most words between two parts of a passage: neighbouring seeds lie at most WINDOW apart.
+PART_GAP = WINDOW - SEED
 GAP_COST = 0.1
 MOST_GAP = 40
 #: Most words from a match to the next of its chain.
@@ -91,14 +92,22 @@ def _all_seeds(docs: DataFrame) -> DataFrame:
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """owner, doc_id, owner_place, place: a row for each seed of a document that an earlier one has."""
+    """owner, doc_id, owner_place, place: a row for each seed of a document and each owner asked for it.
+
+    Those are the seed's own, and the owners of the seeds before and after it in the document, within REACH, so that
+    a passage whose seeds have several owners can be followed in one document."""
     ship_package(docs.sparkSession)
     found = written(_all_seeds(docs), "seeds")
     shared = found.groupBy("seed").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("_last"))
     shared = shared.where("owner < _last").select("seed", "owner")
     hits = written(found.join(shared, "seed"), "hits")
-    owned = hits.where("doc_id = owner").groupBy("seed").agg(F.min("place").alias("owner_place"))
-    return hits.where("doc_id <> owner").join(owned, "seed").select("owner", "doc_id", "owner_place", "place")
+    first = hits.groupBy("seed", F.col("doc_id").alias("owner")).agg(F.min("place").alias("owner_place"))
+    by_place, asked = Window.partitionBy("doc_id").orderBy("place", "owner"), [F.col("owner")]
+    for near in (F.lag, F.lead):
+        asked.append(F.when(F.abs(near("place").over(by_place) - F.col("place")) <= REACH, near("owner").over(by_place)))
+    asked = hits.where("doc_id <> owner").select("seed", "doc_id", "place", F.array_distinct(F.array(*asked)).alias("_asked"))
+    asked = asked.select("seed", "doc_id", "place", F.explode("_asked").alias("owner")).where("owner is not null")
+    return asked.join(first, ["seed", "owner"]).select("owner", "doc_id", "owner_place", "place")
 
 
 def chained(owner_places: list[int], places: list[int]) -> list[list[int]]:
@@ -142,14 +151,12 @@ def chained(owner_places: list[int], places: list[int]) -> list[list[int]]:
 
 
 def chains(found: DataFrame) -> DataFrame:
-    """Columns of _CHAINS for chains that cover LEAST_PART words. Pairs are streamed through sorted partitions."""
+    """Columns of _CHAINS for all chains, those of a single match too. Pairs are streamed through sorted partitions."""
 
     def close(owner: int, doc: int, group: list[tuple[int, int]]) -> Iterator[tuple]:
-        if len(group) > 1:
-            ours, theirs = [g[0] for g in group], [g[1] for g in group]
-            for chain in chained(ours, theirs):
-                if theirs[chain[-1]] + SEED - theirs[chain[0]] >= LEAST_PART:
-                    yield owner, doc, [ours[k] for k in chain], [theirs[k] for k in chain]
+        ours, theirs = [g[0] for g in group], [g[1] for g in group]
+        for chain in chained(ours, theirs):
+            yield owner, doc, [ours[k] for k in chain], [theirs[k] for k in chain]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
@@ -298,13 +305,13 @@ _PASSAGES = T.ArrayType(
 
 @F.arrow_udf(_PASSAGES)
 def _joined(spans: pa.Array) -> pa.Array:
-    """Spans joined where they overlap or touch; those of LEAST words, with the owner of the longest part."""
+    """Spans joined where at most PART_GAP words lie between; those of LEAST words, with the owner of the longest part."""
     out = []
     for row in spans.to_pylist():
         joined: list[dict] = []
         for s in row:
             part = s["end"] - s["start"]
-            if joined and s["start"] <= joined[-1]["end"]:
+            if joined and s["start"] <= joined[-1]["end"] + PART_GAP:
                 last = joined[-1]
                 last["end"] = max(last["end"], s["end"])
                 if part > last["part"]:
@@ -316,7 +323,7 @@ def _joined(spans: pa.Array) -> pa.Array:
 
 
 def _by_doc(docs: DataFrame) -> DataFrame:
-    """doc_id, passages. A document's spans are at most as many as its seeds, since each seed has one owner."""
+    """doc_id, passages. A document's spans are at most as many as its matches: a few for each of its seeds."""
     found = spans(docs).groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end", "owner", "owner_start"))).alias("_s"))
     return found.select("doc_id", _joined(F.col("_s")).alias("passages")).where(F.size("passages") > 0)
 

@@ -254,6 +254,15 @@ def test_passages_in_pieces_and_of_many_owners(spark):
     assert covered[201] == set(range(60, 180)) and not covered.keys() & set(range(100, 200))
 
 
+def test_passages_that_a_document_has_again(spark):
+    """A passage twice in a document, whole after a quoted part, and a run of one word alone."""
+    whole, same = prose(95, 100), ["same"] * 300
+    texts = [(1, prose(96, 50) + whole), (2, whole + prose(97, 80) + whole), (3, whole[30:60] + prose(98, 80) + whole), (4, same), (5, same)]
+    covered = covered_words(frame(spark, [(i, " ".join(w)) for i, w in texts]))
+    assert covered[2] == {*range(100), *range(180, 280)} and covered[3] == set(range(110, 210)) and covered[5] == set(range(300))
+    assert covered.keys() == {2, 3, 5}
+
+
 # decontamination
 
 

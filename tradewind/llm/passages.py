@@ -1,8 +1,8 @@
 """Substring dedup by collinear chaining.
 
 Seeds are hashed runs of SEED words, picked as the least of each WINDOW of neighbouring runs, so that any run of
-SEED + WINDOW - 1 words that two texts share gives both a common seed. Equal seeds of a text are told apart by their
-occurrence. A seed's owner is the least doc_id that has it; every other text's seed is matched with its owner, and with those of
+SEED + WINDOW - 1 words that two texts share gives both a common seed. A seed that a text has again is matched with the
+same occurrence in the owner, or with its first where the owner has fewer. A seed's owner is the least doc_id that has it; every other text's seed is matched with its owner, and with those of
 the seeds beside it if they have it too: three matches at most, so matches grow with the texts and not with the
 pairs of a group. The matches of two documents are chained in order with a
 gap cost, each to the best of the matches within reach, chains are aligned word by word between their matches and beyond
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.llm.shared import ship_package, written
-from tradewind.llm.words import NOT_SPACE, hashed_words, occurrence_labelled, windows, word_spans
+from tradewind.llm.words import NOT_SPACE, hashed_words, occurrences, windows, word_spans
 
 SEED = 8
 WINDOW = 14
@@ -42,7 +42,7 @@ BLOCK = 64
 MARGIN = 40
 DROP = 6
 
-_SEEDS = "seed long, doc_id long, place int"
+_SEEDS = "seed long, doc_id long, place int, nth int"
 _CHAINS = "owner long, doc_id long, owner_places array<int>, places array<int>"
 
 
@@ -68,7 +68,7 @@ def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             picked[i : i + n] |= hit
             open_ &= ~hit
         at = np.flatnonzero(picked)
-    return occurrence_labelled(runs[at]), at
+    return runs[at], at
 
 
 def _all_seeds(docs: DataFrame) -> DataFrame:
@@ -83,8 +83,9 @@ def _all_seeds(docs: DataFrame) -> DataFrame:
                         pa.array(np.concatenate([h for _, h, _ in found]).view(np.int64)),
                         pa.array(np.repeat([i for i, _, _ in found], [len(h) for _, h, _ in found]).astype(np.int64)),
                         pa.array(np.concatenate([p for _, _, p in found]).astype(np.int32)),
+                        pa.array(np.concatenate([occurrences(h) for _, h, _ in found]).astype(np.int32)),
                     ],
-                    ["seed", "doc_id", "place"],
+                    ["seed", "doc_id", "place", "nth"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
@@ -95,19 +96,25 @@ def matches(docs: DataFrame) -> DataFrame:
     """owner, doc_id, owner_place, place: a row for each seed of a document and each owner asked for it.
 
     Those are the seed's own, and the owners of the seeds before and after it in the document, within REACH, so that
-    a passage whose seeds have several owners can be followed in one document."""
+    a passage whose seeds have several owners can be followed in one document. Where a document has a seed again, the
+    owner's place is that of its same occurrence, or its first where it has fewer."""
     ship_package(docs.sparkSession)
     found = written(_all_seeds(docs), "seeds")
     shared = found.groupBy("seed").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("_last"))
     shared = shared.where("owner < _last").select("seed", "owner")
     hits = written(found.join(shared, "seed"), "hits")
-    first = hits.groupBy("seed", F.col("doc_id").alias("owner")).agg(F.min("place").alias("owner_place"))
+    owners = hits.drop("owner").withColumnRenamed("doc_id", "owner")
+    first = owners.groupBy("seed", "owner").agg(F.min("place").alias("owner_place"), F.max("nth").alias("_most"))
     by_place, asked = Window.partitionBy("doc_id").orderBy("place", "owner"), [F.col("owner")]
     for near in (F.lag, F.lead):
         asked.append(F.when(F.abs(near("place").over(by_place) - F.col("place")) <= REACH, near("owner").over(by_place)))
-    asked = hits.where("doc_id <> owner").select("seed", "doc_id", "place", F.array_distinct(F.array(*asked)).alias("_asked"))
-    asked = asked.select("seed", "doc_id", "place", F.explode("_asked").alias("owner")).where("owner is not null")
-    return asked.join(first, ["seed", "owner"]).select("owner", "doc_id", "owner_place", "place")
+    asked = hits.where("doc_id <> owner").select("seed", "doc_id", "place", "nth", F.array_distinct(F.array(*asked)).alias("_asked"))
+    asked = asked.select("seed", "doc_id", "place", "nth", F.explode("_asked").alias("owner")).where("owner is not null")
+    found = written(asked.join(first, ["seed", "owner"]), "matches")
+    again = owners.where("nth > 0").groupBy("seed", "owner", "nth").agg(F.min("place").alias("owner_place"))
+    again = found.where("nth > 0 and nth <= _most").drop("owner_place").join(again, ["seed", "owner", "nth"])
+    columns = ["owner", "doc_id", "owner_place", "place"]
+    return found.where("nth = 0 or nth > _most").select(columns).unionByName(again.select(columns))
 
 
 def chained(owner_places: list[int], places: list[int]) -> list[list[int]]:

@@ -77,14 +77,20 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return mixed(out)
 
 
-def occurrence_labelled(values: np.ndarray) -> np.ndarray:
-    """Each value with how often it stood before: equal values become different ones, alike in every text."""
+def occurrences(values: np.ndarray) -> np.ndarray:
+    """How often each value stood before."""
     if not len(values):
-        return values
+        return np.zeros(0, dtype=np.uint64)
     order = np.argsort(values, kind="stable")
     ranked = values[order]
     fresh = np.append(True, ranked[1:] != ranked[:-1])
     begin = np.maximum.accumulate(np.where(fresh, np.arange(len(ranked)), 0))
     times = np.empty(len(values), dtype=np.uint64)
     times[order] = (np.arange(len(ranked)) - begin).astype(np.uint64)
+    return times
+
+
+def occurrence_labelled(values: np.ndarray) -> np.ndarray:
+    """Each value with how often it stood before: equal values become different ones, alike in every text."""
+    times = occurrences(values)
     return np.where(times > 0, mixed(values + times * np.uint64(_ODD)), values)

@@ -133,6 +133,31 @@ def test_near_classes_like_brute_force(spark):
     assert {r.doc_id: r.class_id for r in near.classes(docs).collect()} == {i: find(i) for i in ids}
 
 
+def test_near_classes_of_large_buckets(spark):
+    """Pairs that are alike while others of their buckets aren't: each of 24 words has two forms, and five differences
+    are too many. No form belongs to few texts, so nearly all buckets are of more than SMALL texts."""
+    base, places, rng = prose(2, 200), range(4, 196, 8), random.Random(3)
+    forms = []
+    for _ in range(300):
+        form = rng.getrandbits(24)
+        forms += [form, form ^ sum(1 << p for p in rng.sample(range(24), 3))]
+    parent = list(range(len(forms)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for b in range(len(forms)):
+        for a in range(b):
+            if (forms[a] ^ forms[b]).bit_count() <= 4:
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    texts = [" ".join(changed(base, {p for k, p in enumerate(places) if form >> k & 1})) for form in forms]
+    got = {r.doc_id: r.class_id for r in near.classes(frame(spark, list(enumerate(texts)))).collect()}
+    assert got == {i: find(i) for i in range(len(forms))}
+
+
 def test_banded_alignment_is_the_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(50):

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import chat, decontamination, labelled, licenses, near, packing, passages, quality, rules, toxicity, urls
+from tradewind.llm import centroids, chat, decontamination, divergence, labelled, licenses, near, packing, passages, pieces, quality, rules, toxicity, urls
+from tradewind.llm.sql import CENTROID_CLUSTERING, SOURCE_DIVERGENCE
 from tradewind.llm.shared import ship_package
 
 URL_RULES = [
@@ -31,6 +33,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(packing.VOCABULARY)
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(pieces.VOCABULARY)
+
+
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and -7, formatted; digests read back from the formatted text."""
     own = spark.range(2).select(
@@ -118,6 +126,38 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after three rounds, with the sums of distances and a digest of its centroid."""
+    found = centroids.clustered(table(spark, sf_dir, "embeddings"))
+    sums = {r["cluster"]: r["cluster_inertia"] for r in centroids.inertia(found).collect()}
+    digests = [
+        (c, sums[c], sum(sums.values()), hashlib.sha256(",".join(map(str, components)).encode()).hexdigest())
+        for c, components in enumerate(found.centroids)
+        if c in sums
+    ]
+    schema = "cluster int, cluster_inertia long, inertia long, centroid_sha256 string"
+    # A row for each centroid at most.
+    return found.assignments.join(F.broadcast(spark.createDataFrame(digests, schema)), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language are apart, and the terms that each has more often than its language."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text decoded from them."""
+    coded = pieces.round_trip(table(spark, sf_dir, "documents"), piece_model_path())
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -131,6 +171,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_benchmark_decontamination,
         op9_substring_dedup,
         op10_minhash_near_dedup,
+        op11_centroid_clustering,
+        op12_source_divergence,
+        op13_sentencepiece,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_centroid_clustering": CENTROID_CLUSTERING,
+    "op12_source_divergence": SOURCE_DIVERGENCE,
+}

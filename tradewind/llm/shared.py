@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
@@ -38,6 +41,16 @@ def shared_folder(spark: SparkSession) -> str:
     return _OWN[app]
 
 
+def release_memory() -> None:
+    """Give back what a task no longer needs. Python workers outlive their tasks, and allocators keep freed memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not with this C library
+        pass
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet below the shared folder and read again: computed once, lineage cut, and safe
     against lost executors. The files belong to that folder and go when its owner clears it."""

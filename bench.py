@@ -9,6 +9,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -63,7 +64,12 @@ def main() -> None:
         "bench",
         master=f"local[{cpus}]",
         shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
-        **{"spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
+        **{
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = build_queries()

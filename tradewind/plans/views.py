@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradewind import catalog
 from tradewind.functions.literals import text
 from tradewind.functions.numeric import mean, percent
-from tradewind.operators.asof import trailing
+from tradewind.operators.asof import trailing, until
 from tradewind.operators.keyed import latest_per_key
 from tradewind.operators.ranking import with_rank
 
@@ -27,18 +27,32 @@ SCORE_COLUMNS = [
 
 LISTING_COLUMNS = ["sell_through", "avg_price", "listing_count"]
 
+SERIES_COLUMNS = [
+    "category_name",
+    "snapshot_date",
+    "sell_through_pct",
+    "avg_price",
+    "listing_count",
+    "sold_count",
+    "search_interest",
+    "reddit_mentions",
+    "source",
+]
+
 
 def momentum(delta: str) -> str:
     return f"CASE WHEN {delta} > 5 THEN 'Rising' WHEN {delta} < -5 THEN 'Declining' ELSE 'Stable' END"
 
 
-def mv_category_leaderboard(scores: DataFrame, trends: DataFrame) -> DataFrame:
+def mv_category_leaderboard(scores: DataFrame, trends: DataFrame, as_of: date | None = None) -> DataFrame:
     """Latest score per category with rank, change on the previous run and newest listing figures.
 
     "Previous" is the newest score before the newest run of all categories, so a category that run
     left out compares with itself. Latest and previous come from one aggregate per category. On one
-    date the marketplace listing beats the ranked lists.
+    date the marketplace listing beats the ranked lists. Nothing after ``as_of`` counts. Ranks come from
+    the scores alone, before the listing figures are joined.
     """
+    scores, trends = until(scores, "scored_at", as_of), until(trends, "snapshot_date", as_of)
     earlier = F.when(F.col("scored_at") < scores.agg(F.max("scored_at")).scalar(), F.col("scored_at"))
     current = (
         scores.groupBy("category_name")
@@ -51,7 +65,8 @@ def mv_category_leaderboard(scores: DataFrame, trends: DataFrame) -> DataFrame:
     listing = latest_per_key(trends, "category_name", LISTING_COLUMNS, "snapshot_date", "source")
     delta = "opportunity_score - coalesce(previous, opportunity_score)"
     return (
-        with_rank(current.join(listing, "category_name", "left"), "opportunity_score", "current_rank")
+        with_rank(current, "opportunity_score", "current_rank")
+        .join(listing, "category_name", "left")
         .orderBy(F.col("opportunity_score").desc_nulls_first(), "category_name")
         .selectExpr(
             "category_name",
@@ -98,13 +113,16 @@ def mv_channel_comparison(channels: DataFrame) -> DataFrame:
 def mv_niche_finder(
     scores: DataFrame, trends: DataFrame, search: DataFrame, social: DataFrame, spend: DataFrame, as_of: date
 ) -> DataFrame:
-    """All signals of a category in one row; what is missing stays NULL.
+    """All signals of a category in one row, none after ``as_of``; what is missing stays NULL.
 
     Every side is grouped by category, so the joins need no exchange beyond those of the aggregates.
     """
-    latest = latest_per_key(scores, "category_name", SCORE_COLUMNS, "scored_at")
+    latest = latest_per_key(until(scores, "scored_at", as_of), "category_name", SCORE_COLUMNS, "scored_at")
     demand = latest_per_key(
-        trends.where(f"source = {text(catalog.MARKETPLACE)}"), "category_name", LISTING_COLUMNS, "snapshot_date"
+        until(trends, "snapshot_date", as_of).where(f"source = {text(catalog.MARKETPLACE)}"),
+        "category_name",
+        LISTING_COLUMNS,
+        "snapshot_date",
     )
     interest = (
         search.where("geo = 'US'")
@@ -120,7 +138,7 @@ def mv_niche_finder(
             F.expr("count(DISTINCT subreddit) AS subreddit_count"),
         )
     )
-    expenses = latest_per_key(spend, "category_name", ["avg_annual_spend", "yoy_change"], "year")
+    expenses = latest_per_key(spend.where(f"year <= {as_of.year}"), "category_name", ["avg_annual_spend", "yoy_change"], "year")
     joined = latest
     for side in (demand, interest, buzz, expenses):
         joined = joined.join(side, "category_name", "left")

@@ -29,8 +29,17 @@ def _marketplace(trends: DataFrame) -> DataFrame:
     return trends.where(f"source = {text(catalog.MARKETPLACE)}")
 
 
+def listing_days(trends: DataFrame) -> DataFrame:
+    """The marketplace's row of each category and day."""
+    return _marketplace(trends).select("category_name", "snapshot_date", "listing_count", "sold_count", "sell_through")
+
+
 def wf_sell_through_delta(trends: DataFrame) -> DataFrame:
-    before = _marketplace(trends).selectExpr(
+    return sell_through_deltas(listing_days(trends))
+
+
+def sell_through_deltas(days: DataFrame) -> DataFrame:
+    before = days.selectExpr(
         "*", f"{lag('sell_through')} AS prev_sell_through", f"{lag('listing_count')} AS prev_listing_count"
     )
     return _newest_first(
@@ -49,12 +58,16 @@ def wf_sell_through_delta(trends: DataFrame) -> DataFrame:
 
 
 def wf_moving_avg(trends: DataFrame) -> DataFrame:
+    return moving_averages(listing_days(trends))
+
+
+def moving_averages(days: DataFrame) -> DataFrame:
     def moving(preceding: int) -> str:
         frame = f"({_HISTORY} ROWS BETWEEN {preceding} PRECEDING AND CURRENT ROW)"
         return ratio(f"sum(sell_through) OVER {frame}", f"count(sell_through) OVER {frame}", 4)
 
     return _newest_first(
-        _marketplace(trends).selectExpr(
+        days.selectExpr(
             "category_name",
             "snapshot_date",
             "sell_through",
@@ -69,12 +82,19 @@ def _steady(value: str, digits: int) -> str:
     return f"round(round({value}, 12), {digits})"
 
 
-def wf_interest_momentum(search: DataFrame) -> DataFrame:
-    daily = (
+def interest_days(search: DataFrame) -> DataFrame:
+    return (
         search.where("geo = 'US'")
         .groupBy("category_name", "snapshot_date")
         .agg(F.expr(f"{quotient('sum(interest_score)', 'count(interest_score)')} AS avg_interest"))
     )
+
+
+def wf_interest_momentum(search: DataFrame) -> DataFrame:
+    return interest_changes(interest_days(search))
+
+
+def interest_changes(daily: DataFrame) -> DataFrame:
     frame = f"({_HISTORY} ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)"
     moving = f"sum(avg_interest) OVER {frame} / nullif(count(avg_interest) OVER {frame}, 0)"
     return _newest_first(
@@ -93,10 +113,13 @@ def daily_mentions(social: DataFrame) -> DataFrame:
 
 
 def wf_buzz_momentum(social: DataFrame) -> DataFrame:
+    return mention_changes(daily_mentions(social))
+
+
+def mention_changes(daily: DataFrame) -> DataFrame:
     growth = ratio("(total_mentions - prev_mentions) * 100", "prev_mentions", 2)
     return _newest_first(
-        daily_mentions(social)
-        .selectExpr("*", f"{lag('total_mentions')} AS prev_mentions")
+        daily.selectExpr("*", f"{lag('total_mentions')} AS prev_mentions")
         .selectExpr(
             "*",
             "total_mentions - prev_mentions AS mention_delta",

@@ -17,6 +17,8 @@ from tradewind.functions.literals import day, text, text_array, text_map
 from tradewind.functions.numeric import ratio
 from tradewind.functions.text import strip, title_case
 from tradewind.operators.keyed import top_per_key
+from tradewind.operators.ranking import with_position
+from tradewind.sources.arrival import ARRIVAL
 
 # --- fixed values: how far back a day's run looks ---
 POST_DAYS = 7
@@ -89,8 +91,11 @@ def src_bestsellers(lists: DataFrame, as_of: date, size: int | None = None) -> D
 
 
 def src_bestseller_items(items: DataFrame, order: list[Column], as_of: date, size: int | None = None) -> DataFrame:
-    """Ranked lists that arrive as one row per item (list_type, price): same result."""
-    ranked = top_per_key(items, ["list_type"], order, size)
+    """Ranked lists that arrive as one row per item (list_type, price): same result.
+
+    The first ``size`` of each list are cut per map task; whole lists are ranked over ranges of their order, since a
+    list may hold a third of all items."""
+    ranked = with_position(items, ["list_type"], order) if size is None else top_per_key(items, ["list_type"], order, size)
     return _ranked_rows(ranked.withColumnRenamed("_position", "rank_position"), as_of)
 
 
@@ -161,14 +166,16 @@ def src_spend_csv(rows: DataFrame, labels: dict[str, str] | None = None) -> Data
     """Expenditure rows to category spend and change on the previous year.
 
     Unmapped labels pass through. Without a previous-year column the change is 0; with a previous
-    value of 0 it is NULL.
+    value of 0 it is NULL. The rows' order of arrival is handed on where it is known.
     """
+    arrival = [ARRIVAL] if ARRIVAL in rows.columns else []
     previous = "prev_year_expenditure" if "prev_year_expenditure" in rows.columns else "avg_annual_expenditure"
     amounts = rows.withColumn("label", strip(F.expr("coalesce(category, '')"))).selectExpr(
         "label",
         "year",
         "CAST(avg_annual_expenditure AS decimal(22,4)) AS spend",
         f"CAST({previous} AS decimal(22,4)) AS previous",
+        *arrival,
     )
     return amounts.selectExpr(
         f"coalesce({lookup(catalog.SPEND_LABELS if labels is None else labels, 'label')}, label) AS category_name",
@@ -176,4 +183,5 @@ def src_spend_csv(rows: DataFrame, labels: dict[str, str] | None = None) -> Data
         "year",
         "round(spend, 2) AS avg_annual_spend",
         "round(try_divide(CAST(spend - previous AS decimal(22,4)), previous), 4) AS yoy_change",
+        *arrival,
     )

@@ -4,7 +4,6 @@ Each table is one scan of one raw table and one hash aggregate. Money is summed
 the sums are exact, independent of row order, and stay in fixed-width buffers.
 """
 
-import tempfile
 import uuid
 from datetime import date
 from functools import cached_property, partial
@@ -17,6 +16,8 @@ from tradewind import catalog, schemas
 from tradewind.functions.literals import text_array
 from tradewind.functions.numeric import ratio
 from tradewind.plans.scoring import score_categories, score_inputs
+from tradewind.sources.arrival import ARRIVAL, with_arrival
+from tradewind.sources.shared import shared_folder
 from tradewind.sources.together import run_together
 
 AS_OF = date(2024, 1, 30)
@@ -98,10 +99,9 @@ class RawData:
         return self.spark.read.schema(GIVEN[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster shares; a temporary one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
-    return f"{shared.rstrip('/')}/signals-{uuid.uuid4().hex}"
+def own_folder(spark: SparkSession) -> str:
+    """A new folder below the one the cluster shares."""
+    return f"{shared_folder(spark)}/signals-{uuid.uuid4().hex}"
 
 
 class SignalTables(RawData):
@@ -119,7 +119,7 @@ class SignalTables(RawData):
 
     @cached_property
     def folder(self) -> str:
-        return shared_folder(self.spark)
+        return own_folder(self.spark)
 
     def prepare(self) -> "SignalTables":
         """Write the raw-derived tables to be reused, side by side."""
@@ -359,6 +359,36 @@ class RawFeeds(RawData):
             )
         )
 
+    def bestseller_lists(self) -> DataFrame:
+        """The lists as arrays, each in its order."""
+        entry = "struct(-p_retailprice AS place, p_partkey, struct(p_retailprice AS value) AS price)"
+        lists = self.table("part").groupBy("p_brand").agg(F.expr(f"sort_array(collect_list({entry})) AS entries"))
+        return lists.selectExpr(
+            "concat('bestsellers_', p_brand) AS list_type", "transform(entries, e -> struct(e.price AS price)) AS bestsellers"
+        )
+
+    def damaged_listing_batch(self) -> DataFrame:
+        """The batch with days in other spellings, and rows without a category, a day or a readable one."""
+        spelled = (
+            "CASE WHEN l_linenumber = 6 AND l_partkey % 5 = 0 THEN 'June' WHEN l_linenumber = 4 AND l_partkey % 7 = 0 THEN NULL "
+            "WHEN l_linenumber = 2 THEN date_format(CAST(snapshot_date AS date), 'MMM d, yyyy') "
+            "WHEN l_linenumber = 1 THEN date_format(CAST(snapshot_date AS date), 'M/d/yyyy') ELSE snapshot_date END"
+        )
+        return self.listing_batch().withColumns(
+            {
+                "category_name": F.expr("CASE WHEN l_linenumber <> 5 OR l_partkey % 3 <> 0 THEN category_name END"),
+                "snapshot_date": F.expr(spelled),
+            }
+        )
+
+    def item_lines(self) -> str:
+        """A folder of items as lines of JSON, every 150th cut short."""
+        line = "to_json(struct(p_partkey, p_name, named_struct('value', p_retailprice) AS price))"
+        path = f"{shared_folder(self.spark)}/lines-{uuid.uuid4().hex}"
+        whole = f"CASE WHEN p_partkey % 150 = 0 THEN substring({line}, 1, 25) ELSE {line} END AS value"
+        self.table("part").selectExpr(whole).write.text(path)
+        return path
+
     # Dirty batches: padded and mis-cased names, numbers as text, values out of range, repeated keys.
 
     @staticmethod
@@ -370,8 +400,12 @@ class RawFeeds(RawData):
 
     LISTING_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
+    def arrived(self, name: str) -> DataFrame:
+        return with_arrival(self.table(name))
+
     def listing_batch(self) -> DataFrame:
-        return self.table("lineitem").selectExpr(
+        return self.arrived("lineitem").selectExpr(
+            ARRIVAL,
             *self.LISTING_ORDER,
             f"{self._untidy('l_partkey % 10', 'l_linenumber')} AS category_name",
             "CAST(l_partkey AS string) AS category_id",
@@ -385,8 +419,8 @@ class RawFeeds(RawData):
         )
 
     def search_batch(self) -> DataFrame:
-        return self.table("events").where(SEARCH_EVENT).selectExpr(
-            "event_id",
+        return self.arrived("events").where(SEARCH_EVENT).selectExpr(
+            ARRIVAL,
             f"concat('  ', initcap(concat_ws(' ', {category('user_id % 10')}, event_type)), ' ') AS keyword",
             f"{self._untidy('user_id % 10', 'event_id')} AS category_name",
             "CAST(CAST(ts AS date) AS string) AS snapshot_date",
@@ -395,8 +429,8 @@ class RawFeeds(RawData):
         )
 
     def social_batch(self) -> DataFrame:
-        return self.table("events").where(f"NOT {SEARCH_EVENT}").selectExpr(
-            "event_id",
+        return self.arrived("events").where(f"NOT {SEARCH_EVENT}").selectExpr(
+            ARRIVAL,
             f"{self._untidy('user_id % 10', 'event_id')} AS category_name",
             f"upper(concat_ws(' ', {category('user_id % 10')}, event_type)) AS keyword",
             "concat(' Src', event_id % 6, '\\n') AS subreddit",
@@ -407,8 +441,8 @@ class RawFeeds(RawData):
 
     def spend_batch(self) -> DataFrame:
         """Years spread over 1995 .. 2018, so some are dropped as too old."""
-        return self.table("orders").selectExpr(
-            "o_orderkey",
+        return self.arrived("orders").selectExpr(
+            ARRIVAL,
             f"{self._untidy('o_custkey % 10', 'o_orderkey')} AS category_name",
             "o_orderpriority AS bls_category",
             "CASE WHEN o_orderkey % 17 = 0 THEN 'year?' ELSE CAST(year(o_orderdate) + o_orderkey % 18 AS string) END AS year",

@@ -5,10 +5,14 @@ rounding is integer arithmetic and does not depend on how an engine rounds binar
 uses doubles and half-even rounding, as the job does.
 """
 
+from datetime import date
+
 from tradewind import catalog
 from tradewind.testbed.mapping import AS_OF, ONLINE_OF_TEN, RUN_DATES, RawFeeds
 
 D = f"DATE '{AS_OF}'"
+# --- an earlier day that is asked for later ---
+PAST_RUN = date(2024, 1, 26)
 
 
 def text_list(values) -> str:
@@ -327,9 +331,19 @@ LISTING_BATCH = f"""cleaned AS (
     CASE WHEN l_linenumber = 5 THEN 0 ELSE CAST(trunc(l_quantity / 4) AS BIGINT) END AS sold_count,
     {binary_round('greatest(least(l_discount * 15 - 0.1, 1), 0)', 4)} AS sell_through,
     CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber END AS rank_position
-  FROM lineitem
-  QUALIFY row_number() OVER (PARTITION BY l_partkey % 10, source, snapshot_date
-    ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) = 1)"""
+  FROM arrived
+  QUALIFY row_number() OVER (PARTITION BY l_partkey % 10, source, snapshot_date ORDER BY place) = 1)"""
+
+
+def arrived(table: str, first: str = "") -> str:
+    """A table with the place of each row in its file, or in a stated order."""
+    return f"arrived AS (SELECT *, row_number() OVER ({first}) AS place FROM {table})"
+
+
+LISTING_ORDER = f"ORDER BY {', '.join(RawFeeds.LISTING_ORDER)}"
+NO_CATEGORY = "l_linenumber = 5 AND l_partkey % 3 = 0"
+NO_DAY = "l_linenumber = 4 AND l_partkey % 7 = 0"
+ODD_DAY = "l_linenumber = 6 AND l_partkey % 5 = 0"
 
 
 def load_sql(ctes, table, columns, column, cut, overlap, changed, amount) -> str:
@@ -395,6 +409,8 @@ def build_oracle() -> dict[str, str]:
         "CAST(NULL AS BIGINT) AS sold_count, CAST(NULL AS DOUBLE) AS sell_through, CAST(place AS INTEGER) AS rank_position "
         "FROM ranked",
     )
+    q["src_bestsellers_lists"] = q["src_bestsellers"]
+    q["latest_list_entries"] = q["src_bestsellers"] + " WHERE place <= 50"
     q["src_search_interest"] = sql(
         [SEARCH_FEED],
         f"SELECT keyword, category_name, {D} AS snapshot_date, CAST(interest_score AS INTEGER) AS interest_score, "
@@ -470,26 +486,38 @@ FROM trends_out""",
     q["clip_score"] = (
         "SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN least(greatest(value - 20, 0), 100) END AS score FROM events"
     )
-    q["clean_category_trends"] = sql([LISTING_BATCH], f"SELECT {', '.join(trend_columns)} FROM cleaned")
-    q["union_sources"] = q["clean_category_trends"]
-    q["clean_search_signals"] = f"""SELECT lower({category('user_id % 10')}) || ' ' || event_type AS keyword,
+    cleaned = f"SELECT {', '.join(trend_columns)} FROM cleaned"
+    q["clean_category_trends"] = sql([arrived("lineitem"), LISTING_BATCH], cleaned)
+    q["union_sources"] = sql([arrived("lineitem", LISTING_ORDER), LISTING_BATCH], cleaned)
+    readable = f"usable AS (SELECT * FROM arrived WHERE NOT (({NO_CATEGORY}) OR ({NO_DAY}) OR ({ODD_DAY})))"
+    q["clean_split_listings"] = sql([arrived("lineitem"), readable, LISTING_BATCH.replace("FROM arrived", "FROM usable")], cleaned)
+    q["rejected_listings"] = f"""SELECT CASE WHEN {NO_CATEGORY} THEN 'no category_name' WHEN {NO_DAY} THEN 'no snapshot_date'
+  ELSE 'unreadable snapshot_date' END AS reason, count(*) AS rejected
+FROM lineitem WHERE ({NO_CATEGORY}) OR ({NO_DAY}) OR ({ODD_DAY}) GROUP BY ALL"""
+    q["land_json_feed"] = """SELECT p_partkey, p_name, p_retailprice AS price,
+  (SELECT count(*) FROM part WHERE p_partkey % 150 = 0) AS damaged_lines
+FROM part WHERE p_partkey % 150 <> 0"""
+    q["clean_search_signals"] = f"""WITH {arrived('events')}
+SELECT lower({category('user_id % 10')}) || ' ' || event_type AS keyword,
   {category('user_id % 10')} AS category_name, CAST(ts AS DATE) AS snapshot_date,
   CASE WHEN event_id % 11 = 0 THEN 0 ELSE CAST(least(greatest(trunc(value - 5), 0), 100) AS INTEGER) END AS interest_score,
   CASE WHEN user_id % 7 = 0 THEN 'CA' ELSE 'US' END AS geo
-FROM events WHERE event_type IN ('view', 'click')
-QUALIFY row_number() OVER (PARTITION BY keyword, snapshot_date, geo ORDER BY event_id) = 1"""
-    q["clean_social_buzz"] = f"""SELECT {category('user_id % 10')} AS category_name,
+FROM arrived WHERE event_type IN ('view', 'click')
+QUALIFY row_number() OVER (PARTITION BY keyword, snapshot_date, geo ORDER BY place) = 1"""
+    q["clean_social_buzz"] = f"""WITH {arrived('events')}
+SELECT {category('user_id % 10')} AS category_name,
   lower({category('user_id % 10')}) || ' ' || event_type AS keyword, 'Src' || CAST(event_id % 6 AS VARCHAR) AS subreddit,
   CAST(ts AS DATE) AS snapshot_date,
   CASE WHEN event_id % 13 = 0 THEN 0 ELSE CAST(trunc(value / 2) AS BIGINT) END AS mention_count,
   CASE WHEN event_id % 5 = 0 THEN 0 ELSE {binary_round('value / 7', 2)} END AS avg_score
-FROM events WHERE event_type NOT IN ('view', 'click')
-QUALIFY row_number() OVER (PARTITION BY keyword, subreddit, snapshot_date ORDER BY event_id) = 1"""
-    q["clean_consumer_spend"] = f"""SELECT {category('o_custkey % 10')} AS category_name, o_orderpriority AS bls_category,
+FROM arrived WHERE event_type NOT IN ('view', 'click')
+QUALIFY row_number() OVER (PARTITION BY keyword, subreddit, snapshot_date ORDER BY place) = 1"""
+    q["clean_consumer_spend"] = f"""WITH {arrived('orders')}
+SELECT {category('o_custkey % 10')} AS category_name, o_orderpriority AS bls_category,
   CAST(year(o_orderdate) + o_orderkey % 18 AS INTEGER) AS year, {binary_round('o_totalprice / 3', 2)} AS avg_annual_spend,
   CASE WHEN o_orderkey % 19 <> 0 THEN {binary_round('o_totalprice / 1000000 - 0.2', 4)} END AS yoy_change
-FROM orders WHERE o_orderkey % 17 <> 0 AND year(o_orderdate) + o_orderkey % 18 > 2000
-QUALIFY row_number() OVER (PARTITION BY o_custkey % 10, year(o_orderdate) + o_orderkey % 18 ORDER BY o_orderkey) = 1"""
+FROM arrived WHERE o_orderkey % 17 <> 0 AND year(o_orderdate) + o_orderkey % 18 > 2000
+QUALIFY row_number() OVER (PARTITION BY o_custkey % 10, year(o_orderdate) + o_orderkey % 18 ORDER BY place) = 1"""
     base = ", ".join(
         f"('{c}', {round(float(share) * 100)})" for c, share in catalog.BASE_ONLINE_SHARE.items()
     )
@@ -550,9 +578,25 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey % 10, year(o_orderdate) + o_or
     )
 
     q["mv_category_leaderboard"] = sql(BOARD, f"SELECT {BOARD_COLUMNS} FROM leaderboard")
+    past = f"DATE '{PAST_RUN}'"
+    known = [
+        f"past AS (SELECT * FROM scores WHERE scored_at <= {past})",
+        f"seen AS (SELECT * FROM trends WHERE snapshot_date <= {past})",
+    ]
+
+    def as_of_past(view: str) -> str:
+        return view.replace("FROM scores", "FROM past").replace("FROM trends", "FROM seen").replace(D, past)
+
+    q["mv_category_leaderboard_past"] = sql([*SCORING, *known, as_of_past(LEADERBOARD)], f"SELECT {BOARD_COLUMNS} FROM leaderboard")
+    q["refresh_views_back_fill"] = sql(
+        [*SCORING, *known, as_of_past(LEADERBOARD)], f"SELECT {BOARD_COLUMNS}, 1 AS versions FROM leaderboard"
+    )
+    q["mv_niche_finder_past"] = sql([*SCORING, *known, as_of_past(NICHES)], "SELECT * FROM niches")
+    q["daily_job_resumed"] = q["daily_job"]
     q["mv_channel_comparison"] = sql(COMPARE, f"SELECT {COMPARISON_OUT} FROM comparison")
     q["mv_niche_finder"] = sql(NICHE, "SELECT * FROM niches")
     q["mv_trends_explorer"] = sql(EXPLORE, "SELECT * FROM explorer")
+    q["refresh_views_touched_days"] = q["mv_trends_explorer"]
 
     history = "(PARTITION BY category_name ORDER BY snapshot_date)"
     q["wf_sell_through_delta"] = sql(
@@ -616,6 +660,9 @@ FROM paired""",
   CAST(quartile AS INTEGER) AS demand_quartile FROM placed""",
     )
 
+    for name in ("wf_sell_through_delta", "wf_moving_avg", "wf_interest_momentum", "wf_buzz_momentum"):
+        q[f"{name}_by_loads"] = q[name]
+
     q["cte_score_breakdown"] = sql(
         [
             *everything,
@@ -702,7 +749,7 @@ FROM d LEFT JOIN i USING (category_name) LEFT JOIN b USING (category_name) LEFT
         f"""SELECT p.category_name, opportunity_score, demand_score, trend_score, buzz_score, competition_score, channel_edge,
   {units('price2', 2)} AS avg_price, {units('st4', 4)} AS sell_through, {units('share4', 4)} AS ecomm_share, {units('growth4', 4)} AS ecomm_growth
 FROM past p LEFT JOIN trends t ON t.category_name = p.category_name AND t.snapshot_date = {run} AND t.source = 'ebay'
-  LEFT JOIN channels c ON c.category_name = p.category_name AND c.period_date = (SELECT max(period_date) FROM channels)
+  LEFT JOIN channels c ON c.category_name = p.category_name AND c.period_date = (SELECT max(period_date) FROM channels WHERE period_date <= {run})
 WHERE scored_at = (SELECT max(scored_at) FROM past) AND recommendation = 'enter' AND opp2 >= 6000 AND price2 BETWEEN 1500 AND 20000""",
     )
 

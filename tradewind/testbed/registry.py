@@ -1,7 +1,7 @@
 """Every operator as a query over the given tables: name -> (spark, sf_dir) -> DataFrame."""
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,17 +15,24 @@ from tradewind.functions.text import normalize_category
 from tradewind.operators.normalize import with_minmax
 from tradewind.operators.upsert import upsert
 from tradewind.plans import analytics, clean, reads, scoring, summaries, views, windows
-from tradewind.plans.daily import DailyFeeds, run_daily
-from tradewind.sources import feeds
-from tradewind.sources.store import SignalStore, read_table
+from tradewind.plans.daily import DailyFeeds, load_day, run_daily
+from tradewind.sources import feeds, landing, quarantine
+from tradewind.sources.arrival import ARRIVAL
+from tradewind.sources.folders import Folder
+from tradewind.sources.store import SERIES, SERIES_TABLES, SignalStore, read_table
 from tradewind.sources.together import run_together
-from tradewind.testbed.mapping import AS_OF, GIVEN, RawFeeds, SignalTables, shared_folder
+from tradewind.testbed.mapping import AS_OF, GIVEN, RawFeeds, SignalTables, own_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DEEP_DIVE = "Electronics"
 EXPLORED = ["Electronics", "Pet Supplies", "Toys & Hobbies"]
 ENTRY_RUN = date(2024, 1, 24)
+PAST_RUN = date(2024, 1, 26)
+# The last day of the first of two loads.
+FIRST_LOAD = date(2024, 1, 20)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, for comparison with an engine that has other decimal types."""
     return df.selectExpr(
@@ -46,7 +53,18 @@ def over_feeds(build: Callable[[RawFeeds], DataFrame]) -> Query:
 
 
 def leaderboard(t: SignalTables) -> DataFrame:
-    return views.mv_category_leaderboard(t.niche_scores, t.category_trends)
+    return views.mv_category_leaderboard(t.niche_scores, t.category_trends, AS_OF)
+
+
+def past_leaderboard(t: SignalTables) -> DataFrame:
+    """What the board said on an earlier day, from tables that know more by now."""
+    return views.mv_category_leaderboard(t.niche_scores, t.category_trends, PAST_RUN)
+
+
+def past_niches(t: SignalTables) -> DataFrame:
+    return views.mv_niche_finder(
+        t.niche_scores, t.category_trends, t.search_signals, t.social_buzz, t.consumer_spend, PAST_RUN
+    )
 
 
 def comparison(t: SignalTables) -> DataFrame:
@@ -70,8 +88,7 @@ def rising(t: SignalTables, per_date: bool) -> DataFrame:
 
 
 def top_entries(t: SignalTables) -> DataFrame:
-    scores = t.niche_scores.where(f"scored_at <= {day(ENTRY_RUN)}")
-    return analytics.cte_top_entries(scores, t.category_trends, t.retail_vs_ecomm, ENTRY_RUN)
+    return analytics.cte_top_entries(t.niche_scores, t.category_trends, t.retail_vs_ecomm, ENTRY_RUN)
 
 
 def competition_scores(t: SignalTables) -> DataFrame:
@@ -87,16 +104,34 @@ def explored(t: SignalTables, signal: str, days: int) -> DataFrame:
 # --- keyed loads: old rows, and a batch that overlaps them and holds each key twice ---
 
 
+def overlapping_batch(t: SignalTables, table: str, overlap: str, changed: str, amount: int) -> DataFrame:
+    rows = getattr(t, table)
+    return rows.where(f"{schemas.PARTITION_COLUMN[table]} >= {overlap}").selectExpr(
+        *[c for c in rows.columns if c != changed],
+        f"posexplode(array({changed}, {changed} + {amount})) AS (sequence, {changed})",
+    )
+
+
+def overlapping_upsert(table: str, cut: str, overlap: str, changed: str, amount: int) -> Query:
+    """The keyed merge as a plan."""
+
+    def build(t: SignalTables) -> DataFrame:
+        old = getattr(t, table).where(f"{schemas.PARTITION_COLUMN[table]} <= {cut}")
+        batch = overlapping_batch(t, table, overlap, changed, amount)
+        return upsert(old, batch, schemas.KEYS[table], [F.col("sequence").desc()])
+
+    return over_signals(build, table)
+
+
 def overlapping_load(table: str, cut: str, overlap: str, changed: str, amount: int, *reuse: str) -> Query:
-    column = schemas.PARTITION_COLUMN[table]
+    """The table's own load, into a store that holds the older rows."""
 
     def build(t: SignalTables) -> DataFrame:
-        rows = getattr(t, table)
-        batch = rows.where(f"{column} >= {overlap}").selectExpr(
-            *[c for c in rows.columns if c != changed],
-            f"posexplode(array({changed}, {changed} + {amount})) AS (sequence, {changed})",
-        )
-        return upsert(rows.where(f"{column} <= {cut}"), batch, schemas.KEYS[table], [F.col("sequence").desc()])
+        store = SignalStore(t.spark, own_folder(t.spark))
+        load = getattr(store, f"load_{table}")
+        load(getattr(t, table).where(f"{schemas.PARTITION_COLUMN[table]} <= {cut}"))
+        load(overlapping_batch(t, table, overlap, changed, amount), [F.col("sequence").desc()])
+        return store.read(table)
 
     return over_signals(build, table, *reuse)
 
@@ -119,7 +154,7 @@ def load_all(store: SignalStore, sf_dir: str) -> None:
 
 
 def loaded_store(spark: SparkSession, sf_dir: str) -> SignalStore:
-    store = SignalStore(spark, shared_folder(spark))
+    store = SignalStore(spark, own_folder(spark))
     load_all(store, sf_dir)
     return store
 
@@ -160,24 +195,89 @@ def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def back_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refreshed for an earlier day, for the newest and for the earlier once more: that day's board, in one version."""
+    store = loaded_store(spark, sf_dir)
+    for as_of in (PAST_RUN, AS_OF, PAST_RUN):
+        store.refresh_views(as_of)
+    versions = [n for n in Folder(spark, store.view_path("mv_category_leaderboard")).names() if n != "CURRENT"]
+    return plain(store.read_view("mv_category_leaderboard").withColumn("versions", F.lit(len(versions))))
+
+
+def load_up_to(store: SignalStore, t: SignalTables, bound: str) -> set[date]:
+    """Load the rows of the daily signals for which the bound on their date holds; the dates that were touched."""
+    touched = set()
+    for table in SERIES_TABLES:
+        touched |= getattr(store, f"load_{table}")(getattr(t, table).where(f"snapshot_date {bound}")).partitions
+    return touched
+
+
+def renewed_series(t: SignalTables) -> DataFrame:
+    """The series after a refresh over the first load and one of the later days alone."""
+    store = SignalStore(t.spark, own_folder(t.spark))
+    load_up_to(store, t, f"<= {day(FIRST_LOAD)}")
+    store.refresh_views(AS_OF)
+    touched = load_up_to(store, t, f"> {day(FIRST_LOAD)}")
+    store.refresh_views(AS_OF, touched)
+    return store.read_view(SERIES)
+
+
+def momentum_by_loads(query: str) -> Query:
+    """A stored momentum query after three loads, each followed by a refresh of the days it brought."""
+
+    def build(t: SignalTables) -> DataFrame:
+        store = SignalStore(t.spark, own_folder(t.spark))
+        for bound in (f"<= {day(FIRST_LOAD)}", f"= {day(FIRST_LOAD + timedelta(days=1))}", f"> {day(FIRST_LOAD)}"):
+            store.refresh_momentum(load_up_to(store, t, bound))
+        return store.read_momentum(query)
+
+    return over_signals(build, *SERIES_TABLES)
+
+
+def split_listings(raw: RawFeeds) -> quarantine.Split:
+    return quarantine.split("category_trends", raw.damaged_listing_batch())
+
+
+def rejected_listings(raw: RawFeeds) -> DataFrame:
+    parts = split_listings(raw)
+    return parts.rejected.groupBy(F.col(quarantine.REASON).alias("reason")).agg(F.count("*").alias("rejected"))
+
+
+def landed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items read back from lines of JSON, beside the number of lines that were cut short."""
+    schema = schemas.table(p_partkey=schemas.LONG, p_name=schemas.TEXT, price=schemas.table(value=schemas.DOUBLE))
+    landed = landing.land_json(spark, RawFeeds(spark, sf_dir).item_lines(), schema, "items")
+    rows = landed.rows.selectExpr("p_partkey", "p_name", "price.value AS price")
+    return rows.withColumn("damaged_lines", F.lit(landed.damaged_count).cast("bigint"))
+
+
+def daily_feeds(raw: RawFeeds, input_id: str | None = None) -> DailyFeeds:
+    return DailyFeeds(
+        listings=raw.listing_pages(),
+        search=raw.search_points(),
+        posts=raw.posts(),
+        spend=raw.spend_rows(),
+        bestsellers=raw.bestseller_items(),
+        bestseller_order=raw.bestseller_order(),
+        search_order=("point_ts", "event_id"),
+        search_keywords=raw.search_keywords,
+        spend_labels=raw.SPEND_LABELS,
+        input_id=input_id,
+    )
+
+
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole daily job from raw feeds; returns the leaderboard it published."""
-    raw, store = RawFeeds(spark, sf_dir), SignalStore(spark, shared_folder(spark))
-    run_daily(
-        store,
-        DailyFeeds(
-            listings=raw.listing_pages(),
-            search=raw.search_points(),
-            posts=raw.posts(),
-            spend=raw.spend_rows(),
-            bestsellers=raw.bestseller_items(),
-            bestseller_order=raw.bestseller_order(),
-            search_order=("point_ts", "event_id"),
-            search_keywords=raw.search_keywords,
-            spend_labels=raw.SPEND_LABELS,
-        ),
-        AS_OF,
-    )
+    raw, store = RawFeeds(spark, sf_dir), SignalStore(spark, own_folder(spark))
+    run_daily(store, daily_feeds(raw), AS_OF)
+    return plain(store.read_view("mv_category_leaderboard"))
+
+
+def resumed_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board of a run whose loads were finished by a driver that was lost."""
+    raw, store = RawFeeds(spark, sf_dir), SignalStore(spark, own_folder(spark))
+    load_day(store, daily_feeds(raw, "landed"), AS_OF)
+    run_daily(SignalStore(spark, store.root), daily_feeds(raw, "landed"), AS_OF)
     return plain(store.read_view("mv_category_leaderboard"))
 
 
@@ -256,13 +356,18 @@ def build_queries() -> dict[str, Query]:
         "src_bestsellers": over_feeds(
             lambda r: feeds.src_bestseller_items(r.bestseller_items(), r.bestseller_order(), AS_OF)
         ),
+        "src_bestsellers_lists": over_feeds(lambda r: feeds.src_bestsellers(r.bestseller_lists(), AS_OF)),
+        "latest_list_entries": over_feeds(
+            lambda r: feeds.src_bestseller_items(r.bestseller_items(), r.bestseller_order(), AS_OF, size=50)
+        ),
+        "land_json_feed": landed_items,
         "src_search_interest": over_feeds(
             lambda r: feeds.src_search_interest(r.search_points(), AS_OF, r.search_keywords, ["point_ts", "event_id"])
         ),
         "src_social_posts": over_feeds(lambda r: feeds.src_social_posts(r.posts(), AS_OF)),
         "src_spend_csv": over_feeds(lambda r: feeds.src_spend_csv(r.spend_rows(), r.SPEND_LABELS)),
         "read_table": stored_orders,
-        "upsert": overlapping_load("category_trends", "DATE'2024-01-20'", "DATE'2024-01-15'", "sold_count", 1),
+        "upsert": overlapping_upsert("category_trends", "DATE'2024-01-20'", "DATE'2024-01-15'", "sold_count", 1),
         "upsert_partial": over_signals(partial_upsert, "category_trends"),
         "load_category_trends": overlapping_load(
             "category_trends", "DATE'2024-01-10'", "DATE'2024-01-09'", "listing_count", 7
@@ -283,17 +388,19 @@ def build_queries() -> dict[str, Query]:
         "load_tables_twice": loaded_tables,
         "reset_tables": reset,
         "refresh_views": refreshed,
+        "refresh_views_back_fill": back_filled,
+        "refresh_views_touched_days": over_signals(renewed_series, *SERIES_TABLES),
         # cleaning
         "normalize_category": normalized_names,
         "clip_score": clipped,
         "clean_category_trends": over_feeds(
-            lambda r: clean.clean_category_trends(listings(r), orders_of(r.LISTING_ORDER))
-        ),
-        "clean_search_signals": over_feeds(lambda r: clean.clean_search_signals(r.search_batch(), [F.col("event_id")])),
-        "clean_social_buzz": over_feeds(lambda r: clean.clean_social_buzz(r.social_batch(), [F.col("event_id")])),
-        "clean_consumer_spend": over_feeds(
-            lambda r: clean.clean_consumer_spend(r.spend_batch(), [F.col("o_orderkey")])
+            lambda r: clean.clean_category_trends(listings(r), ARRIVAL)
         ),
+        "clean_search_signals": over_feeds(lambda r: clean.clean_search_signals(r.search_batch(), ARRIVAL)),
+        "clean_social_buzz": over_feeds(lambda r: clean.clean_social_buzz(r.social_batch(), ARRIVAL)),
+        "clean_consumer_spend": over_feeds(lambda r: clean.clean_consumer_spend(r.spend_batch(), ARRIVAL)),
+        "clean_split_listings": over_feeds(lambda r: clean.clean_category_trends(split_listings(r).clean, ARRIVAL)),
+        "rejected_listings": over_feeds(rejected_listings),
         "build_retail_vs_ecomm": over_signals(
             lambda t: clean.build_retail_vs_ecomm(t.consumer_spend, AS_OF), "consumer_spend"
         ),
@@ -321,11 +428,14 @@ def build_queries() -> dict[str, Query]:
         ),
         "niche_scores": scores(lambda t: t.niche_scores),
         "daily_job": daily,
+        "daily_job_resumed": resumed_daily,
         # read models
         "mv_category_leaderboard": of_board(lambda rows: rows),
         "mv_channel_comparison": over_signals(comparison),
         "mv_niche_finder": of_niches(lambda rows: rows),
         "mv_trends_explorer": over_signals(explorer),
+        "mv_category_leaderboard_past": over_signals(past_leaderboard, *combined),
+        "mv_niche_finder_past": over_signals(past_niches, *stored),
         # window queries
         "wf_sell_through_delta": over_signals(lambda t: windows.wf_sell_through_delta(t.category_trends)),
         "wf_moving_avg": over_signals(lambda t: windows.wf_moving_avg(t.category_trends)),
@@ -333,6 +443,10 @@ def build_queries() -> dict[str, Query]:
         "wf_buzz_momentum": over_signals(lambda t: windows.wf_buzz_momentum(t.social_buzz)),
         "wf_rank_change": over_signals(lambda t: windows.wf_rank_change(t.niche_scores), "score_inputs", "niche_scores"),
         "wf_percentile": over_signals(lambda t: windows.wf_percentile(t.category_trends, AS_OF), "category_trends"),
+        "wf_sell_through_delta_by_loads": momentum_by_loads("wf_sell_through_delta"),
+        "wf_moving_avg_by_loads": momentum_by_loads("wf_moving_avg"),
+        "wf_interest_momentum_by_loads": momentum_by_loads("wf_interest_momentum"),
+        "wf_buzz_momentum_by_loads": momentum_by_loads("wf_buzz_momentum"),
         # analytical queries
         "cte_score_breakdown": over_signals(
             lambda t: analytics.cte_score_breakdown(

@@ -1,4 +1,4 @@
-"""Written intermediate tables in the folder that every executor reaches."""
+"""What the operators share: their code on the executors, written intermediate tables, memory of Python workers."""
 
 from __future__ import annotations
 
@@ -6,13 +6,16 @@ import ctypes
 import gc
 import shutil
 import tempfile
-import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+
+from tradewind.sources.shared import written
+
+__all__ = ["each", "given_back", "release_memory", "ship_package", "written"]
 
-_OWN: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 
 
@@ -29,18 +32,6 @@ def ship_package(spark: SparkSession | None = None) -> None:
         _SHIPPED.add(app)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it is unset (tests on one machine), a folder made once."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = tempfile.mkdtemp(prefix="tradewind-")
-        spark.sparkContext.setCheckpointDir(_OWN[app])
-    return _OWN[app]
-
-
 def release_memory() -> None:
     """Give back what a task no longer needs. Python workers outlive their tasks, and allocators keep freed memory."""
     gc.collect()
@@ -51,10 +42,12 @@ def release_memory() -> None:
         pass
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet below the shared folder and read again: computed once, lineage cut, and safe
-    against lost executors. The files belong to that folder and go when its owner clears it."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def given_back(made: pa.Array) -> pa.Array:
+    """The result of a batch, after what the batch needed is given back."""
+    release_memory()
+    return made
+
+
+def each(column: pa.Array) -> Iterator:
+    """The values of a column as Python objects, one at a time."""
+    return (value.as_py() for value in column)

@@ -1,4 +1,12 @@
-"""The corpus pipeline: documents in, packed pieces out."""
+"""The corpus pipeline: documents in, packed pieces out.
+
+Defined cases, by stage. A null or empty text has the quality score of the end mark alone and stays or goes by it; if it
+stays, a null text is no copy of anything, empty texts are copies of each other, neither has passages or leaks, and
+each is packed as its end id alone. Rows of a null id stay in the copy and passage stages. Rows that share an id but not
+the text are documents of their own; repeated rows are one document from the copy stage on. A document of which the
+passage stage leaves nothing but white space goes. Texts of any length are read whole. All stages but the last return
+the columns of the documents given, also further ones, whatever their names. An empty table gives no pieces.
+"""
 
 from __future__ import annotations
 

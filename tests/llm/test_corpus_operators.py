@@ -225,9 +225,11 @@ def test_passages_cover_exact_repeats_of_the_corpus(spark):
 
 
 def test_chaining_beats_no_other_choice():
+    """Against every chain of up to ten matches, close together and far beyond reach of each other."""
     rng = random.Random(4)
-    for _ in range(40):
-        points = sorted({(rng.randrange(40), rng.randrange(40)) for _ in range(8)})
+    for round_ in range(60):
+        span = (40, 120, 400)[round_ % 3]
+        points = sorted({(rng.randrange(span), rng.randrange(span)) for _ in range(10)})
         ours, theirs = [p[0] for p in points], [p[1] for p in points]
 
         def score(chain):
@@ -239,10 +241,23 @@ def test_chaining_beats_no_other_choice():
         best = 0.0
         for mask in range(1, 1 << len(points)):
             chain = [k for k in range(len(points)) if mask >> k & 1]
-            if all(ours[a] < ours[b] and theirs[a] < theirs[b] for a, b in zip(chain, chain[1:])):
+            if all(passages.follows(points[a], points[b]) for a, b in zip(chain, chain[1:])):
                 best = max(best, score(chain))
         found = passages.chained(ours, theirs)
         assert score(found[0]) == pytest.approx(best) and sorted(k for c in found for k in c) == list(range(len(points)))
+        assert all(passages.follows(points[a], points[b]) for c in found for a, b in zip(c, c[1:]))
+
+
+def test_chains_of_many_matches_score_as_by_trying_all():
+    rng = random.Random(9)
+    for _ in range(20):
+        points = sorted({(rng.randrange(600), rng.randrange(600)) for _ in range(150)} | {(i * 9, i * 9 + 5) for i in range(60)})
+        scores = []
+        for k, (x, y) in enumerate(points):
+            behind = [scores[j] - passages.GAP_COST * (x - u + y - v) for j, (u, v) in enumerate(points[:k]) if passages.follows((u, v), (x, y))]
+            scores.append(passages.SEED + max([0.0, *behind]))
+        (first, *_) = passages.chained([p[0] for p in points], [p[1] for p in points])
+        assert scores[first[-1]] == pytest.approx(max(scores))
 
 
 def covered_words(docs):
@@ -336,3 +351,43 @@ def test_pipeline_stages_take_effect(spark):
     first = corpus_pipeline.STAGES[0][1](spark, docs, SF)
     good = {r.doc_id for r in first.select("doc_id").collect()}
     assert np.mean([(i in good) == (y == 1) for i, y in labels.items()]) > 0.95
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    """Nulls in every column, empty and long texts, repeated rows and ids, clashing columns, and no rows at all."""
+    good = " ".join(prose(900, 300))
+    texts = [(1, good), (1, good), (1, " ".join(prose(901, 300))), (2, good), (None, None), (None, good), (3, None), (4, ""), (5, ""), (6, "long word " * 40_000)]
+    docs = frame(spark, texts)
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns and after.count() <= len(texts), name
+        assert stage(spark, docs.where("false"), SF).count() == 0, name
+    stay = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).select("doc_id", "text").collect()]
+    assert sorted(i for i, _ in stay if i is not None) == [1, 1, 3, 4, 6] and len([i for i, _ in stay if i is None]) == 2
+    assert {t for i, t in stay if i == 1} == {texts[0][1], texts[2][1]}
+    first = corpus_pipeline.keep_good(spark, docs, SF)
+    assert first.columns == docs.columns and corpus_pipeline.keep_good(spark, docs.where("false"), SF).count() == 0
+    packed = corpus_pipeline.pack(spark, docs, SF)
+    assert packed.where("doc_id = 3").count() == 1 and corpus_pipeline.pack(spark, docs.where("false"), SF).count() == 0
+
+
+def test_near_kept_rows_by_id_and_text(spark):
+    """Rows of one id with unrelated texts all stay; of a class's texts under its least id one stays."""
+    base = prose(33, 300)
+    texts = [(5, "a b c d e f g h"), (5, "i j k l m n o p q"), (7, " ".join(base)), (5, " ".join(changed(base, {9}))), (5, " ".join(changed(base, {200})))]
+    stay = [(r.doc_id, r.text) for r in near.without_copies(frame(spark, texts)).collect()]
+    assert len(stay) == 3 and {t for _, t in stay} >= {texts[0][1], texts[1][1]} and {i for i, _ in stay} == {5}
+    rows = near.classes(frame(spark, texts)).collect()
+    assert sum(r.kept for r in rows) == 3 and {r.class_id for r in rows} == {5}
+
+
+def test_longer_signatures_nest_and_agree():
+    rng = np.random.default_rng(7)
+    shingles = rng.integers(0, 2**63, 200).astype(np.uint64)
+    made = near.longer_sketches(shingles)
+    assert made.shape == (near.LONGER, len(near.LENGTHS)) and len(set(made.ravel().tolist())) == made.size
+    # What stands after all of the least shingles plays no part; another order of the same shingles does.
+    more = np.concatenate([shingles, shingles[:1] + np.uint64(1)])
+    assert (near.longer_sketches(more) == made).mean() > 0.8
+    assert (near.longer_sketches(shingles[::-1]) == made).mean() < 0.1
+    assert near.longer_sketches(shingles[:3]).shape == made.shape

@@ -1,6 +1,7 @@
 """Chat, quality, rules, licenses, packing, toxicity: edge cases, brute force, round trips, held-out accuracy."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -269,13 +270,34 @@ def test_token_ids_of_texts_with_special_names_and_odd_characters():
     path = queries.tokenizer_path()
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer, chunks = Tokenizer.from_file(path), packing._Chunks(path)
     for text in ["<|endoftext|> a", "ΑΣ. Σ", "İx", "a\x1c!b", "don't 'S 12,3", "e\u0301 x", " ", "\u00a0x\u2003y", "ǅ ß ẞ", "x" * 500]:
-        assert np.frombuffer(packing.token_ids(text, path), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packing.token_ids(text, chunks), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_kept_chunks_stay_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "_KEPT_BYTES", 20_000)
+    chunks, rng = packing._Chunks(queries.tokenizer_path()), random.Random(5)
+    for _ in range(50):
+        text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))
+        assert np.frombuffer(packing.token_ids(text, chunks), "<u4").tolist() == chunks.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(chunks.ids) + len(chunks.older) < 400
 
 
 # words
 
+
+def test_hashes_of_words_beyond_the_kept_powers():
+    for size in (1, words._PLACES - 1, words._PLACES, words._PLACES + 1, 3 * words._PLACES + 7):
+        text = bytes(97 + i * 7 % 26 for i in range(size))
+        expected, power = 0, 1
+        for byte in text:
+            power = power * words._ODD % 2**64
+            expected = (expected + (byte + 1) * power) % 2**64
+        assert words.hashed_words(b"a " + text + b" b").tolist()[1] == int(words.mixed(np.array([expected], dtype=np.uint64))[0])
+    assert len(words._powers) == words._PLACES
+
+
 def test_word_hashes_depend_on_the_word_alone():
     texts = [b"a bb a  bb\n", b" bb", b"a", b"A Bb"]
     hashes = [words.hashed_words(t).tolist() for t in texts]

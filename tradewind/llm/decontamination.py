@@ -30,7 +30,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.shared import ship_package, written
+from tradewind.llm.shared import each, release_memory, ship_package, written
 from tradewind.llm.words import ALPHANUMERIC, word_hashes, word_spans
 
 PASSAGE = 32
@@ -65,7 +65,7 @@ def word_table(docs: DataFrame) -> DataFrame:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [plain_words(t).astype("<u2").tobytes() or None for t in batch.column(1).to_pylist()]
+            words = [plain_words(t).astype("<u2").tobytes() or None for t in each(batch.column(1))]
             yield pa.record_batch([batch.column(0), pa.array(words, pa.binary())], ["doc_id", "words"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(emit, "doc_id long, words binary")
@@ -123,7 +123,7 @@ def summed_by_term(terms: np.ndarray, vectors: np.ndarray, of: np.ndarray) -> tu
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
     ids, texts, size = [], [], 0
     for batch in batches:
-        for doc_id, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for doc_id, packed in zip(each(batch.column(0)), each(batch.column(1))):
             ids.append(doc_id)
             texts.append(np.frombuffer(packed, "<u2"))
             size += len(texts[-1])
@@ -132,6 +132,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
                 ids, texts, size = [], [], 0
     if ids:
         yield Chunk(ids, texts)
+    release_memory()
 
 
 def _summed(partial: DataFrame, slices: int, shape: tuple[int, int]) -> np.ndarray:

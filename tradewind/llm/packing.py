@@ -7,8 +7,8 @@ trainer draws batches of one shape.
 
 Ids come from a public tokenizer, whose file is a parameter, without special tokens, then an end id. A text is
 split at blanks and line feeds, which that tokenizer drops and never joins across; it lower-cases, so chunks that
-differ in case are one. The ids of a distinct chunk are asked for once in a Python worker, many chunks at a time,
-and kept in a dictionary of bounded size.
+differ in case are one. The ids of distinct chunks are asked for many at a time and kept, as long as the task, in a
+dictionary of a bounded number of bytes.
 
 Defined cases: a null or empty text has the end id alone, one piece of length 1; repeated rows are packed each on
 its own; a text of any length is cut whole; an empty table gives no rows; only doc_id and text are read, so other
@@ -18,7 +18,6 @@ columns, whatever their names, play no part. Sequence ids are unique within a re
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 from unicodedata import is_normalized
 
 import numpy as np
@@ -26,13 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.shared import ship_package
+from tradewind.llm.shared import each, release_memory, ship_package
 
 MAX_LENGTH = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-_KEPT_CHUNKS = 700_000
+#: Bytes that kept chunks may take, about, in each of two generations, and characters of the longest one kept.
+_KEPT_BYTES = 40_000_000
 _KEPT_CHUNK_CHARS = 64
+_ENTRY = 180
+#: Bytes of ids after which a task hands on its pieces.
+_HAND_ON = 4_000_000
 #: Marks that form a piece of their own after a run of letters, whatever follows the blank.
 _MARKS = ".,!*%&#$;:?"
 
@@ -51,15 +54,16 @@ class _Chunks:
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.ids: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        self.size = 0
 
     def ask(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def learn(self, chunks: set[str]) -> list[str]:
         """Afterwards self.ids holds every one of the chunks. Gives those too long to be kept."""
-        if len(self.ids) > _KEPT_CHUNKS:
-            self.ids, self.older = {"": b""}, self.ids
-        ids, older = self.ids, self.older
+        if self.size > _KEPT_BYTES:
+            self.ids, self.older, self.size = {"": b""}, self.ids, 0
+        ids, older, before = self.ids, self.older, len(self.ids)
         split, words, long = [], set(), []
         for chunk in chunks.difference(ids):
             if chunk in older:
@@ -89,15 +93,11 @@ class _Chunks:
                 begin = end
         for chunk, word, marks in split:
             ids[chunk] = ids[word] + ids[marks]
+        self.size += _ENTRY * (len(ids) - before)
         return long
 
 
-@cache
-def _chunks(path: str) -> _Chunks:
-    return _Chunks(path)
-
-
-def token_ids(text: str | None, path: str) -> bytes:
+def token_ids(text: str | None, chunks: _Chunks) -> bytes:
     """The ids of a text as little-endian unsigned 32-bit numbers, without the end id.
 
     A text whose lower case depends on neighbours, that isn't in composed form, or that may hold the name of a
@@ -105,7 +105,6 @@ def token_ids(text: str | None, path: str) -> bytes:
     """
     if not text:
         return b""
-    chunks = _chunks(path)
     if "<|" in text or "\u03a3" in text or "\u0130" in text or not is_normalized("NFC", text):
         return chunks.ask(text).tobytes()
     found = text.lower().replace("\n", " ").split(" ")
@@ -136,21 +135,24 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, most: int
     schema = pa.schema(list(zip(fields, types)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks = _Chunks(tokenizer_path)
         for batch in batches:
             rows: list[list] = [[] for _ in fields]
             size = 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = token_ids(text, tokenizer_path) + end
+            for doc_id, text in zip(each(batch.column(0)), each(batch.column(1))):
+                ids = token_ids(text, chunks) + end
                 total = len(ids) // 4
                 for start, length in binary_pieces(total, most):
                     piece = ids[4 * start : 4 * (start + length)]
                     for column, value in zip(rows, (doc_id, start, length, length.bit_length() - 1, piece, total)):
                         column.append(value)
                 size += len(ids)
-                if size > 16_000_000:
+                if size > _HAND_ON:
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, types)], schema)
                     rows, size = [[] for _ in fields], 0
             yield pa.record_batch([pa.array(c, t) for c, t in zip(rows, types)], schema)
+        del chunks
+        release_memory()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 

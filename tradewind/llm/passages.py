@@ -5,7 +5,7 @@ SEED + WINDOW - 1 words that two texts share gives both a common seed. A seed th
 same occurrence in the owner, or with its first where the owner has fewer. A seed's owner is the least doc_id that has it; every other text's seed is matched with its owner, and with those of
 the seeds beside it if they have it too: three matches at most, so matches grow with the texts and not with the
 pairs of a group. The matches of two documents are chained in order with a
-gap cost, each to the best of the matches within reach, chains are aligned word by word between their matches and beyond
+gap cost, each to the best of the matches within reach, which Fenwick trees give, chains are aligned word by word between their matches and beyond
 their ends, and those of IDENTITY and more become spans; a chain of less is parted at its widest gap. A text's spans are joined where PART_GAP words or fewer lie between; a passage is a span of
 LEAST words. The owner's place counts as the first; the passage is repeated in the other document.
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.llm.shared import ship_package, written
+from tradewind.llm.shared import each, given_back, release_memory, ship_package, written
 from tradewind.llm.words import NOT_SPACE, hashed_words, occurrences, windows, word_spans
 
 SEED = 8
@@ -42,6 +42,7 @@ BLOCK = 64
 MARGIN = 40
 DROP = 6
 
+_NOTHING = (float("-inf"), -1)
 _SEEDS = "seed long, doc_id long, place int, nth int"
 _CHAINS = "owner long, doc_id long, owner_places array<int>, places array<int>"
 
@@ -74,7 +75,7 @@ def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _all_seeds(docs: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
+            ids, texts = each(batch.column(0)), each(batch.column(1).cast(pa.binary()))
             found = [(i, *seeds(hashed_words(t))) for i, t in zip(ids, texts)]
             found = [f for f in found if len(f[1])]
             if found:
@@ -87,6 +88,7 @@ def _all_seeds(docs: DataFrame) -> DataFrame:
                     ],
                     ["seed", "doc_id", "place", "nth"],
                 )
+        release_memory()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     return rows.mapInArrow(emit, _SEEDS)
@@ -117,33 +119,73 @@ def matches(docs: DataFrame) -> DataFrame:
     return found.where("nth = 0 or nth > _most").select(columns).unionByName(again.select(columns))
 
 
+class Fenwick:
+    """The largest of the entries (value, match) of the first places of a stretch."""
+
+    def __init__(self) -> None:
+        self.best = [_NOTHING] * (REACH + 1)
+
+    def add(self, place: int, entry: tuple[float, int]) -> None:
+        at, best = place + 1, self.best
+        while at <= REACH:
+            if best[at] < entry:
+                best[at] = entry
+            at += at & -at
+
+    def first(self, count: int) -> tuple[float, int]:
+        found, best = _NOTHING, self.best
+        while count > 0:
+            if best[count] > found:
+                found = best[count]
+            count -= count & -count
+        return found
+
+
+def follows(before: tuple[int, int], after: tuple[int, int]) -> bool:
+    """Whether a match (owner's place, place) can be the next of a chain: further on in both texts, at most REACH words
+    in the document, and in the owner in the same stretch of REACH words or the one after it."""
+    owner_step = after[0] // REACH - before[0] // REACH
+    return after[0] > before[0] and owner_step <= 1 and 0 < after[1] - before[1] <= REACH
+
+
 def chained(owner_places: list[int], places: list[int]) -> list[list[int]]:
     """Chains, as lists of indices, of matches sorted by owner's place: disjoint, the best first.
 
     A chain scores SEED for each match less GAP_COST for each word that either text moves on between them. The best
-    predecessor of a match has the largest score plus cost of its place, among smaller places in both texts at most
-    REACH back: matches are kept by stretches of REACH places, of which two can hold it, and those that the owner's
-    place has left behind are dropped from a stretch when it is read."""
+    predecessor of a match has the largest score plus cost of its place among those that it `follows`. Those lie in
+    four cells of a stretch of the owner by a stretch of the document; a cell has two Fenwick trees of the matches so
+    far, over its places and over its places from the end, so that what is out of reach plays no part. Cells that
+    the owner's place has left behind are dropped."""
     n = len(places)
-    near: dict[int, list[int]] = {}
+    cells: dict[int, dict[int, tuple[Fenwick, Fenwick]]] = {}
     score, before = [0.0] * n, [-1] * n
     i = 0
     while i < n:
+        stretch = owner_places[i] // REACH
+        for old in [s for s in cells if s < stretch - 1]:
+            del cells[old]
+        near = [cells[s] for s in (stretch - 1, stretch) if s in cells]
         end = i
         while end < n and owner_places[end] == owner_places[i]:
             end += 1
         for k in range(i, end):
             here = GAP_COST * (owner_places[k] + places[k])
-            best, stretch = (here, -1), places[k] // REACH
-            for at in (stretch - 1, stretch):
-                if at in near:
-                    near[at] = [j for j in near[at] if owner_places[k] - owner_places[j] <= REACH]
-                    for j in near[at]:
-                        if 0 < places[k] - places[j] <= REACH:
-                            best = max(best, (score[j] + GAP_COST * (owner_places[j] + places[j]), j))
+            best = (here, -1)
+            row, inside = divmod(places[k], REACH)
+            for trees in near:
+                if row in trees:
+                    best = max(best, trees[row][0].first(inside))
+                if row - 1 in trees:
+                    best = max(best, trees[row - 1][1].first(REACH - inside))
             score[k], before[k] = SEED + best[0] - here, best[1]
+        ours = cells.setdefault(stretch, {})
         for k in range(i, end):
-            near.setdefault(places[k] // REACH, []).append(k)
+            row, inside = divmod(places[k], REACH)
+            if row not in ours:
+                ours[row] = (Fenwick(), Fenwick())
+            entry = (score[k] + GAP_COST * (owner_places[k] + places[k]), k)
+            ours[row][0].add(inside, entry)
+            ours[row][1].add(REACH - 1 - inside, entry)
         i = end
     chains, used = [], [False] * n
     for k in sorted(range(n), key=lambda k: (-score[k], k)):
@@ -183,6 +225,7 @@ def chains(found: DataFrame) -> DataFrame:
             rows.extend(close(*pair, group))
         if rows:
             yield pack()
+        release_memory()
 
     return found.repartition("owner", "doc_id").sortWithinPartitions("owner", "doc_id", "owner_place", "place").mapInArrow(emit, _CHAINS)
 
@@ -255,10 +298,10 @@ def align(a: np.ndarray, b: np.ndarray, at: list[tuple[int, int]]) -> list[tuple
 @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("block", T.IntegerType()), T.StructField("words", T.BinaryType())])))
 def _blocks(texts: pa.Array, wanted: pa.Array) -> pa.Array:
     out = []
-    for text, blocks in zip(texts.cast(pa.binary()).to_pylist(), wanted.to_pylist()):
+    for text, blocks in zip(each(texts.cast(pa.binary())), each(wanted)):
         words = (hashed_words(text) >> np.uint64(32)).astype("<u4")
         out.append([{"block": k, "words": words[k * BLOCK : (k + 1) * BLOCK].tobytes()} for k in blocks])
-    return pa.array(out, pa.list_(pa.struct([("block", pa.int32()), ("words", pa.binary())])))
+    return given_back(pa.array(out, pa.list_(pa.struct([("block", pa.int32()), ("words", pa.binary())]))))
 
 
 _PART = T.StructType(
@@ -270,12 +313,12 @@ _PART = T.StructType(
 def _aligned(a: pa.Array, b: pa.Array, owner_places: pa.Array, places: pa.Array) -> pa.Array:
     """Words of whole blocks from the block of the first place less MARGIN."""
     out = []
-    for x, y, ours, theirs in zip(a.to_pylist(), b.to_pylist(), owner_places.to_pylist(), places.to_pylist()):
+    for x, y, ours, theirs in zip(each(a), each(b), each(owner_places), each(places)):
         first_a, first_b = max(0, ours[0] - MARGIN) // BLOCK * BLOCK, max(0, theirs[0] - MARGIN) // BLOCK * BLOCK
         at = [(u - first_a, v - first_b) for u, v in zip(ours, theirs)]
         parts = align(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), at)
         out.append([dict(zip(_PART.names, (s + first_a, e + first_a, t + first_b, f + first_b, identity))) for s, e, t, f, identity in parts])
-    return pa.array(out, pa.list_(pa.struct([(n, pa.int32()) for n in _PART.names[:4]] + [("identity", pa.float64())])))
+    return given_back(pa.array(out, pa.list_(pa.struct([(n, pa.int32()) for n in _PART.names[:4]] + [("identity", pa.float64())]))))
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -350,7 +393,7 @@ def passages(docs: DataFrame) -> DataFrame:
 @F.arrow_udf(T.StringType())
 def _without(texts: pa.Array, passages: pa.Array) -> pa.Array:
     out = []
-    for text, cuts in zip(texts.to_pylist(), passages.to_pylist()):
+    for text, cuts in zip(each(texts), each(passages)):
         if text and cuts:
             raw = text.encode()
             begin = np.append(word_spans(np.frombuffer(raw, dtype=np.uint8), NOT_SPACE)[0], len(raw))
@@ -360,7 +403,7 @@ def _without(texts: pa.Array, passages: pa.Array) -> pa.Array:
                 at = begin[min(cut["end"], len(begin) - 1)]
             text = b"".join([*kept, raw[at:]]).decode()
         out.append(text)
-    return pa.array(out, pa.string())
+    return given_back(pa.array(out, pa.string()))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.llm.labelled import balanced_order, labelled_sample
-from tradewind.llm.shared import ship_package
+from tradewind.llm.shared import each, given_back, ship_package
 
 BUCKETS = 1 << 16  # the hashes below keep 16 bits
 NGRAMS = (3, 4)
@@ -82,10 +82,10 @@ def subwords(text: str | None) -> np.ndarray:
 def _counted(texts: pa.Array) -> pa.Array:
     """Buckets of each text and their share, as packed numbers: bounded by the number of buckets."""
     packed = []
-    for text in texts.to_pylist():
+    for text in each(texts):
         buckets, counts = np.unique(subwords(text), return_counts=True)
         packed.append(buckets.astype("<u4").tobytes() + (counts / counts.sum()).astype("<f4").tobytes())
-    return pa.array(packed, pa.binary())
+    return given_back(pa.array(packed, pa.binary()))
 
 
 @dataclass(frozen=True)
@@ -138,6 +138,6 @@ def quality_score(model: SubwordModel) -> Callable[[Column], Column]:
 
     @F.arrow_udf(T.DoubleType())
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(text) for text in texts.to_pylist()], pa.float64())
+        return given_back(pa.array([model.score(text) for text in each(texts)], pa.float64()))
 
     return score

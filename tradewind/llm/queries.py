@@ -123,7 +123,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the class of its near-duplicates, named by the least doc_id."""
     found = near.classes(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    return found.select("doc_id", "class_id", "kept")
 
 
 def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,15 +17,17 @@ ALPHANUMERIC = np.zeros(256, dtype=bool)
 ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 _ODD = 0x9E3779B97F4A7C15
-_powers = np.zeros(0, dtype=np.uint64)
+#: Places of a word whose powers are kept; those of longer words are products of two.
+_PLACES = 1 << 12
+_powers = np.cumprod(np.full(_PLACES, _ODD, dtype=np.uint64), dtype=np.uint64)
 
 
-def _powers_up_to(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        size = 1 << max(8, (n - 1).bit_length())
-        _powers = np.cumprod(np.full(size, _ODD, dtype=np.uint64), dtype=np.uint64)
-    return _powers
+def _weighted(value: np.ndarray, place: np.ndarray, longest: int) -> np.ndarray:
+    """Each value times the power of its place in its word."""
+    if longest <= _PLACES:
+        return value * _powers[place]
+    steps = np.cumprod(np.append(np.uint64(1), np.full((longest - 1) // _PLACES, _powers[-1], dtype=np.uint64)), dtype=np.uint64)
+    return value * _powers[place & (_PLACES - 1)] * steps[place // _PLACES]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -52,8 +54,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, word_bytes: np.ndarray) ->
     place = np.arange(first, len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
     # Bytes between words count as 0 and so add nothing.
     value = np.where(word_bytes, np.arange(1, 257), 0).astype(np.uint64)[data[first:]]
-    value *= _powers_up_to(int(lengths.max()))[place]
-    return mixed(np.add.reduceat(value, starts - first))
+    return mixed(np.add.reduceat(_weighted(value, place, int(lengths.max())), starts - first))
 
 
 def hashed_words(text: bytes | None, word_bytes: np.ndarray = NOT_SPACE) -> np.ndarray:

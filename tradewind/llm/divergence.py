@@ -5,8 +5,8 @@ their documents in dictionaries of a bounded number of entries and hand them on
 dealt to shards by a hash, and for each shard a task builds a minimal perfect hash: buckets of keys, the largest first,
 get a displacement that takes their keys to free slots; the last ones, of a single key, name a free slot. A shard keeps
 its keys, as any other term has a slot too. A second pass over the documents broadcasts the shards, as many at a time as
-fit PASS_BYTES (more take further passes); tasks look up the distinct terms of a tally, compare them with the keys
-stored, and increment the slots of dense arrays, one for each (language, source) and shard. Their sums are the counts of
+fit PASS_BYTES (more take further passes); tasks look up the distinct terms of some texts, compare them with the keys
+stored, and increment the slots of dense arrays, one for each (language, source). Their sums are the counts of
 each group. Shares are exact: p = 1 + floor(ONE * (count + PRIOR) / (N + PRIOR * V)).
 
 Sums of differences between two sources run over blocks of a language's terms, each a matrix of sources by terms of a
@@ -24,11 +24,13 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,15 +44,19 @@ ONE = 1_000_000_000
 #: Kept terms of a shard, about, and bytes of the shards that one pass broadcasts.
 SHARD_KEYS = 1 << 14
 PASS_BYTES = 32_000_000
-#: Distinct terms of a task's tally, and bytes of its dense slots.
-TALLY = 120_000
-SLOT_BYTES = 32_000_000
+#: Distinct terms of a task's tally, occurrences that it looks up together, and bytes of its dense slots.
+TALLY = 200_000
+TOGETHER = 300_000
+SLOT_BYTES = 48_000_000
+#: Tasks whose counts are added up together.
+MERGED = 64
 #: Sources times terms of a block.
-CELLS = 1 << 18
+CELLS = 1 << 16
 
 _TERMS = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 #: Between a language and a term in a key; no UTF-8 text has this byte.
 _BETWEEN = b"\xff"
+_SLOT_BITS = 32
 _SEED = 42  # of Spark's xxhash64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -163,15 +169,18 @@ def kept_terms(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
             columns = [pa.array(langs, pa.string()), pa.array(found, pa.binary()).cast(pa.string()), pa.array(numbers, pa.int64())]
             return pa.record_batch(columns, ["lang", "term", "docs"])
 
+        held = 0
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
             for i, lang in enumerate(langs):
-                found = terms(texts[i].as_py())
-                if found:
-                    counts.setdefault(lang, Counter()).update(set(found))
-                    if sum(map(len, counts.values())) > TALLY:
-                        yield pack()
-        if counts:
+                counter = counts.setdefault(lang, Counter())
+                held -= len(counter)
+                counter.update(set(terms(texts[i].as_py())))
+                held += len(counter)
+                if held > TALLY:
+                    yield pack()
+                    held = 0
+        if held:
             yield pack()
         release_memory()
 
@@ -209,71 +218,151 @@ def _unpacked(row) -> Shard:
     return shard
 
 
-def _recounted(docs: DataFrame, shards: dict[int, Shard], of: int) -> DataFrame:
-    """lang, source, term, count of the shards' terms, as partial sums of tasks."""
+class _Places:
+    """The slots of some shards, numbered within each language."""
+
+    def __init__(self, shards: dict[int, Shard]) -> None:
+        self.shards = shards
+        self.begin = dict(zip(shards, np.cumsum([0, *map(len, shards.values())]).tolist()))
+        langs = [shard.key(i).split(_BETWEEN)[0].decode() for shard in shards.values() for i in range(len(shard))]
+        #: By language, its places among the slots of all shards.
+        self.of_lang = {lang: np.flatnonzero(np.array(langs) == lang) for lang in set(langs)}
+        self.within = np.full(len(langs), -1, dtype=np.int64)
+        for places in self.of_lang.values():
+            self.within[places] = np.arange(len(places))
+
+    def of_terms(self, lang: str, distinct: list[bytes], of: int) -> np.ndarray:
+        """The place of each term within its language, -1 for terms that these shards lack."""
+        start = lang.encode() + _BETWEEN
+        keys = [start + term for term in distinct]
+        hashes = np.array([key_hash(k) for k in keys], dtype=np.uint64)
+        shard_of, found = (hashes >> np.uint64(40)) % np.uint64(of), np.full(len(keys), -1, dtype=np.int64)
+        for number, shard in self.shards.items():
+            at = np.flatnonzero(shard_of == number)
+            if len(at):
+                slots = shard.slots(hashes[at], [keys[i] for i in at.tolist()])
+                found[at] = np.where(slots >= 0, self.within[slots + self.begin[number]], -1)
+        return found
+
+    def by_shard(self, lang: str, counts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Shard, slots and counts of a language's places that aren't 0."""
+        some = np.flatnonzero(counts)
+        places = self.of_lang[lang][some]
+        for number, shard in self.shards.items():
+            i, j = np.searchsorted(places, (self.begin[number], self.begin[number] + len(shard)))
+            if i < j:
+                yield number, places[i:j] - self.begin[number], counts[some[i:j]]
+
+
+_COUNTS = "lang string, source string, shard int, task int, slots binary, counts binary"
+
+
+def _partial_counts(docs: DataFrame, shards: dict[int, Shard], of: int) -> DataFrame:
+    """Columns of _COUNTS: what a task counted of a group in a shard, as packed slots and counts."""
     known = docs.sparkSession.sparkContext.broadcast(shards)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies: dict[tuple[str, str], Counter] = {}
-        dense: dict[tuple[str, str, int], np.ndarray] = {}
-
-        def fold() -> None:
-            """The tallies into the slots of their groups."""
-            for (lang, source), tally in tallies.items():
-                start = lang.encode() + _BETWEEN
-                keys = [start + term for term in tally]
-                hashes = np.array([key_hash(k) for k in keys], dtype=np.uint64)
-                numbers, shard_of = np.array(list(tally.values()), dtype=np.int64), (hashes >> np.uint64(40)) % np.uint64(of)
-                for number, shard in known.value.items():
-                    at = np.flatnonzero(shard_of == number)
-                    if not len(at):
-                        continue
-                    slots = shard.slots(hashes[at], [keys[i] for i in at.tolist()])
-                    found = slots >= 0
-                    if found.any():
-                        group = (lang, source, number)
-                        if group not in dense:
-                            dense[group] = np.zeros(len(shard), dtype=np.int64)
-                        dense[group][slots[found]] += numbers[at[found]]
-            tallies.clear()
+        places, task = _Places(known.value), TaskContext.get().partitionId()
+        dense: dict[tuple[str, str], np.ndarray] = {}
+        tallied: dict[str, dict[str, list[list[bytes]]]] = {}
+
+        def add_up() -> None:
+            """Occurrences by language and source into the dense slots; a language's distinct terms are looked up once."""
+            for lang, sources in tallied.items():
+                if lang not in places.of_lang:
+                    continue
+                distinct = list(dict.fromkeys(chain.from_iterable(chain.from_iterable(sources.values()))))
+                slot = dict(zip(distinct, places.of_terms(lang, distinct, of).tolist()))
+                for source, lists in sources.items():
+                    found = np.fromiter(map(slot.__getitem__, chain.from_iterable(lists)), dtype=np.int64)
+                    if (found := found[found >= 0]).size:
+                        ours = dense.setdefault((lang, source), np.zeros(len(places.of_lang[lang]), dtype=np.int64))
+                        np.add.at(ours, found, 1)
+            tallied.clear()
 
         def pack() -> Iterator[pa.RecordBatch]:
-            for (lang, source, number), slots in dense.items():
-                shard, some = known.value[number], np.flatnonzero(slots)
-                skip = len(lang.encode()) + 1
-                found = [shard.key(i)[skip:] for i in some.tolist()]
-                columns = [pa.array([name] * len(some), pa.string()) for name in (lang, source)]
-                columns += [pa.array(found, pa.binary()).cast(pa.string()), pa.array(slots[some])]
-                yield pa.record_batch(columns, ["lang", "source", "term", "count"])
+            rows = [
+                (lang, source, number, task, slots.astype("<i4").tobytes(), counts.astype("<i8").tobytes())
+                for (lang, source), ours in dense.items()
+                for number, slots, counts in places.by_shard(lang, ours)
+            ]
             dense.clear()
+            if rows:
+                types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                names = ["lang", "source", "shard", "task", "slots", "counts"]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
         held = 0
         for batch in batches:
             langs, sources, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())
-            for i, group in enumerate(zip(langs, sources)):
+            for i, (lang, source) in enumerate(zip(langs, sources)):
                 found = terms(texts[i].as_py())
                 if not found:
                     continue
-                tally = tallies.setdefault(group, Counter())
-                held -= len(tally)
-                tally.update(found)
-                held += len(tally)
-                if held > TALLY:
-                    fold()
+                tallied.setdefault(lang, {}).setdefault(source, []).append(found)
+                held += len(found)
+                if held > TOGETHER:
+                    add_up()
                     held = 0
-                    if sum(a.nbytes for a in dense.values()) > SLOT_BYTES:
+                    if sum(ours.nbytes for ours in dense.values()) > SLOT_BYTES:
                         yield from pack()
-        fold()
+        add_up()
         yield from pack()
         release_memory()
 
-    rows = docs.select(*_groups(docs), F.col("text").cast("string").alias("text"))
-    parts = rows.mapInArrow(count, "lang string, source string, term string, count long")
-    return parts.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"))
+    return docs.select(*_groups(docs), F.col("text").cast("string").alias("text")).mapInArrow(count, _COUNTS)
+
+
+def _added(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and counts of the packed rows together."""
+    slots = np.concatenate([np.frombuffer(x, "<i4") for x in rows["slots"]])
+    counts = np.zeros(int(slots.max()) + 1, dtype=np.int64)
+    np.add.at(counts, slots, np.concatenate([np.frombuffer(x, "<i8") for x in rows["counts"]]))
+    some = np.flatnonzero(counts)
+    return some, counts[some]
+
+
+def _merged_counts(partial: DataFrame) -> DataFrame:
+    """lang, source, slot, count: partial counts added up, those of MERGED tasks at a time, so that a group that every
+    task has is no large group of rows."""
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        slots, counts = _added(rows)
+        row = {c: rows[c].iloc[0] for c in ("lang", "source", "shard", "task")}
+        return pd.DataFrame([{**row, "slots": slots.astype("<i4").tobytes(), "counts": counts.astype("<i8").tobytes()}])
+
+    def finish(rows: pd.DataFrame) -> pd.DataFrame:
+        slots, counts = _added(rows)
+        number = np.int64(rows["shard"].iloc[0]) << _SLOT_BITS
+        return pd.DataFrame({"lang": rows["lang"].iloc[0], "source": rows["source"].iloc[0], "slot": number + slots, "count": counts})
+
+    tasks = (partial.agg(F.max("task")).collect()[0][0] or 0) + 1
+    by = ["lang", "source", "shard"]
+    while tasks > MERGED:
+        tasks = -(-tasks // MERGED)
+        together = partial.withColumn("task", (F.col("task") / MERGED).cast("int")).groupBy(*by, "task")
+        partial = written(together.applyInPandas(merge, _COUNTS), "recount")
+    return partial.groupBy(*by).applyInPandas(finish, "lang string, source string, slot long, count long")
+
+
+def _keys(packed: DataFrame) -> DataFrame:
+    """slot, lang, term of all shards."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                shard = _unpacked(row)
+                found = [shard.key(i).split(_BETWEEN) for i in range(len(shard))]
+                slots = (np.int64(row["shard"]) << _SLOT_BITS) + np.arange(len(shard))
+                columns = [pa.array(slots), *[pa.array([f[i] for f in found], pa.binary()).cast(pa.string()) for i in (0, 1)]]
+                yield pa.record_batch(columns, ["slot", "lang", "term"])
+
+    return packed.mapInArrow(unpack, "slot long, lang string, term string")
 
 
-def recount(docs: DataFrame, kept: DataFrame, shard_keys: int = SHARD_KEYS, pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """lang, source, term, count: how often each group has each kept term of its language, where it has it.
+def recount(docs: DataFrame, kept: DataFrame, shard_keys: int = SHARD_KEYS, pass_bytes: int = PASS_BYTES) -> tuple[DataFrame, DataFrame]:
+    """lang, source, slot, count: how often each group has each kept term of its language, where it has it; and the
+    slots' slot, lang, term.
 
     The driver gets the shards of one pass at a time: `pass_bytes`, or one shard."""
     packed = _packed_shards(kept, shard_keys)
@@ -286,14 +375,12 @@ def recount(docs: DataFrame, kept: DataFrame, shard_keys: int = SHARD_KEYS, pass
             room = pass_bytes
         passes[-1].append(row["shard"])
         room -= row["size"]
-    counted = [docs.sparkSession.createDataFrame([], "lang string, source string, term string, count long")] if not passes else []
+    counted = docs.sparkSession.createDataFrame([], "lang string, source string, slot long, count long")
     for numbers in passes:
         shards = {r["shard"]: _unpacked(r) for r in packed.where(F.col("shard").between(numbers[0], numbers[-1])).collect()}
-        counted.append(written(_recounted(docs, shards, sizes[0]["shards"]), "recount"))
-    whole = counted[0]
-    for more in counted[1:]:
-        whole = whole.unionByName(more)
-    return whole
+        partial = written(_partial_counts(docs, shards, sizes[0]["shards"]), "recount")
+        counted = counted.unionByName(_merged_counts(partial))
+    return written(counted, "counts"), _keys(packed)
 
 
 def _share(count: str, total: str, kept: str) -> str:
@@ -317,19 +404,19 @@ def pair_differences(counts: DataFrame, groups: DataFrame) -> DataFrame:
     blocks = F.expr(f"greatest(1L, ceil(kept * sources / {CELLS}))").cast("int")
     sized = groups.withColumn("blocks", blocks)
     shares = counts.join(sized, ["lang", "source"]).select(
-        "lang", "source", "term", F.expr(_share("count", "total", "kept")).alias("share"), F.expr("pmod(xxhash64(term), blocks)").cast("int").alias("block")
+        "lang", "source", "slot", F.expr(_share("count", "total", "kept")).alias("share"), F.expr("pmod(xxhash64(slot), blocks)").cast("int").alias("block")
     )
-    # A row without a term tells each block of a source and its share of absent terms.
+    # A row without a slot tells each block of a source and its share of absent terms.
     absent = sized.select(
-        "lang", "source", F.lit(None).cast("string").alias("term"), F.expr(_share("0", "total", "kept")).alias("share"),
+        "lang", "source", F.lit(None).cast("long").alias("slot"), F.expr(_share("0", "total", "kept")).alias("share"),
         F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
     )
 
     def differences(rows: pd.DataFrame) -> pd.DataFrame:
-        lang, plain = rows["lang"].iloc[0], rows["term"].isna()
+        lang, plain = rows["lang"].iloc[0], rows["slot"].isna()
         base = rows[plain].sort_values("source")
         names = base["source"].tolist()
-        of, at = pd.Index(names), pd.factorize(rows.loc[~plain, "term"])
+        of, at = pd.Index(names), pd.factorize(rows.loc[~plain, "slot"])
         shares = np.repeat(base["share"].fillna(0).to_numpy(np.int64)[:, None], len(at[1]), axis=1)
         shares[of.get_indexer(rows.loc[~plain, "source"]), at[0]] = rows.loc[~plain, "share"].to_numpy(np.int64)
         out = [np.abs(shares - ours).sum(axis=1) for ours in shares]
@@ -342,14 +429,13 @@ def pair_differences(counts: DataFrame, groups: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
 
-def term_differences(counts: DataFrame, groups: DataFrame) -> DataFrame:
+def term_differences(counts: DataFrame, keys: DataFrame, groups: DataFrame) -> DataFrame:
     """lang, source, item (a term that the group has, more often than its language), value."""
     langs = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"), F.max("kept").alias("kept"))
-    whole = counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count")).join(langs, "lang")
-    whole = whole.select("lang", "term", F.expr(_share("lang_count", "lang_total", "kept")).alias("q"))
-    ours = counts.join(groups, ["lang", "source"]).select("lang", "source", "term", F.expr(_share("count", "total", "kept")).alias("p"))
-    both = ours.join(whole, ["lang", "term"]).where("p > q")
-    return both.select("lang", "source", F.col("term").alias("item"), F.expr("p - q").alias("value"))
+    whole = counts.groupBy("slot").agg(F.sum("count").alias("lang_count")).join(keys, "slot").join(langs, "lang")
+    whole = whole.select("slot", F.col("term").alias("item"), F.expr(_share("lang_count", "lang_total", "kept")).alias("q"))
+    ours = counts.join(groups, ["lang", "source"]).select("lang", "source", "slot", F.expr(_share("count", "total", "kept")).alias("p"))
+    return ours.join(whole, "slot").where("p > q").select("lang", "source", "item", F.expr("p - q").alias("value"))
 
 
 def _ranked(rows: DataFrame, part: str, top: int | None = None) -> DataFrame:
@@ -364,7 +450,7 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP) -> Data
     """lang, source, part (pair or term), item, value, rank."""
     ship_package(docs.sparkSession)
     kept = written(kept_terms(docs, least_docs), "terms")
-    counts = recount(docs, kept)
+    counts, keys = recount(docs, kept)
     known = groups(docs, counts, kept)
     pairs = _ranked(pair_differences(counts, known), "pair")
-    return pairs.unionByName(_ranked(term_differences(counts, known), "term", top))
+    return pairs.unionByName(_ranked(term_differences(counts, keys, known), "term", top))

@@ -39,7 +39,7 @@ from tradewind.llm.shared import release_memory, ship_package
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
 #: Bytes that the ids kept for cuts may take, in each of two generations, and characters of the longest cut kept.
-KEPT_BYTES = 8_000_000
+KEPT_BYTES = 32_000_000
 KEPT_CHARS = 64
 #: Pairs of neighbours whose check is kept, and pieces whose merges are.
 KEPT_PAIRS = 100_000

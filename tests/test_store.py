@@ -269,6 +269,23 @@ def test_daily_job_runs_twice_with_one_result(spark, store):
     assert len(board) == 2 and {r["scored_at"] for r in board} == {later}
 
 
+def with_total_spend(raw, spark):
+    """The feeds with totals of all orders for spend, beyond 10 digits before the point."""
+    raw.spend = spark.createDataFrame([("Entertainment", 2024, 68556301169.4, 34278150584.7)], schemas.SPEND_FEED)
+    return raw
+
+
+def test_daily_job_holds_totals_of_all_orders(spark, store):
+    # over files of the narrower type
+    narrow = "'Electronics' AS category_name, 'Other' AS bls_category, CAST(12.34 AS decimal(12,2)) AS avg_annual_spend"
+    old = spark.sql(f"SELECT {narrow}, CAST(0.1 AS decimal(8,4)) AS yoy_change, 2024 AS year")
+    old.write.partitionBy("year").parquet(store.table_path("consumer_spend"))
+    report = run_daily(store, with_total_spend(daily_feeds(spark, 30), spark), AS_OF)
+    assert report["consumer_spend"] == 1 and report["mv_category_leaderboard"] == "refreshed"
+    spend = {r["bls_category"]: r["avg_annual_spend"] for r in rows(store.read("consumer_spend"))}
+    assert spend == {"Entertainment": Decimal("68556301169.40"), "Other": Decimal("12.34")}
+
+
 class Lost(Exception):
     """The driver is gone."""
 

@@ -1,6 +1,8 @@
 """Explicit schemas, keys and partition columns of the tables, and of the landed feeds.
 
 Counts are BIGINT: at 100 TB of raw items a daily per-category count passes the INTEGER range.
+So is a spend amount wider than the reference's 12 digits, since a feed may carry totals of all orders: these pass
+10 digits before the point at 1 GB. Parquet holds up to 18 digits as the same integers, so older files read as before.
 """
 
 from pyspark.sql import DataFrame
@@ -51,7 +53,7 @@ CONSUMER_SPEND = table(
     category_name=TEXT,
     bls_category=TEXT,
     year=INT,
-    avg_annual_spend=T.DecimalType(12, 2),
+    avg_annual_spend=T.DecimalType(18, 2),
     yoy_change=T.DecimalType(8, 4),
 )
 NICHE_SCORES = table(

@@ -11,7 +11,7 @@ from tradewind import schemas
 from tradewind.operators.upsert import upsert
 from tradewind.plans import analytics, increments, windows
 from tradewind.plans.analytics import newest_run
-from tradewind.plans.daily import DailyFeeds, run_backfill, run_daily
+from tradewind.plans.daily import DailyFeeds, load_day, run_backfill, run_daily
 from tradewind.sources import shared
 from tradewind.sources.folders import Folder
 from tradewind.sources.store import SERIES, SignalStore
@@ -315,6 +315,16 @@ def test_a_lost_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
     assert run_daily(cut, named, AS_OF) == report and len(ran) == 5
 
 
+def test_a_lost_run_holds_totals_of_all_orders(spark, store):
+    named = with_total_spend(daily_feeds(spark, 30), spark)
+    named.input_id = "files of the day"
+    loads = load_day(store, named, AS_OF)
+    report = run_daily(SignalStore(spark, store.root), named, AS_OF)
+    assert loads["consumer_spend"] == report["consumer_spend"] == 1
+    assert [r["avg_annual_spend"] for r in rows(store.read_view("mv_niche_finder")) if r["category_name"] == "Electronics"] == [None]
+    assert [r["avg_annual_spend"] for r in rows(store.read("consumer_spend"))] == [Decimal("68556301169.40")]
+
+
 def test_back_fill_loads_each_day_once_and_equals_daily_runs(spark, tmp_path, monkeypatch):
     daily, filled = SignalStore(spark, str(tmp_path / "daily")), SignalStore(spark, str(tmp_path / "filled"))
     days = {date(2024, 6, 29): daily_feeds(spark, 30), AS_OF: daily_feeds(spark, 40), date(2024, 7, 1): daily_feeds(spark, 50)}

@@ -158,6 +158,36 @@ def test_near_classes_of_large_buckets(spark):
     assert got == {i: find(i) for i in range(len(forms))}
 
 
+def test_near_classes_of_few_texts_of_a_large_bucket(spark):
+    """A text and 20 copies of it with eight changes each, among 700 with ten changes that are like no other: all share
+    large buckets, whose other texts are no way from a copy to its text."""
+    base, rng = prose(7, 404), random.Random(8)
+    rows = []
+    for i, n in enumerate([0] + [8] * 20 + [10] * 700):
+        at = set(rng.sample(range(4, 400, 8), n))
+        rows.append((900 - i, " ".join(f"own{i}" if place in at else w for place, w in enumerate(base))))
+    got = {r.doc_id: r.class_id for r in near.classes(frame(spark, rows)).collect()}
+    shingles = {i: near.labelled_shingles(t.encode()) for i, t in rows}
+    alike = [i for i in got if near.similarity(shingles[900], shingles[i]) >= near.SIMILARITY]
+    assert len(alike) == 21 and got == {i: min(alike) if i in alike else i for i in got}
+
+
+def test_outlines_rule_out_no_similar_pair():
+    rng = np.random.default_rng(5)
+    for n in (1, 9, 40, 300, 6000):
+        for share in (0.05, 0.1, 0.11, 0.2):
+            a = rng.permutation(1 << 20)[:n].astype("<u4")
+            b = np.where(rng.random(n) < share, rng.integers(1 << 20, 1 << 21, n), a).astype("<u4")[: n - int(n * share / 9)]
+            x, y = near.outline(a), near.outline(b)
+            assert x.tolist() == near.outline(a[::-1]).tolist() and (x[0], len(x)) == (n, 1 + near.OUTLINE // 64)
+            odd = int(np.bitwise_count((x[1:] ^ y[1:]).view(np.uint64)).sum())
+            both = len(np.intersect1d(a, b))
+            assert odd <= len(a) + len(b) - 2 * both
+            if near.similarity(a, b) >= near.SIMILARITY:
+                assert 9 * odd <= len(a) + len(b)
+    assert near.outline(np.zeros(0, "<u4")).tolist() == [0] * (1 + near.OUTLINE // 64)
+
+
 def test_banded_alignment_is_the_longest_common_subsequence():
     rng = np.random.default_rng(2)
     for _ in range(50):

@@ -7,13 +7,12 @@ a pair at SIMILARITY is missed by all signatures with a probability of 3e-5. Can
 shingles within a band: similarity is the number of shingles aligned in order by the number of all shingles of both.
 
 Exact copies are one node, named by the md5 of the text, and are neither sketched against each other nor paired.
-In buckets of up to SMALL texts all pairs are candidates, at most SMALL / 2 for each text. In larger ones
-each text is paired with leaders, drawn anew in each bucket: with half of LEADERS first, then, if it is in another
-component of the links so far, with the other half. Texts of larger buckets that hold several such components get LONGER further orders, of which the LENGTHS least shingles make signatures of growing
-length: a bucket of a length is paired like one before, within different components only, and if it is still large, its
-texts go on to the next length. So candidates grow with the texts of a bucket, not with their square; a text in a large
-bucket that is similar to very few of it may be missed (README has the recall). Classes are the connected components of
-the verified links. Their id is the least doc_id.
+In buckets of up to SMALL texts all pairs are candidates. In a larger one each text is first paired with one leader; the
+links so far merge most texts of near copies. Then every pair of texts that share a large bucket and are still in different
+components is compared by its outlines: the parity of the shingles in each of OUTLINE hash bins. A shingle that only one
+of two texts has changes one bin, so outlines that differ in more bins than SIMILARITY allows rule a pair out for sure;
+all other pairs are verified. So no candidate is lost, and what is verified are few pairs besides the links themselves.
+Classes are the connected components of the verified links. Their id is the least doc_id.
 
 Defined cases: empty texts are exact copies of each other; a null text is never a duplicate; a text of fewer than
 five words is one shingle; null ids take part, but a class's id is its least id that isn't null (null if all are);
@@ -40,7 +39,10 @@ SIMILARITY = 0.8
 SKETCHES = 20
 MINIMA = 4
 SMALL = 32
-LEADERS = 4
+#: Bins of an outline, a power of two; texts of the smaller components of a bucket that a task compares at once, about.
+OUTLINE = 2048
+BLOCK = 1024
+#: Further orders and the lengths of their signatures (`longer_sketches`).
 LONGER = 40
 LENGTHS = (8, 16, 32)
 
@@ -88,7 +90,9 @@ def sketches(shingles: np.ndarray) -> np.ndarray:
 
 
 def longer_sketches(shingles: np.ndarray) -> np.ndarray:
-    """For each of LONGER further orders, a row of hashes of its least shingles, one for each of LENGTHS."""
+    """For each of LONGER further orders, a row of hashes of its least shingles, one for each of LENGTHS.
+
+    Finer sketches for callers that compare texts of large buckets without verifying them; `classes` needs none."""
     least = _least(shingles, min(LENGTHS[-1], len(shingles)), SKETCHES, LONGER)
     orders = np.arange(1, LONGER + 1, dtype=np.uint64) * np.uint64(len(LENGTHS))
     return np.stack([_signed(shingles, least[:, :n], orders + np.uint64(i)) for i, n in enumerate(LENGTHS)], axis=1)
@@ -124,21 +128,33 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return together / (n - together)
 
 
+def _short(shingles: np.ndarray) -> np.ndarray:
+    """The shingles as they are aligned."""
+    return (shingles >> np.uint64(32)).astype("<u4")
+
+
+def outline(shingles: np.ndarray) -> np.ndarray:
+    """The number of shingles, then OUTLINE bits in numbers of 64: whether a bin has an odd number of them."""
+    bins = (shingles * np.uint32(0x9E3779B1)) >> np.uint32(33 - OUTLINE.bit_length())
+    odd = np.packbits((np.bincount(bins, minlength=OUTLINE) & 1).astype(np.uint8)).view(np.int64)
+    return np.concatenate([np.array([len(shingles)], dtype=np.int64), odd])
+
+
 @F.arrow_udf(T.ArrayType(T.LongType()))
 def _signatures(texts: pa.Array) -> pa.Array:
     made = [sketches(labelled_shingles(t)).view(np.int64) if t else None for t in each(texts.cast(pa.binary()))]
     return given_back(pa.array(made, pa.list_(pa.int64())))
 
 
-@F.arrow_udf(T.ArrayType(T.ArrayType(T.LongType())))
-def _longer_signatures(texts: pa.Array) -> pa.Array:
-    made = [longer_sketches(labelled_shingles(t)).view(np.int64).tolist() if t else [] for t in each(texts.cast(pa.binary()))]
-    return given_back(pa.array(made, pa.list_(pa.list_(pa.int64()))))
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _outlines(texts: pa.Array) -> pa.Array:
+    made = [outline(_short(labelled_shingles(t))) for t in each(texts.cast(pa.binary()))]
+    return given_back(pa.array(made, pa.list_(pa.int64())))
 
 
 @F.arrow_udf(T.BinaryType())
 def _packed_shingles(texts: pa.Array) -> pa.Array:
-    made = [(labelled_shingles(t) >> np.uint64(32)).astype("<u4").tobytes() for t in each(texts.cast(pa.binary()))]
+    made = [_short(labelled_shingles(t)).tobytes() for t in each(texts.cast(pa.binary()))]
     return given_back(pa.array(made, pa.binary()))
 
 
@@ -159,21 +175,16 @@ def buckets(nodes: DataFrame) -> DataFrame:
     return written(bands.join(shared, "signature"), "buckets")
 
 
-def candidates(members: DataFrame, leaders: range) -> DataFrame:
-    """a, b: pairs of keys, a before b, of the buckets of key, signature, texts, label: all pairs of small buckets and
-    those with a leader of large ones; `leaders` are numbers that each draw one. Texts of the same label, if it isn't
-    null, are no pair."""
-    text, apart = F.struct("key", "label"), "(x.label is null or x.label <> y.label)"
-    together = members.where(F.col("texts") <= SMALL).groupBy("signature").agg(F.sort_array(F.collect_list(text)).alias("all"))
-    after = F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, SMALL), lambda y: F.struct(x.alias("x"), y.alias("y"))))
-    pairs = together.select(F.explode(F.flatten(after)).alias("_p")).select("_p.x", "_p.y").where(apart)
+def candidates(members: DataFrame) -> DataFrame:
+    """a, b: pairs of keys, a before b, of the buckets of key, signature, texts: all pairs of small buckets and those
+    with the leader of large ones, their least key."""
+    together = members.where(F.col("texts") <= SMALL).groupBy("signature").agg(F.sort_array(F.collect_list("key")).alias("all"))
+    after = F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, SMALL), lambda y: F.struct(x.alias("a"), y.alias("b"))))
+    pairs = together.select(F.explode(F.flatten(after)).alias("_p")).select("_p.a", "_p.b")
     large = members.where(F.col("texts") > SMALL)
-    drawn = [F.min_by(text, F.xxhash64("key", "signature", F.lit(i))).alias(f"_{i}") for i in leaders]
-    first = large.groupBy("signature").agg(*drawn)
-    led = large.join(first, "signature").select(text.alias("x"), F.explode(F.array(*[f"_{i}" for i in leaders])).alias("y"))
-    led = led.where("x.key <> y.key").where(apart)
-    both = pairs.unionByName(led)
-    return both.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+    first = large.groupBy("signature").agg(F.min("key").alias("a"))
+    led = large.join(first, "signature").select("a", F.col("key").alias("b")).where("a <> b")
+    return pairs.unionByName(led).distinct()
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
@@ -185,25 +196,30 @@ def texts_of(docs: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
 
 
 def further_candidates(docs: DataFrame, nodes: DataFrame, members: DataFrame, found: DataFrame) -> DataFrame:
-    """a, b: pairs of texts of large buckets that are in different components of `found`, by longer signatures."""
+    """a, b: all pairs of texts that share a large bucket, are in different components of `found` and may be similar.
+
+    Of two texts in different components one at least is outside the bucket's largest component. Those are dealt to
+    blocks, each of which meets all texts of the bucket."""
     labels = found.select(F.col("node").alias("key"), "label")
-    large = members.where(F.col("texts") > SMALL).join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-    large = written(large.select("signature", "key", "label", "texts"), "large")
-    several = large.groupBy("signature").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a <> _b")
-    large = large.join(several.select("signature"), "signature", "left_semi")
-    known = written(large.select("key", "label").distinct(), "unsettled")
-    made = texts_of(docs, nodes, known.select("key")).select("key", _longer_signatures(F.col("text")).alias("orders"))
-    made = written(made.dropDuplicates(["key"]), "longer")
-    open_ = made.join(known, "key").select("key", "label", F.explode("orders").alias("lengths"))
-    pairs = candidates(large, range(LEADERS // 2, LEADERS))
-    for i in range(len(LENGTHS)):
-        bands = open_.withColumn("signature", F.col("lengths")[i])
-        shared = bands.groupBy("signature").agg(F.count("*").alias("texts"), F.min("label").alias("_a"), F.max("label").alias("_b"))
-        shared = shared.where("texts > 1 and _a <> _b").select("signature", "texts")
-        here = written(bands.join(shared, "signature"), "longer-buckets")
-        pairs = pairs.unionByName(candidates(here, range(LEADERS)))
-        open_ = here.where(F.col("texts") > SMALL).select("key", "label", "lengths")
-    return pairs.distinct()
+    large = members.where(F.col("texts") > SMALL).join(labels, "key", "left")
+    large = written(large.select("signature", "key", F.coalesce("label", "key").alias("label")), "large")
+    sizes = large.groupBy("signature", "label").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("signature").agg(
+        F.max_by("label", F.struct("size", "label")).alias("largest"), (F.sum("size") - F.max("size")).alias("others")
+    )
+    largest = largest.where("others > 0").select("signature", "largest", F.ceil(F.col("others") / BLOCK).cast("int").alias("blocks"))
+    unsettled = written(large.join(largest, "signature"), "unsettled")
+    made = texts_of(docs, nodes, unsettled.select("key").distinct()).select("key", _outlines(F.col("text")).alias("outline"))
+    made = written(made.dropDuplicates(["key"]), "outlines").where("outline[0] > 0")
+    unsettled = written(unsettled.join(made, "key"), "compared")
+    x = unsettled.where("label <> largest").withColumn("block", F.expr("pmod(xxhash64(key), blocks)"))
+    y = unsettled.withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1L)")))
+    # Texts with n shingles in all differ by at most this share of n; the rest is for the last bit of a product.
+    apart = f"{(1 - SIMILARITY) / (1 + SIMILARITY)}D * (x.outline[0] + y.outline[0]) + 1e-6D"
+    bins = " + ".join(f"bit_count(x.outline[{i}] ^ y.outline[{i}])" for i in range(1, OUTLINE // 64 + 1))
+    near = f"x.label <> y.label and (y.label = y.largest or x.key < y.key) and abs(x.outline[0] - y.outline[0]) <= {apart} and {bins} <= {apart}"
+    pairs = x.alias("x").join(y.alias("y"), F.expr(f"x.signature = y.signature and x.block = y.block and {near}"))
+    return pairs.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
 
 
 def links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -225,7 +241,7 @@ def _named(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first"), F.any_value("signatures").alias("signatures"))
     nodes = written(nodes, "nodes")
     members = buckets(nodes)
-    linked = written(links(docs, nodes, candidates(members.withColumn("label", F.lit(None).cast("binary")), range(LEADERS // 2))), "links")
+    linked = written(links(docs, nodes, candidates(members)), "links")
     found = components(linked)
     more = written(links(docs, nodes, further_candidates(docs, nodes, members, found)), "links")
     if not more.isEmpty():

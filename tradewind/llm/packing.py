@@ -57,7 +57,7 @@ class _Chunks:
         self.size = 0
 
     def ask(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def learn(self, chunks: set[str]) -> list[str]:
         """Afterwards self.ids holds every one of the chunks. Gives those too long to be kept."""

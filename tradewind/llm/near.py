@@ -40,7 +40,7 @@ SKETCHES = 20
 MINIMA = 4
 SMALL = 32
 #: Bins of an outline, a power of two; texts of the smaller components of a bucket that a task compares at once, about.
-OUTLINE = 2048
+OUTLINE = 1024
 BLOCK = 1024
 #: Further orders and the lengths of their signatures (`longer_sketches`).
 LONGER = 40
@@ -211,13 +211,16 @@ def further_candidates(docs: DataFrame, nodes: DataFrame, members: DataFrame, fo
     unsettled = written(large.join(largest, "signature"), "unsettled")
     made = texts_of(docs, nodes, unsettled.select("key").distinct()).select("key", _outlines(F.col("text")).alias("outline"))
     made = written(made.dropDuplicates(["key"]), "outlines").where("outline[0] > 0")
+    # Plain columns: the comparison of arrays is too long a method for the JVM to compile.
+    bins = range(1, OUTLINE // 64 + 1)
+    made = made.selectExpr("key", "outline[0] AS size", *[f"outline[{i}] AS bins_{i}" for i in bins])
     unsettled = written(unsettled.join(made, "key"), "compared")
     x = unsettled.where("label <> largest").withColumn("block", F.expr("pmod(xxhash64(key), blocks)"))
     y = unsettled.withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1L)")))
     # Texts with n shingles in all differ by at most this share of n; the rest is for the last bit of a product.
-    apart = f"{(1 - SIMILARITY) / (1 + SIMILARITY)}D * (x.outline[0] + y.outline[0]) + 1e-6D"
-    bins = " + ".join(f"bit_count(x.outline[{i}] ^ y.outline[{i}])" for i in range(1, OUTLINE // 64 + 1))
-    near = f"x.label <> y.label and (y.label = y.largest or x.key < y.key) and abs(x.outline[0] - y.outline[0]) <= {apart} and {bins} <= {apart}"
+    apart = f"{(1 - SIMILARITY) / (1 + SIMILARITY)}D * (x.size + y.size) + 1e-6D"
+    odd = " + ".join(f"bit_count(x.bins_{i} ^ y.bins_{i})" for i in bins)
+    near = f"x.label <> y.label and (y.label = y.largest or x.key < y.key) and {odd} <= {apart}"
     pairs = x.alias("x").join(y.alias("y"), F.expr(f"x.signature = y.signature and x.block = y.block and {near}"))
     return pairs.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
 

@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 import corpus_pipeline
+from pyspark.sql import functions as F
 from tradewind.llm import decontamination, near, passages, queries, urls
 from tradewind.llm.components import components
 from tradewind.llm.words import hashed_words
@@ -172,6 +173,26 @@ def test_near_classes_of_few_texts_of_a_large_bucket(spark):
     assert len(alike) == 21 and got == {i: min(alike) if i in alike else i for i in got}
 
 
+def test_leaders_of_large_buckets_merge_copies_of_one_text(spark):
+    """150 copies of a text with eight changes each, which are like the text but not like each other: once each is
+    compared with its leaders, no pairs of them are left."""
+    base, rng = prose(9, 404), random.Random(9)
+    texts = [" ".join(base)]
+    for i in range(150):
+        at = set(rng.sample(range(4, 400, 8), 8))
+        texts.append(" ".join(f"own{i}" if place in at else w for place, w in enumerate(base)))
+    docs = frame(spark, list(enumerate(texts)))
+    named = F.col("doc_id").alias("first"), near._text_key(F.col("text")).alias("key"), near._signatures(F.col("text")).alias("signatures")
+    near.ship_package(spark)
+    nodes = near.written(docs.select(*named), "nodes")
+    members = near.buckets(nodes)
+    pairs = near.candidates(members)
+    assert pairs.where("a >= b").isEmpty()
+    found = components(near.links(docs, nodes, pairs))
+    assert near.further_candidates(docs, nodes, members, found).count() <= 5
+    assert {r.class_id for r in near.classes(docs).collect()} == {0}
+
+
 def test_outlines_rule_out_no_similar_pair():
     rng = np.random.default_rng(5)
     for n in (1, 9, 40, 300, 6000):

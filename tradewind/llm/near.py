@@ -7,8 +7,9 @@ a pair at SIMILARITY is missed by all signatures with a probability of 3e-5. Can
 shingles within a band: similarity is the number of shingles aligned in order by the number of all shingles of both.
 
 Exact copies are one node, named by the md5 of the text, and are neither sketched against each other nor paired.
-In buckets of up to SMALL texts all pairs are candidates. In a larger one each text is first paired with one leader; the
-links so far merge most texts of near copies. Then every pair of texts that share a large bucket and are still in different
+In buckets of up to SMALL texts all pairs are candidates. In a larger one each text is first paired with one leader, the
+text that meets most others in large buckets and so is the likeliest to be similar to them; the links so far merge most
+texts of near copies. Then every pair of texts that share a large bucket and are still in different
 components is compared by its outlines: the parity of the shingles in each of OUTLINE hash bins. A shingle that only one
 of two texts has changes one bin, so outlines that differ in more bins than SIMILARITY allows rule a pair out for sure;
 all other pairs are verified. So no candidate is lost, and what is verified are few pairs besides the links themselves.
@@ -177,14 +178,15 @@ def buckets(nodes: DataFrame) -> DataFrame:
 
 def candidates(members: DataFrame) -> DataFrame:
     """a, b: pairs of keys, a before b, of the buckets of key, signature, texts: all pairs of small buckets and those
-    with the leader of large ones, their least key."""
+    with the leader of large ones, their text that meets most others in all large buckets."""
     together = members.where(F.col("texts") <= SMALL).groupBy("signature").agg(F.sort_array(F.collect_list("key")).alias("all"))
     after = F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, SMALL), lambda y: F.struct(x.alias("a"), y.alias("b"))))
     pairs = together.select(F.explode(F.flatten(after)).alias("_p")).select("_p.a", "_p.b")
     large = members.where(F.col("texts") > SMALL)
-    first = large.groupBy("signature").agg(F.min("key").alias("a"))
-    led = large.join(first, "signature").select("a", F.col("key").alias("b")).where("a <> b")
-    return pairs.unionByName(led).distinct()
+    met = large.groupBy("key").agg(F.sum("texts").alias("met"))
+    first = large.join(met, "key").groupBy("signature").agg(F.max(F.struct("met", "key")).alias("first"))
+    led = large.join(first.select("signature", F.col("first.key").alias("leader")), "signature").where("key <> leader")
+    return pairs.unionByName(led.select(F.least("key", "leader").alias("a"), F.greatest("key", "leader").alias("b"))).distinct()
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:

@@ -275,6 +275,15 @@ def test_token_ids_of_texts_with_special_names_and_odd_characters():
         assert np.frombuffer(packing.token_ids(text, chunks), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_new_words_of_latin_letters_go_to_the_model_alone():
+    chunks, latin = packing._Chunks(queries.tokenizer_path()), "Größe façade naïve œuvre ŉx STRASSE straße Ĳssel ǅur ªº ȳɏ " + "longword" * 8
+    for text in [latin, "Ωmega слово 漢字 ɐb ͵ " + latin, "a, b. größe! x's 'tis"]:
+        want = chunks.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(packing.token_ids(text, packing._Chunks(queries.tokenizer_path())), "<u4").tolist() == want
+    want, chunks.tokenizer = chunks.tokenizer.encode(latin, add_special_tokens=False).ids, None
+    assert np.frombuffer(packing.token_ids(latin, chunks), "<u4").tolist() == want
+
+
 def test_kept_chunks_stay_bounded(monkeypatch):
     monkeypatch.setattr(packing, "_KEPT_BYTES", 20_000)
     chunks, rng = packing._Chunks(queries.tokenizer_path()), random.Random(5)
